@@ -67,6 +67,7 @@ class SyncSpec:
     fallback_days: int = 1
     on_error: str = "raise"  # raise | full
     auto_schema: bool = True
+    measure_schema: bool = False  # nullability and document paths from a pass over the data
     mapping: str = "fixed"  # fixed | compat
 
 
@@ -76,7 +77,7 @@ class SinkSpec:
 
     table: str
     path: str | None = None
-    partition_field: str = "updated_at"
+    partition_field: str | None = "updated_at"
     clustering_fields: Sequence[str] = ()
     write: str = "append"  # append | truncate | empty
     create: str = "if_needed"  # if_needed | never

@@ -167,6 +167,35 @@ def warehouse_schema(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*columns).alias("columns")).select(F.inline("columns"))
 
 
+def document_type_name(dtype: T.DataType) -> str:
+    names = {
+        T.StringType: "string", T.BooleanType: "boolean", T.DoubleType: "double",
+        T.FloatType: "double", T.DecimalType: "decimal128", T.DateType: "date",
+        T.TimestampType: "date", T.TimestampNTZType: "date", T.BinaryType: "binary",
+        T.ArrayType: "array", T.NullType: "null",
+    }
+    if isinstance(dtype, T.IntegralType):
+        return "int"
+    return names.get(type(dtype), "object")
+
+
+def declared_schema(df: DataFrame, kind: str) -> DataFrame:
+    """The schema a frame already declares, in the same shape; reads no row."""
+    name_of = {
+        RELATIONAL: relational_type_name,
+        WAREHOUSE: warehouse_type_name,
+        DOCUMENT: document_type_name,
+    }[kind]
+    rows = []
+    for f in df.schema:
+        repeated = isinstance(f.dataType, T.ArrayType) and kind != DOCUMENT
+        mode = "REPEATED" if repeated else ("NULLABLE" if f.nullable else "REQUIRED")
+        rows.append((f.name, name_of(f.dataType), f.nullable, mode))
+    return df.sparkSession.createDataFrame(
+        rows, "name string, type string, nullable boolean, mode string"
+    )
+
+
 # --- documents -------------------------------------------------------------------
 
 MAX_SEGMENTS = 3

@@ -61,7 +61,7 @@ def layout(df: DataFrame, day: str | None, clustering: Sequence[str] = ()) -> Da
 def create_table(spark: SparkSession, spec: SinkSpec, schema: T.StructType) -> bool:
     """SNK-1, SNK-4: create the table from a schema; False when it was there already."""
     if spec.delete_existing:
-        spark.sql(f"DROP TABLE IF EXISTS {spec.table}")
+        drop_table(spark, spec.table)
     if spark.catalog.tableExists(spec.table):
         return False
     empty = spark.createDataFrame([], schema)
@@ -77,6 +77,13 @@ def create_table(spark: SparkSession, spec: SinkSpec, schema: T.StructType) -> b
     return True
 
 
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Rows included: those of a table with its own path would outlive the entry."""
+    if spark.catalog.tableExists(table):
+        _replace_all(spark.createDataFrame([], spark.table(table).schema), table)
+        spark.sql(f"DROP TABLE {table}")
+
+
 def add_missing_columns(spark: SparkSession, table: str, schema: T.StructType) -> list[str]:
     """SNK-10: columns the data has and the table lacks are added; old rows read null."""
     known = set(spark.table(table).columns)
@@ -111,12 +118,28 @@ def write_table(df: DataFrame, spec: SinkSpec) -> None:
     if spec.add_columns:
         add_missing_columns(spark, spec.table, df.schema)
     target = spark.table(spec.table).schema
-    day = day_column(spec.partition_field)
-    if day in target.fieldNames() and spec.partition_field in df.columns:
+    day = day_column(spec.partition_field) if spec.partition_field else None
+    if day not in target.fieldNames():
+        day = None
+    elif spec.partition_field in df.columns:
         df = with_day(df, spec.partition_field)
-    rows = align(df, target)
-    laid_out = layout(rows, day if day in target.fieldNames() else None, spec.clustering_fields)
-    laid_out.write.insertInto(spec.table, overwrite=spec.write == "truncate")
+    laid_out = layout(align(df, target), day, spec.clustering_fields)
+    if spec.write == "truncate":
+        _replace_all(laid_out, spec.table)
+    else:
+        laid_out.write.insertInto(spec.table)
+
+
+def _replace_all(df: DataFrame, table: str) -> None:
+    """Overwrite every partition, also in a session that overwrites only touched ones."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    conf = df.sparkSession.conf
+    before = conf.get(key)
+    conf.set(key, "static")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(key, before)
 
 
 def write_batch(df: DataFrame, path: str, batch: str, batch_column: str = "sync_batch") -> None:

@@ -10,6 +10,7 @@ import logging
 from dataclasses import dataclass
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,12 +56,20 @@ def run_sync(spark: SparkSession, job: SyncJob, now: datetime) -> SyncResult:
     )
     valid, rejects = split(flagged)
     write_table(finish(valid, job), job.sink)
-    counts = seen.get
-    if counts["rejected"] and job.rejects_path:
+    read, rejected = _observed(seen)
+    if rejected and job.rejects_path:
         rejects.write.mode("append").parquet(job.rejects_path)
-    return SyncResult(
-        job.sink.table, window, counts["read"] - counts["rejected"], counts["rejected"], fallback
-    )
+    return SyncResult(job.sink.table, window, read - rejected, rejected, fallback)
+
+
+def _observed(seen: Observation) -> tuple[int, int]:
+    """Rows read and rejected. When AQE finds the input empty it drops the observed
+    node with it, and there is nothing to fetch."""
+    try:
+        counts = seen.get
+    except Py4JJavaError:
+        return 0, 0
+    return counts["read"], counts["rejected"]
 
 
 def incoming(job: SyncJob, frames: list[DataFrame], window: Window | None) -> DataFrame:
@@ -97,12 +106,13 @@ def _window(spark: SparkSession, job: SyncJob, now: datetime) -> tuple[Window |
 
 
 def _prepare_table(spark: SparkSession, job: SyncJob, primary: DataFrame) -> None:
-    """Create the destination from the first source's schema, unless it is there."""
-    if job.sink.create == "never" or spark.catalog.tableExists(job.sink.table):
-        if not job.sink.delete_existing:
-            return
+    """Create the destination from the first source's schema, as the transformation
+    leaves it, unless it is there."""
+    exists = spark.catalog.tableExists(job.sink.table)
+    if job.sink.create == "never" or (exists and not job.sink.delete_existing):
+        return
     try:
-        rows = schemas.mapped_rows(detect_schema(primary, job))
+        rows = schemas.mapped_rows(detect_schema(finish(primary, job), job))
         create_table(spark, job.sink, schemas.destination_struct(rows))
     except Exception as error:
         if job.sink.strict:
@@ -111,13 +121,15 @@ def _prepare_table(spark: SparkSession, job: SyncJob, primary: DataFrame) -> Non
 
 
 def detect_schema(primary: DataFrame, job: SyncJob) -> DataFrame:
+    """SCH-1..SCH-9 for the first source: from what it declares, or measured."""
     kind = KINDS.get(job.sources[0].kind, schemas.RELATIONAL)
-    if kind == schemas.WAREHOUSE:
+    if not job.sync.measure_schema:
+        found = schemas.declared_schema(primary, kind)
+    elif kind == schemas.WAREHOUSE:
         found = schemas.warehouse_schema(primary)
     elif kind == schemas.DOCUMENT:
-        found = schemas.document_schema(
-            primary.select(F.to_variant_object(F.struct("*")).alias("document")), "document"
-        )
+        document = F.to_variant_object(F.struct("*")).alias("document")
+        found = schemas.document_schema(primary.select(document), "document")
     else:
         found = schemas.relational_schema(primary)
     return schemas.map_schema(found, kind, job.sync.mapping)

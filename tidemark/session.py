@@ -35,6 +35,7 @@ def local_session(cpus: int | str = "*", name: str = "tidemark", **settings: str
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
     )
