@@ -220,43 +220,47 @@ def value_kind(v: Column) -> Column:
     )
 
 
-def document_paths(v: Column) -> Column:
-    """SCH-4: ``array<struct<path, type>>`` of a document, at most three segments deep.
+def document_paths(df: DataFrame, variant: str) -> DataFrame:
+    """SCH-4: a row ``(path, type)`` per field of every document, three segments deep.
 
     Objects are descended into, arrays by way of their first element when that is
-    an object. It is one expression, so a document becomes rows in a single
-    explode and nothing is scanned once per level.
+    an object. Each level is one explode within the same stage: rows carry their
+    children along, so nothing is scanned or shuffled once per level.
     """
-    return _walk(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(""), 1)
-
-
-def _walk(fields: Column, prefix: Column, level: int) -> Column:
-    def visit(entry: Column) -> Column:
-        path = F.concat(prefix, entry.getField("key"))
-        kind = value_kind(entry.getField("value"))
-        here = F.array(F.struct(path.alias("path"), kind.alias("type")))
-        if level == MAX_SEGMENTS:
-            return here
-        value = entry.getField("value")
-        child = F.when(kind == "object", F.try_variant_get(value, "$", "map<string,variant>")).when(
-            kind == "array", F.try_variant_get(value, "$[0]", "map<string,variant>")
+    document = F.col(quote(variant))
+    rows = df.select(F.explode(F.try_variant_get(document, "$", FIELDS)).alias("path", "value"))
+    rows = rows.select("path", F.lit(0).alias("dots"), value_kind(F.col("value")).alias("type"), "value")
+    itself = F.array(F.lit(None).cast("struct<key:string,value:variant>"))
+    for _ in range(MAX_SEGMENTS - 1):
+        entries = F.when(F.col("dots") < MAX_SEGMENTS - 1, F.map_entries(_children()))
+        entry = F.explode(F.concat(itself, F.coalesce(entries, F.slice(itself, 1, 0))))
+        rows = rows.select("path", "dots", "type", entry.alias("entry"))
+        key, value = F.col("entry.key"), F.col("entry.value")
+        # A dot inside a key counts as a segment of the paths below it.
+        path_dots = F.length("path") - F.length(F.replace(F.col("path"), F.lit("."), F.lit("")))
+        rows = rows.select(
+            F.when(key.isNull(), F.col("path")).otherwise(F.concat("path", F.lit("."), key)).alias("path"),
+            F.when(key.isNull(), F.col("dots")).otherwise(path_dots + 1).alias("dots"),
+            F.when(key.isNull(), F.col("type")).otherwise(value_kind(value)).alias("type"),
+            value.alias("value"),
         )
-        # A dot inside a key counts as a segment of the path below it.
-        deeper = F.length(prefix) - F.length(F.replace(prefix, F.lit("."), F.lit(""))) < 2
-        below = _walk(child, F.concat(path, F.lit(".")), level + 1)
-        return F.concat(here, F.when(deeper & child.isNotNull(), below).otherwise(_no_paths()))
+    return rows.select("path", "type")
 
-    return F.flatten(F.transform(F.map_entries(fields), visit))
 
+FIELDS = "map<string,variant>"
 
-def _no_paths() -> Column:
-    return F.array().cast("array<struct<path:string,type:string>>")
+
+def _children() -> Column:
+    """The fields below a row's value: its own, or those of an array's first element."""
+    value, kind = F.col("value"), F.col("type")
+    return F.when(kind == "object", F.try_variant_get(value, "$", FIELDS)).when(
+        kind == "array", F.try_variant_get(value, "$[0]", FIELDS)
+    )
 
 
 def path_type_counts(df: DataFrame, variant: str) -> DataFrame:
     """AGG-3: documents per (path, type); combined in each task before the shuffle."""
-    found = df.select(F.inline(document_paths(F.col(quote(variant)))))
-    return found.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
+    return document_paths(df, variant).groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def document_schema(
