@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,15 @@ def bracketed(stripped: Column) -> Column:
     )
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value evaluated once, however often it is mentioned.
+
+    Spark shares repeated subexpressions only where they are always evaluated;
+    inside a CASE branch every mention runs again.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse(c: Column) -> Column:
     """JSON text as VARIANT; null when the text is not exactly one JSON value.
 
@@ -24,8 +35,12 @@ def parse(c: Column) -> Column:
     """
     mark = F.xxhash64(c)
     both = F.try_parse_json(F.concat(F.lit("["), c, F.lit(","), mark.cast("string"), F.lit("]")))
-    whole = F.try_variant_get(both, "$[1]", "bigint") == mark
-    return F.when(whole, F.try_variant_get(both, "$[0]", "variant"))
+    return bind(
+        both,
+        lambda b: F.when(
+            F.try_variant_get(b, "$[1]", "bigint") == mark, F.try_variant_get(b, "$[0]", "variant")
+        ),
+    )
 
 
 def canonical(c: Column) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.calculated import quote
 from tidemark.functions.jsontext import (
+    bind,
     bracketed,
     nested_json,
     parse,
@@ -24,10 +25,12 @@ from tidemark.functions.jsontext import (
     variant_text,
 )
 from tidemark.functions.literals import array_items, is_array_literal
-from tidemark.functions.text import nul, strip
+from tidemark.functions.text import WHITESPACE, nul, strip
 from tidemark.operators.schema import SPARK_TYPES, FieldSpec
 
-REASON = "_reject_reason"
+REASON, LONG = "_reject_reason", "_may_exceed"
+TOO_LONG = "Record exceeds the size limit"
+COERCED_GROWTH = 20  # a literal gains quotes, then both are escaped in the record
 MAX_CHARACTERS = 100 * 1024 * 1024
 NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 
@@ -43,15 +46,21 @@ def coerce(
     ``array_literals='repeated_only'`` leaves ``{a,b}`` alone in columns that are
     neither REPEATED nor JSON.
     """
-    schema = schema or {}
-    return df.select(
-        *(
-            coerce_column(
-                F.col(quote(f.name)), f.dataType, schema.get(f.name), array_literals, text_times
-            ).alias(f.name)
-            for f in df.schema
-        )
-    )
+    return df.select(*coerced_columns(df, schema or {}, array_literals, text_times))
+
+
+def coerced_columns(
+    df: DataFrame,
+    schema: Mapping[str, FieldSpec],
+    array_literals: str = "all",
+    text_times: bool = False,
+) -> list[Column]:
+    return [
+        coerce_column(
+            F.col(quote(f.name)), f.dataType, schema.get(f.name), array_literals, text_times
+        ).alias(f.name)
+        for f in df.schema
+    ]
 
 
 def coerce_column(
@@ -90,20 +99,27 @@ def _unknown(c: Column, dtype: T.DataType, array_literals: str, text_times: bool
 
 
 def _starts_bracketed(c: Column) -> Column:
-    s = strip(c)
-    return s.startswith("{") | s.startswith("[")
+    """Cheap for text without brackets, and never looks past the first character."""
+    s = F.ltrim(c, F.lit(WHITESPACE))
+    return (c.contains("{") | c.contains("[")) & (s.startswith("{") | s.startswith("["))
+
+
+def _parsed(c: Column, parsed, otherwise: Column) -> Column:
+    """``parsed`` of the stripped text where the text starts with a bracket."""
+    return F.when(_starts_bracketed(c), bind(strip(c), parsed)).otherwise(otherwise)
 
 
 def _text_of_parsed(c: Column, array_literals: str) -> Column:
     """VAL-2, VAL-3, VAL-6: literals and JSON as compact JSON text, other text as it is."""
-    s = strip(c)
-    from_json = F.coalesce(F.to_json(parse(s)), c)
-    parsed = F.when(bracketed(s), from_json).otherwise(c)
-    if array_literals == "all":
-        parsed = F.when(
-            is_array_literal(s), F.coalesce(F.to_json(array_items(s)), s)
-        ).otherwise(parsed)
-    return F.when(_starts_bracketed(c), parsed).otherwise(c)
+
+    def parsed(s: Column) -> Column:
+        text = F.when(bracketed(s), F.coalesce(F.to_json(parse(s)), c)).otherwise(c)
+        if array_literals != "all":
+            return text
+        literal = F.coalesce(F.to_json(array_items(s)), s)
+        return F.when(is_array_literal(s), literal).otherwise(text)
+
+    return _parsed(c, parsed, c)
 
 
 def _json_value(c: Column, dtype: T.DataType) -> Column:
@@ -112,12 +128,13 @@ def _json_value(c: Column, dtype: T.DataType) -> Column:
         return nested_json(c, dtype)
     if not isinstance(dtype, T.StringType):
         return quoted(sanitise(c, dtype, text_times=True))
-    s = strip(c)
-    items = F.when(is_array_literal(s), F.to_json(array_items(s)))
     bare = quoted(sanitise(c, dtype))
-    return F.when(
-        _starts_bracketed(c), F.coalesce(items, F.to_json(parse(s)), bare)
-    ).otherwise(bare)
+
+    def parsed(s: Column) -> Column:
+        items = F.when(is_array_literal(s), F.to_json(array_items(s)))
+        return F.coalesce(items, F.to_json(parse(s)), bare)
+
+    return _parsed(c, parsed, bare)
 
 
 def _json_list(c: Column, dtype: T.DataType) -> Column:
@@ -125,22 +142,19 @@ def _json_list(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.ArrayType):
         listed = F.transform(c, lambda x: _json_value(x, dtype.elementType))
     elif isinstance(dtype, T.StringType):
-        s = strip(c)
-        literal = F.transform(array_items(s), lambda x: _json_value(x, T.StringType()))
-        whole = parse(s)
-        elements = F.transform(
-            F.try_variant_get(whole, "$", "array<variant>"),
-            lambda x: F.when(
-                F.schema_of_variant(x) == "STRING",
-                _json_value(F.try_variant_get(x, "$", "string"), T.StringType()),
-            ).otherwise(F.to_json(x)),
-        )
         one = _listed(_json_value(c, dtype))
-        listed = (
-            F.when(is_array_literal(s), F.coalesce(literal, one))
-            .when(bracketed(s), F.coalesce(elements, one))
-            .otherwise(one)
-        )
+
+        def element(x: Column) -> Column:
+            text = _json_value(F.try_variant_get(x, "$", "string"), T.StringType())
+            return F.when(F.schema_of_variant(x) == "STRING", text).otherwise(F.to_json(x))
+
+        def parsed(s: Column) -> Column:
+            items = F.transform(array_items(s), lambda x: _json_value(x, T.StringType()))
+            elements = F.transform(F.try_variant_get(parse(s), "$", "array<variant>"), element)
+            found = F.when(is_array_literal(s), items).when(bracketed(s), elements)
+            return F.coalesce(found, one)
+
+        listed = _parsed(c, parsed, one)
     else:
         listed = _listed(_json_value(c, dtype))
     return F.coalesce(listed, F.array().cast("array<string>"))
@@ -156,63 +170,59 @@ def _scalar_list(c: Column, dtype: T.DataType, text_times: bool) -> Column:
         if isinstance(dtype, NESTED):
             return _listed(nested_json(c, dtype))
         return _listed(sanitise(c, dtype, text_times))
-    s = strip(c)
-    clean = sanitise(c, dtype)
-    whole = parse(s)
-    elements = F.transform(F.try_variant_get(whole, "$", "array<variant>"), variant_text)
-    listed = (
-        F.when(is_array_literal(s), F.coalesce(array_items(s), F.array(s)))
-        .when(bracketed(s), F.coalesce(elements, _listed(F.to_json(whole)), _listed(clean)))
-        .otherwise(_listed(clean))
-    )
-    return F.when(_starts_bracketed(c), listed).otherwise(_listed(clean))
+    one = _listed(sanitise(c, dtype))
+
+    def from_json(v: Column) -> Column:
+        elements = F.transform(F.try_variant_get(v, "$", "array<variant>"), variant_text)
+        return F.coalesce(elements, _listed(F.to_json(v)), one)
+
+    def parsed(s: Column) -> Column:
+        literal = F.coalesce(array_items(s), F.array(s))
+        return (
+            F.when(is_array_literal(s), literal)
+            .when(bracketed(s), bind(parse(s), from_json))
+            .otherwise(one)
+        )
+
+    return _parsed(c, parsed, one)
 
 
 def _listed(c: Column) -> Column:
     return F.when(c.isNotNull(), F.array(c))
 
 
-def json_length(df: DataFrame) -> Column:
+def json_length(names: Iterable[str]) -> Column:
     """Characters of the record as compact JSON text."""
-    record = F.struct(*(F.col(quote(n)) for n in df.columns))
+    record = F.struct(*(F.col(quote(n)) for n in names))
     return F.length(F.to_json(record, {"ignoreNullFields": "false"}))
 
 
-def reject_reason(
-    df: DataFrame, limit: int = MAX_CHARACTERS, required: Iterable[str] = ()
-) -> Column:
-    """VAL-10: why the record cannot be loaded; null when it can.
-
-    The record is written out as JSON only when its columns are long enough to
-    reach the limit at all: escaping makes at most six characters of one.
-    """
+def reject_reason(df: DataFrame, limit: int = MAX_CHARACTERS) -> Column:
+    """VAL-10: why the record cannot be loaded; null when it can."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     has_nul = _any(F.col(quote(n)).contains(nul()) for n in texts)
-    reason = F.when(has_nul, "Record contains null bytes")
-    bound = _length_bound(df.schema)
-    too_long = json_length(df) > limit
-    if bound is not None:
-        too_long = F.when(bound > limit, too_long).otherwise(F.lit(False))
-    reason = reason.when(too_long, "Record exceeds the size limit")
-    for name in required:
-        reason = reason.when(F.col(quote(name)).isNull(), f"Required field {name} is null")
-    return reason
-
-
-def _length_bound(schema: T.StructType) -> Column | None:
-    """No JSON text of the record is longer; None when a nested column makes it unknown."""
+    too_long = F.when(may_exceed(df.schema, limit, 6), json_length(df.columns) > limit)
+    return F.when(has_nul, "Record contains null bytes").when(too_long, TOO_LONG)
+
+
+def may_exceed(schema: T.StructType, limit: int, growth: int) -> Column:
+    """False when the record as JSON is surely shorter than the limit.
+
+    Writing the record out only to measure it costs more than everything else, so
+    it is done only for records whose texts are long enough. ``growth`` bounds the
+    characters that one character can become: six when it is escaped.
+    """
     fixed, parts = 2, []
     for f in schema:
         fixed += 6 * len(f.name) + 6
-        if isinstance(f.dataType, T.StringType):
-            parts.append(6 * F.coalesce(F.length(F.col(quote(f.name))).cast("bigint"), F.lit(1)))
-        elif isinstance(f.dataType, T.BinaryType):
-            parts.append(2 * F.coalesce(F.length(F.col(quote(f.name))).cast("bigint"), F.lit(2)))
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            length = F.length(F.col(quote(f.name))).cast("bigint")
+            parts.append(growth * F.coalesce(length, F.lit(1)) + 20)
         elif isinstance(f.dataType, NESTED):
-            return None
+            return F.lit(True)
         else:
             fixed += 64
-    return reduce(lambda a, b: a + b, parts, F.lit(fixed).cast("bigint"))
+    return reduce(lambda a, b: a + b, parts, F.lit(fixed).cast("bigint")) > limit
 
 
 def _any(conditions: Iterable[Column]) -> Column:
@@ -270,11 +280,22 @@ def validate(
     """Coerced records with ``_reject_reason``; ``split`` separates the two kinds.
 
     ``require`` also rejects nulls in REQUIRED columns, ``typed`` casts to the
-    destination's types and rejects what does not fit.
+    destination's types and rejects what does not fit. Whatever can be decided on
+    the source columns is, so that a filter on the reason does not coerce twice.
     """
     schema = schema or {}
-    coerced = coerce(df, schema, array_literals)
     required = [n for n, s in schema.items() if s.mode == "REQUIRED" and n in df.columns]
-    reason = reject_reason(coerced, limit, required if require else ())
-    flagged = coerced.withColumn(REASON, reason)
+    absent = [
+        F.when(F.col(quote(n)).isNull(), f"Required field {n} is null")
+        for n in (required if require else ())
+    ]
+    checked = df.select(
+        "*",
+        may_exceed(df.schema, limit, COERCED_GROWTH).alias(LONG),
+        (F.coalesce(*absent) if absent else F.lit(None).cast("string")).alias(REASON),
+    )
+    coerced = checked.select(*coerced_columns(df, schema, array_literals), LONG, REASON)
+    too_long = F.when(F.col(LONG), json_length(df.columns) > limit)
+    reason = F.when(too_long, TOO_LONG).otherwise(F.col(REASON))
+    flagged = coerced.withColumn(REASON, reason).drop(LONG)
     return conform(flagged, schema) if typed else flagged
