@@ -51,7 +51,11 @@ def iso_time(c: Column, dtype: T.DataType) -> Column:
 
 
 def float_text(c: Column) -> Column:
-    """Shortest round-trip text: plain digits for exponents -4..15, else ``1e+16``."""
+    """Shortest round-trip text: plain digits for exponents -4..15, else ``1e+16``.
+
+    Up to Java 18 a double beyond 2**53 may show a digit more than is needed; it
+    still reads back as the same number.
+    """
     java = c.cast("string")
     exponent = F.substring_index(java, "E", -1).try_cast("int")
     sign = F.when(java.startswith("-"), "-").otherwise("")
