@@ -5,10 +5,12 @@ from datetime import datetime
 import pytest
 
 from tidemark.checks import new_sink
-from tidemark.config import SourceSpec, SyncJob, SyncSpec
+from tidemark.config import SourceSpec, SyncJob, SyncSpec, TransformSpec
 from tidemark.operators import incremental as inc
 from tidemark.operators.monitor import latest_per_key
-from tidemark.plans.sync import run_sync
+from tidemark.plans.sync import read_rows, run_sync
+from tidemark.session import shared_dir
+from tidemark.sources import register_reader
 
 NOW = datetime(2024, 1, 20, 0, 0, 0, 999)
 SCHEMA = "id BIGINT, value STRING, updated_at TIMESTAMP_NTZ"
@@ -126,3 +128,46 @@ def test_mark_failure_raises_or_falls_back(spark, users):
         run_sync(spark, job_over(users, sink, sync=SyncSpec(incremental=True)), NOW)
     result = run_sync(spark, job_over(users, sink, sync=SyncSpec(incremental=True, on_error="full")), NOW)
     assert result.written == 5 and "updated_at" in result.fallback
+
+
+class FakeReader:
+    """Stands in for ``spark.read`` and notes what it is asked for."""
+
+    def jdbc(self, url, table, **options):
+        self.asked = (url, table, options)
+        return self
+
+
+def test_jdbc_window_is_read_in_slices():
+    class Session:
+        read = FakeReader()
+
+    source = SourceSpec("postgresql", {"url": "jdbc:x", "table": "t", "partitions": 3})
+    job = SyncJob([source], None, sync=SyncSpec(incremental=True))
+    window = inc.Window(datetime(2024, 1, 1), datetime(2024, 1, 4))
+    url, table, options = read_rows(Session, source, job, window, NOW).asked
+    assert (url, table) == ("jdbc:x", "t")
+    assert options["predicates"][0] == "updated_at > '2024-01-01 00:00:00' AND updated_at <= '2024-01-02 00:00:00'"
+    assert len(options["predicates"]) == 3
+
+
+def test_template_over_jdbc_is_filled():
+    asked = {}
+    register_reader("noted", lambda spark, options: asked.update(options))
+    source = SourceSpec("noted", {"url": "jdbc:x", "template": STANDARD, "query": "SELECT 1"})
+    job = SyncJob([source], None, sync=SyncSpec(incremental=True))
+    window = inc.Window(datetime(2024, 1, 1), datetime(2024, 1, 4))
+    read_rows(None, source, job, window, NOW)
+    assert "updated_at > '2024-01-01 00:00:00'" in asked["query"]
+
+
+def test_failed_conversions_go_to_the_rejects(spark):
+    rows = spark.createDataFrame([(1, "2.5"), (2, "abc")], "id INT, price STRING")
+    path = f"{shared_dir(spark)}/rejects"
+    spec = TransformSpec(type_conversions={"price": "float"})
+    sink = new_sink(spark)
+    result = run_sync(spark, job_over(rows, sink, transform=spec, rejects_path=path), NOW)
+    assert (result.written, result.rejected, result.failed) == (1, 0, 1)
+    assert [(r["id"], r["price"]) for r in spark.table(sink.table).collect()] == [(1, 2.5)]
+    kept = spark.read.parquet(f"{path}/transformation").first()
+    assert (kept["id"], kept["price"]) == (2, "abc") and "abc" in kept["_transformation_error"]

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.checks import check, new_sink, table
 from tidemark.operators import monitor
 from tidemark.operators.incremental import Window, extract
+from tidemark.operators.schema import path_type_counts
 from tidemark.operators.write import write_table
+from tidemark.sources.documents import parse_documents
 
 START, END = datetime(2024, 1, 1), datetime(2024, 1, 31)
 
@@ -34,6 +36,25 @@ def global_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").agg(F.max("ts").alias("newest"))
 
 
+@check(
+    "agg_3_count_by_path_and_type",
+    """SELECT 'role' AS path, 'string' AS type, count(*) AS n FROM conversations
+       UNION ALL SELECT 'turn', 'int', count(*) FROM conversations
+       UNION ALL SELECT 'body', CASE role WHEN 'user' THEN 'string' ELSE 'object' END, count(*)
+            FROM conversations GROUP BY 2
+       UNION ALL SELECT 'body.text', 'string', count(*) FROM conversations WHERE role <> 'user'""",
+)
+def count_by_path_and_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns as documents whose body is text for users and an object for others."""
+    turns = table(spark, sf_dir, "conversations")
+    head = F.concat(F.lit('{"role":'), F.to_json(F.col("role").cast("variant")), F.lit(',"turn":'), F.col("turn"))
+    text = F.to_json(F.col("text").cast("variant"))
+    body = F.when(F.col("role") == "user", text).otherwise(F.concat(F.lit('{"text":'), text, F.lit("}")))
+    raw = F.concat(head, F.lit(',"body":'), body, F.lit("}"))
+    documents = parse_documents(turns.select(raw.alias("raw")), "raw")
+    return path_type_counts(documents, "document")
+
+
 @check(
     "agg_4_count_and_sum_by_date",
     """SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS records,

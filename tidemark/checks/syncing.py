@@ -58,6 +58,42 @@ def incremental_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(result.table)
 
 
+@check(
+    "pip_2_template_sync",
+    """SELECT o_orderkey, o_orderdate, o_orderstatus FROM orders
+       WHERE o_orderdate <= TIMESTAMP '1999-01-01' AND o_orderstatus IN ('F', 'O')""",
+)
+def template_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A base query with placeholders, run twice; the second run reads only what is new."""
+    template = f"""SELECT o_orderkey, o_orderdate, o_orderstatus FROM {view(spark, sf_dir, 'orders')}
+        WHERE o_orderdate > '{{start_timestamp}}' AND o_orderdate <= '{{end_timestamp}}'
+          AND o_orderstatus IN ('F', 'O') ORDER BY o_orderdate ASC"""
+    job = replace(
+        _incremental_job(spark, sf_dir, "since_1900"),
+        sources=[SourceSpec("postgresql", {"template": template})],
+    )
+    run_sync(spark, job, FIRST)
+    return spark.table(run_sync(spark, job, NOW).table)
+
+
+@check(
+    "pip_failed_conversions",
+    """SELECT p_partkey, price, CASE WHEN price IS NULL THEN 'cannot convert price to float: on request' END
+        AS _transformation_error FROM (SELECT p_partkey, CASE WHEN p_brand <> 'Brand#7' THEN p_retailprice END AS price FROM part)""",
+)
+def failed_conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record whose conversion fails is written too, with the reason beside it."""
+    text = F.when(F.col("p_brand") == "Brand#7", "on request").otherwise(F.col("p_retailprice").cast("string"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", text.alias("price"))
+    parts.createOrReplaceTempView("priced_parts")
+    job = SyncJob(
+        sources=[SourceSpec("postgresql", {"query": "SELECT * FROM priced_parts"})],
+        sink=new_sink(spark, partition_field=None),
+        transform=TransformSpec(type_conversions={"price": "FLOAT"}),
+    )
+    return spark.table(run_sync(spark, job, NOW).table)
+
+
 @check("pip_3_historical_load", "SELECT * FROM orders")
 def historical_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = run_sync(spark, _incremental_job(spark, sf_dir, "all_rows"), NOW)

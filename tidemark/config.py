@@ -51,7 +51,11 @@ class TransformSpec:
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """One source: the reader's name and that reader's own options."""
+    """One source: the reader's name and that reader's own options.
+
+    An incremental sync also takes the option ``template``: SQL with the
+    placeholders ``{start_timestamp}`` and ``{end_timestamp}``.
+    """
 
     kind: str
     options: Mapping[str, Any] = field(default_factory=dict)
@@ -88,6 +92,10 @@ class SinkSpec:
 
 @dataclass(frozen=True)
 class SyncJob:
+    """``rejects_path`` receives records that fail validation or transformation.
+    Without it the former are counted only, and the latter are written to the table
+    with their original values and ``_transformation_error``."""
+
     sources: Sequence[SourceSpec]
     sink: SinkSpec
     sync: SyncSpec = SyncSpec()

@@ -41,25 +41,37 @@ class Transformed:
         """Failed records with their original values and the error."""
         return self.frame.filter(F.col(ERROR).isNotNull()).select(f"{ORIGINAL}.*", ERROR)
 
-    def merged(self) -> DataFrame:
-        """Both kinds in one frame and one pass; columns whose type a conversion
-        changed are reconciled so that a failed record keeps its original value."""
+    def merged(self, keep_types: bool = False) -> DataFrame:
+        """Both kinds in one frame and one pass, failed records with their original values.
+
+        Where a conversion changed a column's type the two are reconciled to one
+        that holds both. ``keep_types`` keeps the converted type, for a table that
+        has it; an original value that does not fit is then null in its column and
+        quoted in the error.
+        """
         new = {f.name: f.dataType for f in self.frame.schema if f.name not in (ERROR, ORIGINAL)}
         old = {f.name: f.dataType for f in self.frame.schema[ORIGINAL].dataType}
         failed = F.col(ERROR).isNotNull()
         columns = []
         for name in [*new, *(n for n in old if n not in new)]:
-            target = common_type([t[name] for t in (new, old) if name in t])
+            found = [types[name] for types in (new, old) if name in types]
+            target = found[0] if keep_types else common_type(found)
             after = as_type(F.col(quote(name)), new[name], target) if name in new else F.lit(None)
-            before = (
-                as_type(F.col(ORIGINAL).getField(name), old[name], target)
-                if name in old
-                else F.lit(None)
-            )
+            before = F.lit(None)
+            if name in old:
+                original = F.col(ORIGINAL).getField(name)
+                if keep_types and old[name] != target:
+                    before = original.try_cast(target) if _castable(old[name], target) else before
+                else:
+                    before = as_type(original, old[name], target)
             columns.append(F.when(failed, before).otherwise(after).alias(name))
         return self.frame.select(*columns, ERROR)
 
 
+def _castable(*types: T.DataType) -> bool:
+    return all(isinstance(t, (T.AtomicType, T.NullType)) for t in types)
+
+
 def rename_fields(df: DataFrame, mappings: dict[str, str]) -> DataFrame:
     """TRF-1: renames in order; a missing source is ignored, an existing target replaced."""
     source = {name: name for name in df.columns}

@@ -14,14 +14,22 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import SyncJob
+from tidemark.config import SourceSpec, SyncJob
 from tidemark.operators import schema as schemas
-from tidemark.operators.incremental import Window, destination_mark, extract, sync_window
-from tidemark.operators.transform import chain, transform
+from tidemark.operators.incremental import (
+    Window,
+    bind_template,
+    destination_mark,
+    extract,
+    fill_template,
+    sync_window,
+)
+from tidemark.operators.transform import ERROR, Transformed, chain, transform
 from tidemark.operators.union import union_all
 from tidemark.operators.validate import REASON, split, validate
 from tidemark.operators.write import create_table, day_column, write_table
 from tidemark.sources import read_source
+from tidemark.sources.relational import RelationalSource, read_window
 
 log = logging.getLogger(__name__)
 
@@ -34,6 +42,7 @@ class SyncResult:
     window: Window | None
     written: int
     rejected: int
+    failed: int = 0
     fallback: str | None = None
 
 
@@ -41,53 +50,68 @@ def run_sync(spark: SparkSession, job: SyncJob, now: datetime) -> SyncResult:
     """Run one sync. ``now`` is UTC and ends the window, so that a repeated run reads
     the same rows."""
     window, fallback = _window(spark, job, now)
-    frames = [read_source(spark, source) for source in job.sources]
+    frames = [read_rows(spark, source, job, window, now, fallback) for source in job.sources]
     if job.sync.auto_schema:
         _prepare_table(spark, job, frames[0])
-    rows = incoming(job, frames, window)
+    seen, done = Observation(), Observation()
     flagged = validate(
-        rows, schemas.destination_schema(spark, job.sink.table), job.array_literals
-    )
-    seen = Observation("sync")
-    flagged = flagged.observe(
-        seen,
-        F.count(F.lit(1)).alias("read"),
-        F.count(F.col(REASON)).alias("rejected"),
-    )
+        union_all(frames), schemas.destination_schema(spark, job.sink.table), job.array_literals
+    ).observe(seen, F.count(F.lit(1)).alias("rows"), F.count(REASON).alias("bad"))
     valid, rejects = split(flagged)
-    write_table(finish(valid, job), job.sink)
-    read, rejected = _observed(seen)
-    if rejected and job.rejects_path:
-        rejects.write.mode("append").parquet(job.rejects_path)
-    return SyncResult(job.sink.table, window, read - rejected, rejected, fallback)
+    result = transform(valid, job.transform)
+    result = Transformed(
+        result.frame.observe(done, F.count(F.lit(1)).alias("rows"), F.count(ERROR).alias("bad"))
+    )
+    write_table(finish(result, job), job.sink)
+    (_, rejected), (rows, failed) = _observed(seen), _observed(done)
+    if job.rejects_path:
+        rows -= failed
+        if rejected:
+            rejects.write.mode("append").parquet(f"{job.rejects_path}/validation")
+        if failed:
+            result.errors().write.mode("append").parquet(f"{job.rejects_path}/transformation")
+    return SyncResult(job.sink.table, window, rows, rejected, failed, fallback)
 
 
 def _observed(seen: Observation) -> tuple[int, int]:
-    """Rows read and rejected. When AQE finds the input empty it drops the observed
+    """Rows, and those flagged. When AQE finds the input empty it drops the observed
     node with it, and there is nothing to fetch."""
     try:
         counts = seen.get
     except Py4JJavaError:
         return 0, 0
-    return counts["read"], counts["rejected"]
-
-
-def incoming(job: SyncJob, frames: list[DataFrame], window: Window | None) -> DataFrame:
-    """SET-1 over the sources' new rows. The window lands on every source's own scan."""
-    column = job.sync.timestamp_column
-    fresh = [
-        extract(frame, column, window) if window and column in frame.columns else frame
-        for frame in frames
-    ]
-    return union_all(fresh)
-
-
-def finish(valid: DataFrame, job: SyncJob) -> DataFrame:
-    """TRF-* after validation, then custom functions."""
-    if not job.transform.is_empty():
-        done = transform(valid, job.transform)
-        valid = done.merged() if job.transform.type_conversions else done.ok()
-    return chain(valid, job.custom)
+    return counts["rows"], counts["bad"]
+
+
+def read_rows(
+    spark: SparkSession,
+    source: SourceSpec,
+    job: SyncJob,
+    window: Window | None,
+    now: datetime,
+    fallback: str | None = None,
+) -> DataFrame:
+    """A source's new rows. A template brings its own predicate; otherwise the window
+    becomes a filter on the source's scan, or one slice per task over JDBC."""
+    options, column = dict(source.options), job.sync.timestamp_column
+    template = options.pop("template", None)
+    if template and job.sync.incremental and not (fallback and options.get("query")):
+        if options.get("url"):
+            options["query"] = fill_template(template, window, now)
+        else:
+            options["query"], options["arguments"] = bind_template(template, window, now)
+        return read_source(spark, SourceSpec(source.kind, options))
+    if window and options.get("url") and not options.get("partition_column"):
+        return read_window(spark, RelationalSource(**options), column, window)
+    frame = read_source(spark, SourceSpec(source.kind, options))
+    return extract(frame, column, window) if column in frame.columns else frame
+
+
+def finish(result: Transformed, job: SyncJob) -> DataFrame:
+    """The rows for the table: TRF-17's choice for failed records, then custom functions."""
+    if job.rejects_path or not job.transform.type_conversions:
+        return chain(result.ok(), job.custom)
+    return chain(result.merged(keep_types=True), job.custom)
 
 
 def _window(spark: SparkSession, job: SyncJob, now: datetime) -> tuple[Window | None, str | None]:
@@ -112,7 +136,7 @@ def _prepare_table(spark: SparkSession, job: SyncJob, primary: DataFrame) -> Non
     if job.sink.create == "never" or (exists and not job.sink.delete_existing):
         return
     try:
-        rows = schemas.mapped_rows(detect_schema(finish(primary, job), job))
+        rows = schemas.mapped_rows(detect_schema(finish(transform(primary, job.transform), job), job))
         create_table(spark, job.sink, schemas.destination_struct(rows))
     except Exception as error:
         if job.sink.strict:
