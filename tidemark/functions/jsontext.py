@@ -2,45 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import text
+from tidemark.functions.literals import bind_sql
 
 
-def bracketed(stripped: Column) -> Column:
-    return (stripped.startswith("{") & stripped.endswith("}")) | (
-        stripped.startswith("[") & stripped.endswith("]")
-    )
-
-
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value evaluated once, however often it is mentioned.
+# SQL over a stripped text ``s``.
+IS_BRACKETED = """((startswith(s, '{') AND endswith(s, '}'))
+    OR (startswith(s, '[') AND endswith(s, ']')))"""
 
-    Spark shares repeated subexpressions only where they are always evaluated;
-    inside a CASE branch every mention runs again.
-    """
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+# Spark's parser stops after the first value and ignores what follows. So the text is
+# parsed as the first item of an array whose second item, a hash of the text, proves
+# that the first one ended where the text ends.
+PARSED = """transform(
+    array(try_parse_json(concat('[', s, ',', CAST(xxhash64(s) AS STRING), ']'))),
+    both -> CASE WHEN try_variant_get(both, '$[1]', 'bigint') = xxhash64(s)
+                 THEN try_variant_get(both, '$[0]', 'variant') END)[0]"""
 
 
 def parse(c: Column) -> Column:
-    """JSON text as VARIANT; null when the text is not exactly one JSON value.
-
-    Spark's parser stops after the first value and ignores what follows, so the
-    text is parsed as the first item of an array whose second item, a hash of the
-    text, proves that the first one ended where the text ends.
-    """
-    mark = F.xxhash64(c)
-    both = F.try_parse_json(F.concat(F.lit("["), c, F.lit(","), mark.cast("string"), F.lit("]")))
-    return bind(
-        both,
-        lambda b: F.when(
-            F.try_variant_get(b, "$[1]", "bigint") == mark, F.try_variant_get(b, "$[0]", "variant")
-        ),
-    )
+    """JSON text as VARIANT; null when the text is not exactly one JSON value."""
+    return bind_sql(c, PARSED)
 
 
 def canonical(c: Column) -> Column:

@@ -5,49 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import drop_nul, nul, strip
-
-
-def is_array_literal(stripped: Column) -> Column:
-    """Braces on both ends and no colon, so that JSON objects stay out."""
-    return stripped.startswith("{") & stripped.endswith("}") & ~stripped.contains(":")
-
-
-def array_items(stripped: Column) -> Column:
-    """Items of a stripped ``{...}`` text; null when it spans several lines.
-
-    Splitting on the quote character leaves quoted text at the odd positions. An
-    empty piece between two quoted ones was a doubled quote, so it turns into a
-    quote; a comma separates items only in the even pieces.
+from tidemark.functions.text import WHITESPACE, strip
+
+# SQL over a stripped text ``s``. As text it costs the driver one call per column;
+# built from Column objects it costs hundreds, which adds up in a wide table.
+IS_LITERAL = "startswith(s, '{') AND endswith(s, '}') AND NOT contains(s, ':')"
+
+# Splitting on the quote character leaves quoted text at the odd positions. An empty
+# piece between two quoted ones was a doubled quote, so it turns into a quote; a comma
+# separates items only in the even pieces.
+_SEPARATED = """transform(array(split(inner, '"', -1)), pieces -> split(array_join(
+    transform(pieces, (piece, i) -> CASE
+        WHEN i % 2 = 1 THEN piece
+        WHEN i > 0 AND i < size(pieces) - 1 AND piece = '' THEN '"'
+        ELSE replace(piece, ',', char(0)) END), ''), char(0), -1))[0]"""
+
+ITEMS = f"""CASE WHEN NOT contains(s, char(10)) THEN transform(
+    filter(
+        transform(
+            transform(array(replace(substr(s, 2, length(s) - 2), char(0), '')),
+                inner -> CASE WHEN contains(inner, '"') THEN {_SEPARATED}
+                              ELSE split(inner, ',', -1) END)[0],
+            item -> btrim(item, '{WHITESPACE}')),
+        item -> item <> '' AND upper(item) <> 'NULL'),
+    item -> CASE WHEN length(item) >= 2 AND startswith(item, '"') AND endswith(item, '"')
+                 THEN replace(substr(item, 2, length(item) - 2), '""', '"')
+                 ELSE item END) END"""
+
+
+def bind_sql(value: Column, body: str) -> Column:
+    """The SQL ``body`` over ``s``, the value, which is evaluated once.
+
+    Spark shares repeated subexpressions only where they are always evaluated;
+    inside a CASE branch every mention would run again.
     """
-    inner = drop_nul(F.substr(stripped, F.lit(2), F.length(stripped) - 2))
-    pieces = F.split(inner, '"')
-    last = F.size(pieces) - 1
-
-    def rejoin(piece: Column, i: Column) -> Column:
-        return (
-            F.when(i % 2 == 1, piece)
-            .when((i > 0) & (i < last) & (piece == ""), '"')
-            .otherwise(F.replace(piece, F.lit(","), nul()))
-        )
-
-    raw = F.when(
-        inner.contains('"'), F.split(F.array_join(F.transform(pieces, rejoin), ""), "\x00")
-    ).otherwise(F.split(inner, ","))
-    kept = F.filter(
-        F.transform(raw, strip), lambda item: (item != "") & (F.upper(item) != "NULL")
-    )
-    return F.when(~stripped.contains("\n"), F.transform(kept, _unquote))
-
-
-def _unquote(item: Column) -> Column:
-    quoted = (F.length(item) >= 2) & item.startswith('"') & item.endswith('"')
-    inside = F.substr(item, F.lit(2), F.length(item) - 2)
-    return F.when(quoted, F.replace(inside, F.lit('""'), F.lit('"'))).otherwise(item)
+    return F.get(F.call_function("transform", F.array(value), F.expr(f"s -> {body}")), F.lit(0))
 
 
 def parse_array_literal(c: Column) -> Column:
-    """The items when ``c`` is an array literal, else null."""
-    stripped = strip(c)
-    shaped = stripped.startswith("{") & stripped.endswith("}")
-    return F.when(shaped, array_items(stripped))
+    """The items when ``c`` is an array literal, else null (also when it spans lines)."""
+    shaped = "startswith(s, '{') AND endswith(s, '}')"
+    return bind_sql(strip(c), f"CASE WHEN {shaped} THEN {ITEMS} END")

@@ -190,10 +190,15 @@ def declared_schema(df: DataFrame, kind: str) -> DataFrame:
     for f in df.schema:
         repeated = isinstance(f.dataType, T.ArrayType) and kind != DOCUMENT
         mode = "REPEATED" if repeated else ("NULLABLE" if f.nullable else "REQUIRED")
-        rows.append((f.name, name_of(f.dataType), f.nullable, mode))
-    return df.sparkSession.createDataFrame(
-        rows, "name string, type string, nullable boolean, mode string"
-    )
+        rows.append(
+            F.struct(
+                F.lit(f.name).alias("name"),
+                F.lit(name_of(f.dataType)).alias("type"),
+                F.lit(f.nullable).alias("nullable"),
+                F.lit(mode).alias("mode"),
+            )
+        )
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 # --- documents -------------------------------------------------------------------
@@ -303,7 +308,7 @@ def document_schema(
 def map_schema(schema: DataFrame, kind: str, mapping: str = "fixed") -> DataFrame:
     """SCH-7..SCH-9: destination type, mode and description for every source column."""
     known = type_map(kind, mapping)
-    lookup = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
+    lookup = F.expr("map(" + ", ".join(f"'{a}', '{b}'" for a, b in known.items()) + ")")
     source = F.lower(F.col("type"))
     repeated = source.contains("array")
     if "mode" in schema.columns:

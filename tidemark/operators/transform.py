@@ -121,7 +121,10 @@ def fill_defaults(df: DataFrame, defaults: dict[str, Any]) -> DataFrame:
 
 
 def transform(df: DataFrame, spec: TransformSpec) -> Transformed:
-    kept = F.struct(*(F.col(quote(n)) for n in df.columns))
+    kept = F.struct("*")
+    if spec.is_empty():
+        no_error = F.lit(None).cast("string").alias(ERROR)
+        return Transformed(df.select("*", no_error, F.when(F.lit(False), kept).alias(ORIGINAL)))
     work = df.select("*", kept.alias(ORIGINAL))
     work = rename_fields(work, dict(spec.field_mappings))
     if spec.flatten_nested:

@@ -15,16 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.calculated import quote
-from tidemark.functions.jsontext import (
-    bind,
-    bracketed,
-    nested_json,
-    parse,
-    quoted,
-    sanitise,
-    variant_text,
-)
-from tidemark.functions.literals import array_items, is_array_literal
+from tidemark.functions.jsontext import IS_BRACKETED, PARSED, nested_json, quoted, sanitise
+from tidemark.functions.literals import IS_LITERAL, ITEMS, bind_sql
 from tidemark.functions.text import WHITESPACE, nul, strip
 from tidemark.operators.schema import SPARK_TYPES, FieldSpec
 
@@ -104,22 +96,18 @@ def _starts_bracketed(c: Column) -> Column:
     return (c.contains("{") | c.contains("[")) & (s.startswith("{") | s.startswith("["))
 
 
-def _parsed(c: Column, parsed, otherwise: Column) -> Column:
-    """``parsed`` of the stripped text where the text starts with a bracket."""
-    return F.when(_starts_bracketed(c), bind(strip(c), parsed)).otherwise(otherwise)
+def _parsed(c: Column, body: str) -> Column:
+    """SQL ``body`` over the stripped text ``s`` where the text starts with a bracket."""
+    return F.when(_starts_bracketed(c), bind_sql(strip(c), body))
 
 
 def _text_of_parsed(c: Column, array_literals: str) -> Column:
     """VAL-2, VAL-3, VAL-6: literals and JSON as compact JSON text, other text as it is."""
+    literal = f"WHEN {IS_LITERAL} THEN coalesce(to_json({ITEMS}), s)" if array_literals == "all" else ""
+    return F.coalesce(_parsed(c, f"CASE {literal} WHEN {IS_BRACKETED} THEN to_json({PARSED}) END"), c)
 
-    def parsed(s: Column) -> Column:
-        text = F.when(bracketed(s), F.coalesce(F.to_json(parse(s)), c)).otherwise(c)
-        if array_literals != "all":
-            return text
-        literal = F.coalesce(F.to_json(array_items(s)), s)
-        return F.when(is_array_literal(s), literal).otherwise(text)
 
-    return _parsed(c, parsed, c)
+JSON_TEXT = f"coalesce(CASE WHEN {IS_LITERAL} THEN to_json({ITEMS}) END, to_json({PARSED}))"
 
 
 def _json_value(c: Column, dtype: T.DataType) -> Column:
@@ -128,13 +116,7 @@ def _json_value(c: Column, dtype: T.DataType) -> Column:
         return nested_json(c, dtype)
     if not isinstance(dtype, T.StringType):
         return quoted(sanitise(c, dtype, text_times=True))
-    bare = quoted(sanitise(c, dtype))
-
-    def parsed(s: Column) -> Column:
-        items = F.when(is_array_literal(s), F.to_json(array_items(s)))
-        return F.coalesce(items, F.to_json(parse(s)), bare)
-
-    return _parsed(c, parsed, bare)
+    return F.coalesce(_parsed(c, JSON_TEXT), quoted(sanitise(c, dtype)))
 
 
 def _json_list(c: Column, dtype: T.DataType) -> Column:
@@ -142,24 +124,26 @@ def _json_list(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.ArrayType):
         listed = F.transform(c, lambda x: _json_value(x, dtype.elementType))
     elif isinstance(dtype, T.StringType):
-        one = _listed(_json_value(c, dtype))
+        items = F.transform(
+            _parsed(c, f"CASE WHEN {IS_LITERAL} THEN {ITEMS} END"),
+            lambda x: _json_value(x, T.StringType()),
+        )
 
         def element(x: Column) -> Column:
             text = _json_value(F.try_variant_get(x, "$", "string"), T.StringType())
             return F.when(F.schema_of_variant(x) == "STRING", text).otherwise(F.to_json(x))
 
-        def parsed(s: Column) -> Column:
-            items = F.transform(array_items(s), lambda x: _json_value(x, T.StringType()))
-            elements = F.transform(F.try_variant_get(parse(s), "$", "array<variant>"), element)
-            found = F.when(is_array_literal(s), items).when(bracketed(s), elements)
-            return F.coalesce(found, one)
-
-        listed = _parsed(c, parsed, one)
+        elements = F.transform(_parsed(c, LIST_OF_JSON), element)
+        listed = F.coalesce(items, elements, _listed(_json_value(c, dtype)))
     else:
         listed = _listed(_json_value(c, dtype))
     return F.coalesce(listed, F.array().cast("array<string>"))
 
 
+LIST_OF_JSON = f"""CASE WHEN NOT ({IS_LITERAL}) AND {IS_BRACKETED}
+    THEN try_variant_get({PARSED}, '$', 'array<variant>') END"""
+
+
 def _scalar_list(c: Column, dtype: T.DataType, text_times: bool) -> Column:
     """VAL-4, VAL-6 per element: a list of scalars; null stays null."""
     if isinstance(dtype, T.ArrayType):
@@ -170,21 +154,15 @@ def _scalar_list(c: Column, dtype: T.DataType, text_times: bool) -> Column:
         if isinstance(dtype, NESTED):
             return _listed(nested_json(c, dtype))
         return _listed(sanitise(c, dtype, text_times))
-    one = _listed(sanitise(c, dtype))
-
-    def from_json(v: Column) -> Column:
-        elements = F.transform(F.try_variant_get(v, "$", "array<variant>"), variant_text)
-        return F.coalesce(elements, _listed(F.to_json(v)), one)
-
-    def parsed(s: Column) -> Column:
-        literal = F.coalesce(array_items(s), F.array(s))
-        return (
-            F.when(is_array_literal(s), literal)
-            .when(bracketed(s), bind(parse(s), from_json))
-            .otherwise(one)
-        )
+    return F.coalesce(_parsed(c, SCALARS), _listed(sanitise(c, dtype)))
+
 
-    return _parsed(c, parsed, one)
+SCALARS = f"""CASE WHEN {IS_LITERAL} THEN coalesce({ITEMS}, array(s))
+    WHEN {IS_BRACKETED} THEN transform(array({PARSED}), v -> coalesce(
+        transform(try_variant_get(v, '$', 'array<variant>'), x -> CASE schema_of_variant(x)
+            WHEN 'STRING' THEN try_variant_get(x, '$', 'string')
+            WHEN 'VOID' THEN NULL ELSE to_json(x) END),
+        CASE WHEN v IS NOT NULL THEN array(to_json(v)) END))[0] END"""
 
 
 def _listed(c: Column) -> Column:
