@@ -145,5 +145,5 @@ def test_required_and_typed(spark):
     flagged = validate(df, schema, require=True, typed=True)
     assert flagged.schema["n"].dataType.simpleString() == "double"
     reasons = {r["id"]: r[REASON] for r in flagged.collect()}
-    assert reasons[1] is None and reasons[2] == "n does not fit FLOAT"
+    assert reasons[1] is None and reasons[2] == "n does not fit double: abc"
     assert reasons[None] == "Required field id is null"

@@ -93,3 +93,9 @@ def test_rejects_are_written_and_counted(spark):
     )
     result = run_sync(spark, job, datetime(2024, 1, 1))
     assert (result.written, result.rejected) == (1, 0)
+    spark.sql("SELECT * FROM VALUES ('7', 'y'), ('seven', 'z') AS r(id, t)").createOrReplaceTempView("reject_rows")
+    result = run_sync(spark, job, datetime(2024, 1, 1))
+    assert (result.written, result.rejected) == (1, 1)
+    assert sorted(r["id"] for r in spark.table(job.sink.table).collect()) == [1, 7]
+    misfit = spark.read.parquet(f"{job.rejects_path}/types").first()
+    assert misfit["t"] == "z" and misfit["_reject_reason"] == "id does not fit bigint: seven"

@@ -92,9 +92,10 @@ class SinkSpec:
 
 @dataclass(frozen=True)
 class SyncJob:
-    """``rejects_path`` receives records that fail validation or transformation.
-    Without it the former are counted only, and the latter are written to the table
-    with their original values and ``_transformation_error``."""
+    """``rejects_path`` receives records that fail validation, transformation or the
+    destination's types, in a folder each. Without it they are counted only, but for
+    failed transformations: those records are written to the table with their
+    original values and ``_transformation_error``."""
 
     sources: Sequence[SourceSpec]
     sink: SinkSpec

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tidemark.functions.calculated import quote
 from tidemark.functions.jsontext import IS_BRACKETED, PARSED, nested_json, quoted, sanitise
 from tidemark.functions.literals import IS_LITERAL, ITEMS, bind_sql
-from tidemark.functions.text import WHITESPACE, nul, strip
+from tidemark.functions.text import WHITESPACE, nul, plain_text, strip
 from tidemark.operators.schema import SPARK_TYPES, FieldSpec
 
 REASON, LONG = "_reject_reason", "_may_exceed"
@@ -207,29 +207,35 @@ def _any(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
-def conform(df: DataFrame, schema: Mapping[str, FieldSpec]) -> DataFrame:
-    """Cast coerced columns to the destination's Spark types.
+def conform(df: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
+    """Cast columns to the destination's types.
 
-    A value lost in its cast gives the record a ``_reject_reason``, unless it has one.
+    A value lost in its cast gives the record a ``_reject_reason`` that quotes it,
+    unless the record has a reason already.
     """
     columns, reasons = [], [F.col(REASON)] if REASON in df.columns else []
     for f in df.schema:
         if f.name == REASON:
             continue
-        spec = schema.get(f.name)
-        c = F.col(quote(f.name))
-        base = SPARK_TYPES.get(spec.type) if spec else None
-        target = T.ArrayType(base) if base and spec.mode == "REPEATED" else base
-        if target is None or target == f.dataType:
+        c, target = F.col(quote(f.name)), types.get(f.name, f.dataType)
+        if target == f.dataType:
             columns.append(c)
             continue
         value = _cast(c, f.dataType, target)
         columns.append(value.alias(f.name))
-        reasons.append(F.when(c.isNotNull() & value.isNull(), f"{f.name} does not fit {spec.type}"))
+        lost = c.isNotNull() & value.isNull()
+        why = F.lit(f"{f.name} does not fit {target.simpleString()}: ")
+        reasons.append(F.when(lost, F.concat(why, plain_text(c, f.dataType))))
     reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
     return df.select(*columns, reason.alias(REASON))
 
 
+def spark_types(schema: Mapping[str, FieldSpec]) -> dict[str, T.DataType]:
+    """The Spark types of a destination schema; a RECORD keeps the type it has."""
+    known = {n: (SPARK_TYPES[s.type], s.mode) for n, s in schema.items() if s.type in SPARK_TYPES}
+    return {n: T.ArrayType(t) if mode == "REPEATED" else t for n, (t, mode) in known.items()}
+
+
 def _cast(c: Column, dtype: T.DataType, target: T.DataType) -> Column:
     if isinstance(target, T.BinaryType) and isinstance(dtype, T.StringType):
         return F.try_to_binary(c, F.lit("base64"))
@@ -276,4 +282,4 @@ def validate(
     too_long = F.when(F.col(LONG), json_length(df.columns) > limit)
     reason = F.when(too_long, TOO_LONG).otherwise(F.col(REASON))
     flagged = coerced.withColumn(REASON, reason).drop(LONG)
-    return conform(flagged, schema) if typed else flagged
+    return conform(flagged, spark_types(schema)) if typed else flagged

@@ -26,7 +26,7 @@ from tidemark.operators.incremental import (
 )
 from tidemark.operators.transform import ERROR, Transformed, chain, transform
 from tidemark.operators.union import union_all
-from tidemark.operators.validate import REASON, split, validate
+from tidemark.operators.validate import REASON, conform, split, validate
 from tidemark.operators.write import create_table, day_column, write_table
 from tidemark.sources import read_source
 from tidemark.sources.relational import RelationalSource, read_window
@@ -53,24 +53,33 @@ def run_sync(spark: SparkSession, job: SyncJob, now: datetime) -> SyncResult:
     frames = [read_rows(spark, source, job, window, now, fallback) for source in job.sources]
     if job.sync.auto_schema:
         _prepare_table(spark, job, frames[0])
-    seen, done = Observation(), Observation()
-    flagged = validate(
-        union_all(frames), schemas.destination_schema(spark, job.sink.table), job.array_literals
-    ).observe(seen, F.count(F.lit(1)).alias("rows"), F.count(REASON).alias("bad"))
-    valid, rejects = split(flagged)
-    result = transform(valid, job.transform)
-    result = Transformed(
-        result.frame.observe(done, F.count(F.lit(1)).alias("rows"), F.count(ERROR).alias("bad"))
+    checked, converted, fitted = Observation(), Observation(), Observation()
+    destination = schemas.destination_schema(spark, job.sink.table)
+    valid, invalid = split(
+        _counted(validate(union_all(frames), destination, job.array_literals), checked, REASON)
     )
-    write_table(finish(result, job), job.sink)
-    (_, rejected), (rows, failed) = _observed(seen), _observed(done)
+    result = Transformed(_counted(transform(valid, job.transform).frame, converted, ERROR))
+    types = {f.name: f.dataType for f in spark.table(job.sink.table).schema} if destination else {}
+    rows, misfits = split(_counted(conform(finish(result, job), types), fitted, REASON))
+    write_table(rows, job.sink)
+    (_, n_invalid), (_, n_failed), (n_rows, n_misfits) = map(_observed, (checked, converted, fitted))
     if job.rejects_path:
-        rows -= failed
-        if rejected:
-            rejects.write.mode("append").parquet(f"{job.rejects_path}/validation")
-        if failed:
-            result.errors().write.mode("append").parquet(f"{job.rejects_path}/transformation")
-    return SyncResult(job.sink.table, window, rows, rejected, failed, fallback)
+        kinds = (
+            ("validation", invalid, n_invalid),
+            ("transformation", result.errors(), n_failed),
+            ("types", misfits, n_misfits),
+        )
+        for kind, rejects, n in kinds:
+            if n:
+                rejects.write.mode("append").parquet(f"{job.rejects_path}/{kind}")
+    return SyncResult(
+        job.sink.table, window, n_rows - n_misfits, n_invalid + n_misfits, n_failed, fallback
+    )
+
+
+def _counted(df: DataFrame, observation: Observation, flag: str) -> DataFrame:
+    """AGG-1: rows and flagged rows, counted while they are written."""
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"), F.count(flag).alias("bad"))
 
 
 def _observed(seen: Observation) -> tuple[int, int]:
