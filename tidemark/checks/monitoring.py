@@ -127,11 +127,11 @@ PURCHASES = "event_type = 'purchase'"
     f"""SELECT * FROM (SELECT hour_bucket, records, lag(hour_bucket) OVER (ORDER BY hour_bucket) AS prev_hour,
             date_diff('hour', lag(hour_bucket) OVER (ORDER BY hour_bucket), hour_bucket) AS hours_gap
         FROM (SELECT date_trunc('hour', ts) AS hour_bucket, count(*) AS records FROM events
-              WHERE {PURCHASES} AND user_id < 300 GROUP BY 1)) WHERE hours_gap > 1""",
+              WHERE {PURCHASES} GROUP BY 1)) WHERE hours_gap > 1""",
 )
 def gap_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours without a purchase by one of the older accounts."""
-    events = table(spark, sf_dir, "events").filter(f"{PURCHASES} AND user_id < 300")
+    """Hours in which nothing was bought."""
+    events = table(spark, sf_dir, "events").filter(PURCHASES)
     return monitor.sync_gaps(events, "ts")
 
 

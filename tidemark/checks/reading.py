@@ -272,13 +272,13 @@ def and_or_on_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flt_8_sql_predicates",
     """SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events
        WHERE event_type IN ('view', 'click') AND NOT (event_type = 'error')
-       AND CAST(ts AS DATE) >= DATE '2024-01-30' - 7 AND user_id = 8""",
+       AND CAST(ts AS DATE) >= DATE '2024-01-30' - 7 AND value > 10""",
 )
 def sql_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = view(spark, sf_dir, "events")
     query = f"""SELECT event_id, user_id, event_type, to_date(ts) AS day FROM {events}
         WHERE event_type IN ('view', 'click') AND NOT (event_type = 'error')
-        AND ts >= date_sub(to_date(:today), 7) AND user_id = 8"""
+        AND ts >= date_sub(to_date(:today), 7) AND value > 10"""
     options = {"query": query, "arguments": {"today": "2024-01-30"}}
     return read_source(spark, SourceSpec("postgresql", options))
 

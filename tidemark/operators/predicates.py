@@ -29,7 +29,9 @@ COMPARISONS = {
 TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
-def document_filter(df: DataFrame, spec: str | Mapping[str, Any], variant: str | None = None):
+def document_filter(
+    df: DataFrame, spec: str | Mapping[str, Any], variant: str | None = None
+) -> DataFrame:
     """Rows of ``df`` that match. ``variant`` names a VARIANT column that holds the
     whole document; without it, fields are columns of ``df``."""
     return df.filter(filter_condition(df.schema, spec, variant))
