@@ -1,10 +1,13 @@
 """Schema detection and mapping."""
 
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.jsontext import parse
 from tidemark.operators import schema as schemas
 from tidemark.sources.documents import parse_documents
 
@@ -114,3 +117,42 @@ def test_declared_schema_reads_no_rows(spark):
     )
     rows = {r["name"]: (r["type"], r["mode"]) for r in schemas.declared_schema(df, schemas.WAREHOUSE).collect()}
     assert rows == {"id": ("INTEGER", "REQUIRED"), "xs": ("FLOAT", "REPEATED"), "s": ("RECORD", "REQUIRED")}
+
+
+def kind_of(v):
+    if isinstance(v, dict):
+        return {("$oid",): "objectId", ("$date",): "date"}.get(tuple(v), "object")
+    names = {bool: "boolean", int: "int", float: "double", str: "string", list: "array", type(None): "null"}
+    return names[type(v)]
+
+
+def brute_paths(document, prefix="", found=None):
+    """Paths and types of one document, for comparison only."""
+    found = [] if found is None else found
+    for key, v in document.items():
+        kind = kind_of(v)
+        found.append((prefix + key, kind))
+        inner = v if kind == "object" else (v[0] if kind == "array" and v else None)
+        if prefix.count(".") < 2 and isinstance(inner, dict) and kind_of(inner) == "object":
+            brute_paths(inner, f"{prefix}{key}.", found)
+    return found
+
+
+def test_random_documents(spark):
+    rng = random.Random(11)
+
+    def value(depth):
+        choice = rng.randrange(10 if depth < 5 else 7)
+        if choice < 7:
+            return [None, True, 7, 2.5, "x", {"$oid": "a1"}, {"$date": "2024-01-01"}][choice]
+        if choice == 7:
+            return [value(depth + 1) for _ in range(rng.randrange(3))]
+        return {rng.choice(["a", "b", "c", "d.e"]): value(depth + 1) for _ in range(rng.randrange(4))}
+
+    documents = [{k: value(1) for k in rng.sample(["a", "b", "c", "d.e", "f"], 3)} for _ in range(300)]
+    expected = Counter(p for d in documents for p in brute_paths(d))
+    texts = spark.createDataFrame([(json.dumps(d),) for d in documents], "raw STRING")
+    # Ids stay wrapped here, so that their class is seen.
+    variants = texts.select(parse(F.col("raw")).alias("document"))
+    got = {(r["path"], r["type"]): r["n"] for r in schemas.path_type_counts(variants, "document").collect()}
+    assert got == dict(expected)

@@ -258,8 +258,10 @@ FIELDS = "map<string,variant>"
 def _children() -> Column:
     """The fields below a row's value: its own, or those of an array's first element."""
     value, kind = F.col("value"), F.col("type")
+    first = F.try_variant_get(value, "$[0]", "variant")
+    first_is_object = (kind == "array") & (value_kind(first) == "object")
     return F.when(kind == "object", F.try_variant_get(value, "$", FIELDS)).when(
-        kind == "array", F.try_variant_get(value, "$[0]", FIELDS)
+        first_is_object, F.try_variant_get(value, "$[0]", FIELDS)
     )
 
 
