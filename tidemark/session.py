@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -53,6 +54,6 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         return tempfile.mkdtemp(prefix="run-", dir="/tmp")
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
