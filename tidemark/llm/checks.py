@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup
+from tidemark.llm import exact_dedup, quality_rules
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,8 @@ def query(name: str, sql: str | None = None):
 )
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(documents(spark, sf_dir))
+
+
+@query("op3_quality_rules")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.measure(documents(spark, sf_dir)).drop("clean_text")
