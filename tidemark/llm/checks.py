@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, quality_rules
+from tidemark.llm import chat, exact_dedup, packing, quality_model, quality_rules, sentencepiece_codec, toxicity
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +39,67 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(documents(spark, sf_dir)).drop("clean_text")
+
+
+def _scored(docs: DataFrame, score, modulus: int, held_out: int, least: float) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % modulus
+    return docs.select("doc_id", (remainder == held_out).alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= least).cast("int")
+    )
+
+
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _scored(docs, toxicity.score(spark, toxicity.fit(docs, labels)), 4, 2, 0.3)
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _scored(docs, quality_model.score(spark, quality_model.fit(docs, labels)), 3, 1, 0.5)
+
+
+@query("op4_sentencepiece")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepiece_codec.digests(sentencepiece_codec.encode_decode(documents(spark, sf_dir), path))
+
+
+@query("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+# Lengths of escaped text follow from counting what is escaped.
+_ESCAPES = ["<|im_start|>", "<|im_end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
+_ESCAPED_CHARS = "length({0}) + length({0}) - length(replace({0}, '\\', ''))" + "".join(
+    f" + (length({{0}}) - length(replace({{0}}, '{c}', ''))) // {len(c)}" for c in _ESCAPES
+)
+
+
+@query(
+    "op5_chat_formatting",
+    f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+       c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+        string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, '' ORDER BY turn, role, text) AS roles,
+        CAST(sum(24 + {_ESCAPED_CHARS.format("role")} + length(role) - length(replace(role, chr(10), '')) + {_ESCAPED_CHARS.format("text")}) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id)
+       SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+        formatted_chars, regexp_full_match(roles, 's?(ua)+') AS valid FROM c""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    both = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT -7L AS conv_id, turn, role, '{both}' AS text FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)")
+    rendered = chat.render(turns.unionByName(extra))
+    loss = F.col("loss_text")
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return chat.read_back(rendered, keep=("valid", "formatted")).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "valid",
+    )
