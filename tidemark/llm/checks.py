@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact_dedup, packing, quality_model, quality_rules, sentencepiece_codec, toxicity
+from tidemark.llm import chat, exact_dedup, ngram_join, packing, quality_model, quality_rules, sentencepiece_codec, toxicity
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"), "valid",
     )
+
+
+@query("op1_ngram_jaccard_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir))
