@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact_dedup, ngram_join, packing, quality_model, quality_rules, sentencepiece_codec, toxicity
+from tidemark.llm import chat, exact_dedup, ngram_join, packing, quality_model, quality_rules, sentencepiece_codec, sharding, toxicity
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_ngram_jaccard_join")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(documents(spark, sf_dir))
+
+
+@query("op10_sharding")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
