@@ -1,0 +1,180 @@
+"""Language-model scores by stupid backoff, from n-gram count tables joined to the texts' n-grams.
+
+The units are UTF-8 bytes, so that an n-gram is a number without loss and the tables grow far
+slower than the corpus; a text is preceded by start marks and followed by an end mark (both
+byte 0). Texts are dealt to two folds by a hash of the text, so that copies share one, and a
+text is scored by the counts of the other fold: no text vouches for itself. Counts are taken
+over all documents.
+
+S(w | context) = count(context w) / count(context), if the n-gram occurs, else 0.4 * S(w |
+shorter context); the last resort is 1/257. Tables of all orders are partitioned by the hash
+of the n-gram. A block of documents asks for each of its distinct n-grams once; the answers
+meet its texts again, and logarithms are summed per document.
+
+A null text is an empty one and has the end mark alone. Repeated rows get the same score
+each. An empty table gives an empty result. Memory: a block's texts and n-grams.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import byte_slices, keep, whole_text
+
+ORDER = 5  # at most 7, as an n-gram is kept in 64 bits
+BACKOFF = 0.4
+BLOCK_BYTES = 32 << 20  # of text that asks for its n-grams together
+
+
+def text_grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that end at each byte and at the end mark of each text, and how many each text has."""
+    sizes = np.diff(offsets)
+    gap = order - 1
+    # Each text moves right by the marks of those before it: ``gap`` start marks and an end mark each.
+    room = np.zeros(len(data) + (order * len(sizes)), np.uint64)
+    place = np.arange(len(data)) + np.repeat(np.arange(len(sizes)) * order + gap, sizes)
+    room[place] = data
+    ends = np.cumsum(sizes + order)
+    grams = np.zeros(max(0, len(room) - gap), np.uint64)
+    for k in range(order):
+        grams = (grams << np.uint64(8)) | room[k : k + len(grams)]
+    inside = np.ones(len(grams), bool)
+    for k in range(gap):  # windows that reach into the next text
+        cross = ends[:-1] - gap + k
+        inside[cross] = False
+    return grams[inside], sizes + 1
+
+
+def _blocks(texts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number rows by block; a block ends when it holds enough text."""
+    block, held = TaskContext.get().partitionId() << 32, 0
+    for batch in texts:
+        size = np.array(batch.column(3).to_numpy(zero_copy_only=False))
+        numbers = np.empty(len(size), np.int64)
+        for i, n in enumerate(size.tolist()):
+            if held and held + n > BLOCK_BYTES:
+                block, held = block + 1, 0
+            numbers[i] = block
+            held += n
+        yield pa.RecordBatch.from_arrays([pa.array(numbers), *batch.columns[:3]], ["block", "doc_id", "fold", "text"])
+
+
+def _counts(order: int):
+    """(block, gram, n0, n1): how often each n-gram occurs in the texts of either fold."""
+
+    def merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        found, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+        n = np.zeros((2, len(found)), np.int64)
+        for fold in (0, 1):
+            n[fold] = np.bincount(at, np.concatenate([c[fold] for _, c in parts]), len(found))
+        return found, n
+
+    def out(block: int, parts: list[tuple]) -> pa.RecordBatch:
+        grams, n = merged(parts)
+        columns = [pa.array(np.full(len(grams), block)), pa.array(grams.view(np.int64)), pa.array(n[0]), pa.array(n[1])]
+        return pa.RecordBatch.from_arrays(columns, ["block", "gram", "n0", "n1"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            folds = batch.column(2).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for begin, end in zip(edges, edges[1:], strict=False):
+                if begin == end:
+                    continue
+                if blocks[begin] != now and parts:
+                    yield out(now, parts)
+                    parts = []
+                now, done = int(blocks[begin]), begin
+                for data, offsets in byte_slices(batch.column(3).slice(begin, end - begin)):
+                    grams, sizes = text_grams(data, offsets, order)
+                    fold = np.repeat(folds[done : done + len(sizes)], sizes)
+                    done += len(sizes)
+                    both = np.sort((grams << np.uint64(1)) | fold.astype(np.uint64))
+                    edge = np.flatnonzero(np.diff(both, prepend=~both[:1]))
+                    count = np.diff(np.append(edge, len(both)))
+                    kind = both[edge] & np.uint64(1)
+                    parts.append((both[edge] >> np.uint64(1), np.stack([count * (kind == 0), count * (kind == 1)])))
+                    if len(parts) >= 16:
+                        parts = [merged(parts)]
+        if parts:
+            yield out(now, parts)
+
+    return run
+
+
+def backoff_tables(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(gram, s0, s1): the log score of every n-gram of the highest order, for texts of either fold."""
+    other = {"s0": "n1", "s1": "n0"}  # a text of fold 0 is scored by counts of fold 1
+    tables = {order: counts}
+    for k in range(order - 1, 0, -1):
+        suffix = F.col("gram").bitwiseAND(F.lit((1 << (8 * k)) - 1)).alias("gram")
+        tables[k] = tables[k + 1].groupBy(suffix).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    scores = None
+    for k in range(1, order + 1):
+        table = tables[k].withColumn("context", F.shiftright("gram", 8))
+        contexts = table.groupBy("context").agg(F.sum("n0").alias("c0"), F.sum("n1").alias("c1"))
+        table = table.join(contexts, "context")
+        if scores is None:
+            lower = {s: F.lit(float(np.log(1 / 257))) for s in other}
+        else:
+            last = scores.select(F.col("gram").alias("shorter"), F.col("s0").alias("l0"), F.col("s1").alias("l1"))
+            table = table.withColumn("shorter", F.col("gram").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1))).join(last, "shorter")
+            lower = {"s0": F.col("l0"), "s1": F.col("l1")}
+        shown = [
+            F.when(F.col(n) > 0, F.log(F.col(n) / F.col("c" + n[1]))).otherwise(lower[s] + float(np.log(BACKOFF))).alias(s)
+            for s, n in other.items()
+        ]
+        scores = keep(table.select("gram", *shown))
+    return scores
+
+
+def _sums(order: int, id_name: str):
+    """Texts of a block and the scores of its n-grams: the log score of each text."""
+
+    def run(texts: pa.Table, scores: pa.Table) -> pa.Table:
+        grams = scores["gram"].to_numpy().view(np.uint64)
+        by_gram = np.argsort(grams)
+        grams = grams[by_gram]
+        # The same n-gram may be asked for twice, with one answer.
+        values = np.stack([scores["s0"].to_numpy()[by_gram], scores["s1"].to_numpy()[by_gram]]) if len(grams) else np.zeros((2, 1))
+        folds = texts["fold"].to_numpy()
+        total, length, done = [], [], 0
+        for data, offsets in byte_slices(texts["text"]):
+            own, sizes = text_grams(data, offsets, order)
+            fold = np.repeat(folds[done : done + len(sizes)], sizes)
+            done += len(sizes)
+            found, at = np.unique(own, return_inverse=True)
+            place = np.searchsorted(grams, found)
+            if len(found) and (place.max() >= len(grams) or (grams[place] != found).any()):
+                raise ValueError("a block's n-grams were not all answered; its stored texts must have changed")
+            logs = values[fold, place[at]]
+            total.append(np.add.reduceat(logs, np.cumsum(sizes) - sizes))
+            length.append(sizes)
+        sums = np.concatenate(total) if total else np.zeros(0)
+        sizes = np.concatenate(length) if length else np.zeros(0, np.int64)
+        return pa.table({id_name: texts[id_name], "fold": pa.array(folds, pa.int32()), "n_grams": pa.array(sizes, pa.int64()), "log_score": pa.array(sums)})
+
+    return run
+
+
+def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
+    """One row per document: doc_id, fold, n_grams (bytes and end mark), log_score (sum of natural logs)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    text = whole_text()
+    rows = docs.select("doc_id", F.pmod(F.crc32(text), F.lit(2)).cast("int").alias("fold"), text.alias("text"), F.octet_length(text).cast("long").alias("size"))
+    # Blocks must be the same when counted and when scored, so they are stored.
+    blocks = keep(rows.mapInArrow(_blocks, f"block long, doc_id {kind}, fold int, text string"))
+    grams = keep(blocks.mapInArrow(_counts(order), "block long, gram long, n0 long, n1 long"))
+    counts = keep(grams.groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    answers = grams.select("block", "gram").join(backoff_tables(counts, order), "gram")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _sums(order, "doc_id"), f"doc_id {kind}, fold int, n_grams long, log_score double"
+    )
