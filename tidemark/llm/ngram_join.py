@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import IS_SPACE, LOWER, byte_slices, keep, mix, only_in, range_hashes, runs
+from tidemark.llm.common import IS_SPACE, LOWER, byte_slices, keep, mix, only_in, range_hashes, runs, sieve
 from tidemark.llm.components import components
 
 FREQUENT = 1 << 18  # n-grams that are ordered by their count: 2 MB to every task
@@ -262,8 +262,9 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     sizes = members.groupBy("block").count().filter("count > 1")
     parts = F.when(F.col("count") > 2 * PART, F.ceil(F.col("count") / PART)).otherwise(1).cast("int")
     placed = members.join(sizes, "block").withColumn("parts", parts)
-    placed = placed.withColumn("side", F.pmod(F.xxhash64("s1", "s2"), F.col("parts")).cast("int"))
-    with_text = named.join(placed, named["doc_id"] == placed["rep"]).drop("doc_id")
+    placed = keep(placed.withColumn("side", F.pmod(F.xxhash64("s1", "s2"), F.col("parts")).cast("int")))
+    candidates = named.filter(sieve(named, placed.select(F.col("rep").alias("doc_id"))))
+    with_text = candidates.join(placed, candidates["doc_id"] == placed["rep"]).drop("doc_id")
     tasks = with_text.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "block", F.least("side", "with").alias("left"), F.greatest("side", "with").alias("right"),
         "side", "s1", "s2", "rep", "size", "text",
