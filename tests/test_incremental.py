@@ -1,5 +1,6 @@
 """Marks, windows and templates."""
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -77,12 +78,20 @@ def test_templates():
     assert "updated_at > '2024-01-15 00:00:00' AND updated_at <= '2024-01-20 00:00:00'" in filled
 
 
-def test_whole_history_drops_the_standard_predicate_only():
-    assert "WHERE" not in inc.fill_template(STANDARD, None, NOW)
-    query, arguments = inc.bind_template(STANDARD, None, NOW)
-    assert "WHERE" not in query and arguments == {}
-    other = STANDARD.replace("updated_at", "changed_at")
-    assert "changed_at > '1900-01-01 00:00:00'" in inc.fill_template(other, None, NOW)
+def test_window_placeholder_reads_everything_or_a_range():
+    text = "SELECT * FROM t WHERE {window} AND a = 1"
+    assert inc.fill_template(text, None, NOW) == "SELECT * FROM t WHERE (1 = 1) AND a = 1"
+    assert inc.bind_template(text, None, NOW) == ("SELECT * FROM t WHERE (1 = 1) AND a = 1", {})
+    window = inc.Window(datetime(2024, 1, 15), datetime(2024, 1, 20))
+    assert "changed > '2024-01-15 00:00:00' AND changed <= '2024-01-20 00:00:00'" in inc.fill_template(text, window, NOW, "changed")
+    query, arguments = inc.bind_template(text, window, NOW, "changed")
+    assert "`changed` > :start_timestamp" in query and len(arguments) == 2
+
+
+def test_bounds_of_a_template_cannot_read_the_whole_history():
+    for place in (inc.fill_template, inc.bind_template):
+        with pytest.raises(ValueError):
+            place(STANDARD, None, NOW)
 
 
 def test_mark_of_missing_and_empty_table(spark, users):
@@ -126,39 +135,80 @@ def test_mark_failure_raises_or_falls_back(spark, users):
     users.select("id").write.option("path", sink.path).saveAsTable(sink.table)
     with pytest.raises(ValueError):
         run_sync(spark, job_over(users, sink, sync=SyncSpec(incremental=True)), NOW)
-    result = run_sync(spark, job_over(users, sink, sync=SyncSpec(incremental=True, on_error="full")), NOW)
+    full = SyncSpec(incremental=True, on_error="full")
+    with pytest.raises(ValueError):  # appending everything would double what is there
+        run_sync(spark, job_over(users, sink, sync=full), NOW)
+    result = run_sync(spark, job_over(users, replace(sink, write="truncate"), sync=full), NOW)
     assert result.written == 5 and "updated_at" in result.fallback
+    assert spark.table(sink.table).count() == 5
+
+
+def test_source_without_the_timestamp_is_refused(spark, users):
+    with pytest.raises(ValueError):
+        run_sync(spark, job_over(users.drop("updated_at"), new_sink(spark), sync=SyncSpec(incremental=True)), NOW)
 
 
 class FakeReader:
-    """Stands in for ``spark.read`` and notes what it is asked for."""
+    """Stands in for ``spark.read`` over a database and notes what it is asked for."""
+
+    def __init__(self, least, most, nulls):
+        self.bounds, self.asked = {"least": least, "most": most, "nulls": nulls}, []
 
     def jdbc(self, url, table, **options):
-        self.asked = (url, table, options)
+        self.asked.append((url, table, options.get("predicates")))
         return self
 
+    def first(self):
+        return self.bounds
+
 
-def test_jdbc_window_is_read_in_slices():
+def sliced(options, window, bounds, **sync):
     class Session:
-        read = FakeReader()
+        read = FakeReader(*bounds)
 
-    source = SourceSpec("postgresql", {"url": "jdbc:x", "table": "t", "partitions": 3})
-    job = SyncJob([source], None, sync=SyncSpec(incremental=True))
-    window = inc.Window(datetime(2024, 1, 1), datetime(2024, 1, 4))
-    url, table, options = read_rows(Session, source, job, window, NOW).asked
-    assert (url, table) == ("jdbc:x", "t")
-    assert options["predicates"][0] == "updated_at > '2024-01-01 00:00:00' AND updated_at <= '2024-01-02 00:00:00'"
-    assert len(options["predicates"]) == 3
+    job = SyncJob([SourceSpec("postgresql", {"url": "jdbc:x", "partitions": 3, **options})], None, sync=SyncSpec(**sync))
+    read_rows(Session, job.sources[0], job, window, NOW)
+    return Session.read.asked
+
+
+DAY = lambda d: datetime(2024, 1, d)
+
+
+def test_jdbc_window_is_clipped_to_the_source_and_read_in_slices():
+    bounds, rows = sliced({"table": "t"}, inc.Window(inc.OLDEST, DAY(9)), (DAY(1), DAY(4), 2), incremental=True)
+    assert "min(updated_at)" in bounds[1] and "FROM t)" in bounds[1]
+    assert rows[:2] == ("jdbc:x", "t") and len(rows[2]) == 3 and "IS NULL" not in " ".join(rows[2])
+    assert rows[2][0].startswith("updated_at > '2023-12-31 23:59:59'") and rows[2][-1].endswith("<= '2024-01-04 00:00:00'")
+    ends = [x.split("'") for x in rows[2]]
+    assert all(a[3] == b[1] for a, b in zip(ends, ends[1:]))
+
+
+@pytest.mark.parametrize("sync", [{"incremental": True}, {"source_timestamp": "updated_at"}])
+def test_first_load_and_full_refresh_have_a_slice_for_nulls(sync):
+    _, rows = sliced({"table": "t"}, None, (DAY(1), DAY(4), 2), **sync)
+    assert len(rows[2]) == 4 and rows[2][-1] == "updated_at IS NULL"
+    assert sliced({"table": "t"}, None, (None, None, 5), **sync)[1][2] == ["updated_at IS NULL"]
+    assert sliced({"table": "t"}, None, (None, None, 0), **sync)[1][2] == ["1 = 0"]
+
+
+def test_template_over_jdbc_is_a_derived_table_in_slices():
+    bounds, rows = sliced({"template": STANDARD}, inc.Window(DAY(1), DAY(4)), (DAY(2), DAY(3), 0), incremental=True)
+    assert "updated_at > '2024-01-01 00:00:00'" in rows[1] and rows[1].endswith(") AS source_rows") and "ORDER BY" not in rows[1]
+    assert len(rows[2]) == 3 and rows[1] in bounds[1]
+
+
+def test_unsplit_jdbc_read_is_refused():
+    with pytest.raises(ValueError):
+        sliced({"table": "t"}, None, (None, None, 0))
 
 
-def test_template_over_jdbc_is_filled():
+def test_template_over_another_reader_is_bound():
     asked = {}
     register_reader("noted", lambda spark, options: asked.update(options))
-    source = SourceSpec("noted", {"url": "jdbc:x", "template": STANDARD, "query": "SELECT 1"})
+    source = SourceSpec("noted", {"template": STANDARD, "query": "SELECT 1"})
     job = SyncJob([source], None, sync=SyncSpec(incremental=True))
-    window = inc.Window(datetime(2024, 1, 1), datetime(2024, 1, 4))
-    read_rows(None, source, job, window, NOW)
-    assert "updated_at > '2024-01-01 00:00:00'" in asked["query"]
+    read_rows(None, source, job, inc.Window(DAY(1), DAY(4)), NOW)
+    assert ":start_timestamp" in asked["query"] and asked["arguments"]["start_timestamp"] == "2024-01-01 00:00:00"
 
 
 def test_failed_conversions_go_to_the_rejects(spark):

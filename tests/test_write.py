@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.checks import new_sink
-from tidemark.config import SourceSpec, SyncJob
+from tidemark.config import SourceSpec, SyncJob, SyncSpec
 from tidemark.operators.write import TableNotEmpty, create_table, layout, write_batch, write_table
 from tidemark.plans.sync import run_sync
 from tidemark.session import shared_dir
@@ -69,9 +69,53 @@ def test_columns_are_matched_by_name_and_added(spark, rows):
     assert stored.filter("note = 'n'").count() == 6 and stored.filter("note IS NULL").count() == 6
 
 
-def test_clustering_is_checked(rows):
+def test_data_the_table_lacks_a_column_for_is_refused(spark, rows):
+    sink = new_sink(spark, add_columns=False)
+    write_table(rows, sink)
+    with pytest.raises(ValueError):
+        write_table(rows.withColumn("note", F.lit("n")), sink)
+    assert spark.table(sink.table).count() == 6
+
+
+def test_contradicting_options_are_refused(spark, rows):
+    never = new_sink(spark, create="never", delete_existing=True)
+    with pytest.raises(ValueError):
+        write_table(rows, replace(never, create="if_needed", write="nope"))
+    with pytest.raises(ValueError):
+        run_sync(spark, SyncJob([SourceSpec("postgresql", {"query": "SELECT 1"})], never), datetime(2024, 1, 1))
+
+
+def test_created_anew_by_an_incremental_sync(spark, rows):
+    """Everything is read again, and the old rows go only when the new ones are there."""
+    rows.createOrReplaceTempView("anew_rows")
+    job = SyncJob([SourceSpec("postgresql", {"query": "SELECT * FROM anew_rows"})], new_sink(spark), SyncSpec(incremental=True))
+    now = datetime(2024, 2, 1)
+    assert run_sync(spark, job, now).written == 6
+    anew = replace(job, sink=replace(job.sink, delete_existing=True))
+    result = run_sync(spark, anew, now)
+    assert (result.table, result.written, spark.table(job.sink.table).count()) == (job.sink.table, 6, 6)
+    own = replace(anew, sources=[SourceSpec("postgresql", {"query": f"SELECT id, updated_at FROM {job.sink.table}"})])
     with pytest.raises(ValueError):
-        layout(rows, None, ["id", "id", "id", "id", "id"])
+        run_sync(spark, own, now)
+    assert spark.table(job.sink.table).count() == 6
+
+
+def test_no_row_is_lost(spark):
+    """Rows written and rows rejected are the rows read, also without a folder for rejects and with default options."""
+    spark.sql("SELECT id, id AS code FROM range(5)").createOrReplaceTempView("left_rows")
+    spark.sql("SELECT id + 100 AS id, concat('S', id) AS code FROM range(7)").createOrReplaceTempView("right_rows")
+    sources = [SourceSpec("postgresql", {"query": f"SELECT * FROM {v}"}) for v in ("left_rows", "right_rows")]
+    job = SyncJob(sources, new_sink(spark))
+    result = run_sync(spark, job, datetime(2024, 1, 1))
+    assert (result.written, result.rejected, spark.table(job.sink.table).count()) == (12, 0, 12)
+    spark.sql(f"CREATE TABLE {job.sink.table}_n (id BIGINT, code BIGINT) USING parquet LOCATION '{job.sink.path}_n'")
+    narrow = replace(job, sink=replace(job.sink, table=f"{job.sink.table}_n", path=f"{job.sink.path}_n"))
+    result = run_sync(spark, narrow, datetime(2024, 1, 1))
+    assert (result.written, result.rejected) == (5, 7)
+    assert spark.read.parquet(f"{result.rejects}/types").count() == 7
+
+
+def test_clustering_is_checked(rows):
     with pytest.raises(ValueError):
         layout(rows, None, ["nope"])
 

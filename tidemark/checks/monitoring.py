@@ -119,33 +119,44 @@ def across_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("l_orderkey", "l_linenumber", "l_extendedprice", "s_name", "n_name")
 
 
-PURCHASES = "event_type = 'purchase'"
-
-
 @check(
     "win_1_gap_detection",
-    f"""SELECT * FROM (SELECT hour_bucket, records, lag(hour_bucket) OVER (ORDER BY hour_bucket) AS prev_hour,
+    """SELECT * FROM (SELECT hour_bucket, records, lag(hour_bucket) OVER (ORDER BY hour_bucket) AS prev_hour,
             date_diff('hour', lag(hour_bucket) OVER (ORDER BY hour_bucket), hour_bucket) AS hours_gap
-        FROM (SELECT date_trunc('hour', ts) AS hour_bucket, count(*) AS records FROM events
-              WHERE {PURCHASES} GROUP BY 1)) WHERE hours_gap > 1""",
+        FROM (SELECT date_trunc('hour', o_orderdate) AS hour_bucket, count(*) AS records FROM orders GROUP BY 1))
+       WHERE hours_gap > 1""",
 )
 def gap_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hours in which nothing was bought."""
-    events = table(spark, sf_dir, "events").filter(PURCHASES)
-    return monitor.sync_gaps(events, "ts")
+    """Orders carry a day, so every day is an hour bucket and the hours between are gaps."""
+    return monitor.sync_gaps(table(spark, sf_dir, "orders"), "o_orderdate")
 
 
 @check(
-    "win_2_low_volume_hours",
-    f"""SELECT hour_bucket, coalesce(records, 0) AS records FROM
-            (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00', INTERVAL 1 HOUR)) AS hour_bucket)
-        LEFT JOIN (SELECT date_trunc('hour', ts) AS hour_bucket, count(*) AS records FROM events
-                   WHERE {PURCHASES} GROUP BY 1) USING (hour_bucket)
-        WHERE coalesce(records, 0) < 3""",
+    "win_1_gaps_of_events",
+    """SELECT * FROM (SELECT hour_bucket, records, lag(hour_bucket) OVER (ORDER BY hour_bucket) AS prev_hour,
+            date_diff('hour', lag(hour_bucket) OVER (ORDER BY hour_bucket), hour_bucket) AS hours_gap
+        FROM (SELECT date_trunc('hour', ts) AS hour_bucket, count(*) AS records FROM events GROUP BY 1)) WHERE hours_gap > 1""",
 )
+def gaps_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitor.sync_gaps(table(spark, sf_dir, "events"), "ts")
+
+
+LOW_HOURS = """SELECT hour_bucket, coalesce(records, 0) AS records FROM
+            (SELECT unnest(generate_series(TIMESTAMP '{first}', TIMESTAMP '{last}', INTERVAL 1 HOUR)) AS hour_bucket)
+        LEFT JOIN (SELECT date_trunc('hour', ts) AS hour_bucket, count(*) AS records FROM events GROUP BY 1) USING (hour_bucket)
+        WHERE coalesce(records, 0) < 15"""
+
+
+@check("win_2_low_volume_hours", LOW_HOURS.format(first="2024-01-01", last="2024-01-30 23:00:00"))
 def low_volume_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").filter(PURCHASES)
-    return monitor.low_volume_hours(events, "ts", START, END, threshold=3)
+    return monitor.low_volume_hours(table(spark, sf_dir, "events"), "ts", START, END, threshold=15)
+
+
+@check("win_2_bounds_off_the_hour", LOW_HOURS.format(first="2024-01-03 04:00:00", last="2024-02-02 17:00:00"))
+def low_volume_off_the_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours that the bounds lie in count as a whole."""
+    start, end = datetime(2024, 1, 3, 4, 30), datetime(2024, 2, 2, 17, 0, 1)
+    return monitor.low_volume_hours(table(spark, sf_dir, "events"), "ts", start, end, threshold=15)
 
 
 @check(

@@ -5,11 +5,13 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.checks import check, new_sink, table, view
 from tidemark.config import SourceSpec, SyncJob, SyncSpec, TransformSpec
+from tidemark.operators.schema import destination_struct
+from tidemark.operators.write import create_table
 from tidemark.plans.sync import run_sync
 from tidemark.session import shared_dir
 
@@ -178,7 +180,6 @@ def multi_source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
             SourceSpec("mongodb", {"path": path, "schema": "id BIGINT, name STRING, code STRING"}),
         ],
         sink=new_sink(spark, partition_field=None),
-        sync=SyncSpec(auto_schema=False),
     )
     return spark.table(run_sync(spark, job, NOW).table)
 
@@ -203,11 +204,66 @@ def table_replication(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected rows are kept as data, with the reason."""
     from tidemark.operators.schema import FieldSpec
-    from tidemark.operators.validate import REASON, split, validate
+    from tidemark.operators.validate import REASON, validate
 
     source = F.when(F.col("lang") != "fr", F.col("source"))
     documents = table(spark, sf_dir, "documents").withColumn("source", source)
     flagged = validate(documents, {"source": FieldSpec("STRING", "REQUIRED")}, require=True)
-    valid, rejects = split(flagged)
-    kept = valid.select("doc_id", "lang", F.lit(None).cast("string").alias("reason"))
-    return kept.unionByName(rejects.select("doc_id", "lang", F.col(REASON).alias("reason")))
+    return flagged.select("doc_id", "lang", F.col(REASON).alias("reason"))
+
+
+@check(
+    "pip_rejects_of_a_sync",
+    """SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 'validation' WHEN p_size % 5 = 1 THEN 'transformation'
+        WHEN p_size % 5 = 2 THEN 'types' ELSE 'table' END AS found_in FROM part""",
+)
+def rejects_of_a_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three kinds of reject, read back from their folders; a repeated refresh replaces them."""
+    kind = F.col("p_size") % 5
+    table(spark, sf_dir, "part").select(
+        "p_partkey", F.when(kind != 0, F.col("p_brand")).alias("brand"),
+        F.when(kind == 1, F.lit("on request")).otherwise(F.lit("2.5")).alias("price"),
+        F.when(kind == 2, F.lit("many")).otherwise(F.col("p_size").cast("string")).alias("size"),
+    ).createOrReplaceTempView("parts_in_text")
+    sink = new_sink(spark, write="truncate", partition_field=None)
+    columns = (("p_partkey", "INTEGER"), ("brand", "STRING"), ("price", "FLOAT"), ("size", "INTEGER"))
+    rows = [
+        Row(name=n, destination_type=t, mode="REQUIRED" if n == "brand" else "NULLABLE", description=n) for n, t in columns
+    ]
+    create_table(spark, sink, destination_struct(rows))
+    job = SyncJob(
+        sources=[SourceSpec("postgresql", {"query": "SELECT * FROM parts_in_text"})],
+        sink=sink,
+        transform=TransformSpec(type_conversions={"price": "FLOAT"}),
+        rejects_path=f"{shared_dir(spark)}/rejects",
+        require_fields=True,
+    )
+    run_sync(spark, job, NOW)
+    result = run_sync(spark, job, NOW)
+    found = spark.table(result.table).select("p_partkey", F.lit("table").alias("found_in"))
+    for folder in ("validation", "transformation", "types"):
+        rejects = spark.read.parquet(f"{result.rejects}/{folder}")
+        found = found.unionByName(rejects.select("p_partkey", F.lit(folder).alias("found_in")))
+    return found
+
+
+@check("pip_2_template_all_rows", "SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END AS o_orderdate FROM orders")
+def template_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run of a template reads rows without and after the window's time as well."""
+    orders = table(spark, sf_dir, "orders")
+    dated = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate")).alias("o_orderdate")
+    orders.select("o_orderkey", dated).createOrReplaceTempView("orders_partly_dated")
+    template = "SELECT * FROM orders_partly_dated WHERE {window} ORDER BY o_orderdate"
+    job = replace(
+        _incremental_job(spark, sf_dir, "all_rows"), sources=[SourceSpec("postgresql", {"template": template})]
+    )
+    return spark.table(run_sync(spark, job, FIRST).table)
+
+
+@check("pip_recreate_incremental", "SELECT * FROM orders")
+def recreate_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A destination created anew by an incremental sync holds all history, not only what is new."""
+    job = _incremental_job(spark, sf_dir, "all_rows")
+    run_sync(spark, job, FIRST)
+    again = replace(job, sink=replace(job.sink, delete_existing=True))
+    return spark.table(run_sync(spark, again, NOW).table)

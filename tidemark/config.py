@@ -53,8 +53,9 @@ class TransformSpec:
 class SourceSpec:
     """One source: the reader's name and that reader's own options.
 
-    An incremental sync also takes the option ``template``: SQL with the
-    placeholders ``{start_timestamp}`` and ``{end_timestamp}``.
+    An incremental sync also takes the option ``template``: SQL with the placeholder
+    ``{window}`` for the whole condition, or with ``{start_timestamp}`` and
+    ``{end_timestamp}`` for its bounds. Only ``{window}`` can read the whole history.
     """
 
     kind: str
@@ -66,7 +67,8 @@ class SyncSpec:
     """How much to read. ``on_empty`` applies when the destination holds nothing."""
 
     incremental: bool = False
-    timestamp_column: str = "updated_at"
+    timestamp_column: str = "updated_at"  # of the destination
+    source_timestamp: str | None = None  # where the sources name it otherwise; also splits a full read over JDBC
     on_empty: str = "all_rows"  # all_rows | since_1900 | lookback
     fallback_days: int = 1
     on_error: str = "raise"  # raise | full
@@ -93,9 +95,13 @@ class SinkSpec:
 @dataclass(frozen=True)
 class SyncJob:
     """``rejects_path`` receives records that fail validation, transformation or the
-    destination's types, in a folder each. Without it they are counted only, but for
-    failed transformations: those records are written to the table with their
-    original values and ``_transformation_error``."""
+    destination's types, in a folder each and under the run's ``now``, so that a repeated
+    run replaces its own. Without it they are kept in a new folder of the shared one (see
+    ``SyncResult.rejects``), but for failed transformations: those records are written to
+    the table with their original values and ``_transformation_error``.
+
+    ``max_record_chars`` is VAL-10's limit; None lifts it. ``require_fields`` rejects a
+    record that lacks a REQUIRED field."""
 
     sources: Sequence[SourceSpec]
     sink: SinkSpec
@@ -104,3 +110,5 @@ class SyncJob:
     custom: Sequence[Callable] = ()
     array_literals: str = "all"  # all | repeated_only
     rejects_path: str | None = None
+    max_record_chars: int | None = 104_857_600
+    require_fields: bool = False

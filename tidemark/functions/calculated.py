@@ -15,6 +15,11 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def quoted_table(name: str) -> str:
+    """A table name with every part quoted; one that brings its own quotes stays."""
+    return name if "`" in name else ".".join(map(quote, name.split(".")))
+
+
 def calculate(expression: str, schema: T.StructType) -> Column:
     types = {f.name: f.dataType for f in schema}
     if "+" in expression:

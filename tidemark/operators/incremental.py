@@ -18,14 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.calculated import quote
+from tidemark.functions.calculated import quote, quoted_table
 
-# The oldest start, and the predicate that a template loses when
-# the whole history is read.
+# Fixed value: the oldest start.
 OLDEST = datetime(1900, 1, 1)
-WHOLE_HISTORY_PREDICATE = (
-    "WHERE updated_at > '{start_timestamp}' AND updated_at <= '{end_timestamp}'"
-)
 ON_EMPTY = ("all_rows", "since_1900", "lookback")
 
 
@@ -66,7 +62,7 @@ def newest_day(spark: SparkSession, table: str, day_column: str) -> Column:
     """The newest day partition: from the catalog's partition list when it keeps
     one, else as a scalar subquery that becomes a partition filter."""
     try:
-        listed = spark.sql(f"SHOW PARTITIONS {table}")
+        listed = spark.sql(f"SHOW PARTITIONS {quoted_table(table)}")
     except AnalysisException:
         day = spark.table(table).agg(F.max(quote(day_column)).alias("day"))
         return day.scalar()
@@ -128,27 +124,48 @@ def window_arguments(window: Window | None, now: datetime) -> dict[str, str]:
     }
 
 
+def _placed(template: str, window: Window | None, predicate: str) -> str:
+    """A template with its ``{window}`` filled in.
+
+    The bounds of the whole history are no predicate at all, so a template that spells
+    its own bounds cannot read it: null and later timestamps would be lost silently.
+    """
+    if window is None and "{window}" not in template:
+        raise ValueError("a template that reads the whole history takes {window} as its condition")
+    return template.replace("{window}", predicate if window else "(1 = 1)")
+
+
 def bind_template(
-    template: str, window: Window | None, now: datetime
+    template: str, window: Window | None, now: datetime, timestamp: str = "updated_at"
 ) -> tuple[str, dict[str, str]]:
     """INC-8: a template as SQL with named parameters, and their values, for Spark SQL."""
-    if window is None and WHOLE_HISTORY_PREDICATE in template:
-        template = template.replace(WHOLE_HISTORY_PREDICATE, "")
+    column = quote(timestamp)
+    template = _placed(template, window, f"({column} > :start_timestamp AND {column} <= :end_timestamp)")
     bound = re.sub(r"'?\{(start_timestamp|end_timestamp)\}'?", r":\1", template)
     values = window_arguments(window, now)
     return bound, {name: text for name, text in values.items() if f":{name}" in bound}
 
 
-def fill_template(template: str, window: Window | None, now: datetime) -> str:
+def fill_template(
+    template: str, window: Window | None, now: datetime, timestamp: str = "updated_at"
+) -> str:
     """INC-8 for a database that takes plain SQL text. The values are formatted from
     datetimes, so nothing else can enter the text."""
-    if window is None and WHOLE_HISTORY_PREDICATE in template:
-        template = template.replace(WHOLE_HISTORY_PREDICATE, "")
+    bounds = f"({timestamp} > '{{start_timestamp}}' AND {timestamp} <= '{{end_timestamp}}')"
+    template = _placed(template, window, bounds)
     for name, text in window_arguments(window, now).items():
         template = template.replace("{" + name + "}", text)
     return template
 
 
+def clipped(window: Window | None, least: datetime, most: datetime) -> Window:
+    """The part of the window that has rows: slices of it are empty only by the source's own gaps."""
+    before = least - timedelta(seconds=1)
+    if window is None:
+        return Window(before, most)
+    return Window(max(window.start, before), min(window.end, most))
+
+
 def window_slices(window: Window, parts: int) -> list[Window]:
     """Adjoining sub-windows that cover the window exactly: one JDBC partition each."""
     step = (window.end - window.start) / parts

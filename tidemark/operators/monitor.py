@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,11 +48,14 @@ def sync_gaps(df: DataFrame, timestamp: str, since: datetime | None = None) -> D
 def low_volume_hours(
     df: DataFrame, timestamp: str, start: datetime, end: datetime, threshold: int = 100
 ) -> DataFrame:
-    """WIN-2: hours of ``[start, end)`` with fewer records than the threshold, empty
-    hours included. The calendar is generated, so an hour without rows is seen."""
+    """WIN-2: hours with fewer records than the threshold, empty hours included. The
+    calendar is generated, so an hour without rows is seen. Hours are whole: the range is
+    widened to the hours that ``start`` and ``end`` lie in."""
+    start = start.replace(minute=0, second=0, microsecond=0)
+    end = -((start - end) // timedelta(hours=1)) * timedelta(hours=1) + start
     rows = df.filter((_col(timestamp) >= _ntz(start)) & (_col(timestamp) < _ntz(end)))
     counts = hourly_counts(rows, timestamp)
-    hours = int((end - start).total_seconds() // 3600)
+    hours = max(0, (end - start) // timedelta(hours=1))
     calendar = df.sparkSession.range(hours).select(
         F.timestamp_add("HOUR", F.col("id"), _ntz(start)).alias("hour_bucket")
     )

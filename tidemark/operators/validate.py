@@ -257,14 +257,14 @@ def validate(
     df: DataFrame,
     schema: Mapping[str, FieldSpec] | None = None,
     array_literals: str = "all",
-    limit: int = MAX_CHARACTERS,
+    limit: int | None = MAX_CHARACTERS,
     require: bool = False,
     typed: bool = False,
 ) -> DataFrame:
     """Coerced records with ``_reject_reason``; ``split`` separates the two kinds.
 
     ``require`` also rejects nulls in REQUIRED columns, ``typed`` casts to the
-    destination's types and rejects what does not fit. Whatever can be decided on
+    destination's types and rejects what does not fit; no ``limit`` means any length. Whatever can be decided on
     the source columns is, so that a filter on the reason does not coerce twice.
     """
     schema = schema or {}
@@ -273,13 +273,16 @@ def validate(
         F.when(F.col(quote(n)).isNull(), f"Required field {n} is null")
         for n in (required if require else ())
     ]
+    long = F.lit(False) if limit is None else may_exceed(df.schema, limit, COERCED_GROWTH)
     checked = df.select(
         "*",
-        may_exceed(df.schema, limit, COERCED_GROWTH).alias(LONG),
+        long.alias(LONG),
         (F.coalesce(*absent) if absent else F.lit(None).cast("string")).alias(REASON),
     )
     coerced = checked.select(*coerced_columns(df, schema, array_literals), LONG, REASON)
-    too_long = F.when(F.col(LONG), json_length(df.columns) > limit)
-    reason = F.when(too_long, TOO_LONG).otherwise(F.col(REASON))
+    reason = F.col(REASON)
+    if limit is not None:
+        too_long = F.when(F.col(LONG), json_length(df.columns) > limit)
+        reason = F.when(too_long, TOO_LONG).otherwise(reason)
     flagged = coerced.withColumn(REASON, reason).drop(LONG)
     return conform(flagged, spark_types(schema)) if typed else flagged

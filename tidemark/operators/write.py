@@ -6,16 +6,19 @@ derived column ``<field>_day``; a filter on it prunes partitions.
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import SinkSpec
-from tidemark.functions.calculated import quote
+from tidemark.functions.calculated import quote, quoted_table
 
-MAX_CLUSTERING = 4
+_STATIC_MODE = threading.Lock()
 WRITES = ("append", "truncate", "empty")
 TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
@@ -47,8 +50,6 @@ def layout(df: DataFrame, day: str | None, clustering: Sequence[str] = ()) -> Da
     it splits by map output. Unlike a range partitioning it does not evaluate the
     rows twice to sample them. Sorted files give Parquet tight row-group statistics.
     """
-    if len(clustering) > MAX_CLUSTERING:
-        raise ValueError(f"at most {MAX_CLUSTERING} clustering fields")
     missing = [c for c in clustering if c not in df.columns]
     if missing:
         raise ValueError(f"clustering fields not in the data: {missing}")
@@ -60,6 +61,8 @@ def layout(df: DataFrame, day: str | None, clustering: Sequence[str] = ()) -> Da
 
 def create_table(spark: SparkSession, spec: SinkSpec, schema: T.StructType) -> bool:
     """SNK-1, SNK-4: create the table from a schema; False when it was there already."""
+    if spec.create == "never" and spec.delete_existing:
+        raise ValueError("a table that is never created can't be created anew")
     if spec.delete_existing:
         drop_table(spark, spec.table)
     if spark.catalog.tableExists(spec.table):
@@ -81,7 +84,7 @@ def drop_table(spark: SparkSession, table: str) -> None:
     """Rows included: those of a table with its own path would outlive the entry."""
     if spark.catalog.tableExists(table):
         _replace_all(spark.createDataFrame([], spark.table(table).schema), table)
-        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"DROP TABLE {quoted_table(table)}")
 
 
 def add_missing_columns(spark: SparkSession, table: str, schema: T.StructType) -> list[str]:
@@ -89,8 +92,8 @@ def add_missing_columns(spark: SparkSession, table: str, schema: T.StructType) -
     known = set(spark.table(table).columns)
     new = [f for f in schema if f.name not in known]
     if new:
-        columns = ", ".join(f"{quote(f.name)} {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+        columns = ", ".join(T.StructType([T.StructField(f.name, f.dataType)]).toDDL() for f in new)
+        spark.sql(f"ALTER TABLE {quoted_table(table)} ADD COLUMNS ({columns})")
     return [f.name for f in new]
 
 
@@ -117,6 +120,8 @@ def write_table(df: DataFrame, spec: SinkSpec) -> None:
         raise TableNotEmpty(spec.table)
     if spec.add_columns:
         add_missing_columns(spark, spec.table, df.schema)
+    elif missing := set(df.columns) - set(spark.table(spec.table).columns):
+        raise ValueError(f"{spec.table} lacks columns of the data: {sorted(missing)}")
     target = spark.table(spec.table).schema
     day = day_column(spec.partition_field) if spec.partition_field else None
     if day not in target.fieldNames():
@@ -131,15 +136,32 @@ def write_table(df: DataFrame, spec: SinkSpec) -> None:
 
 
 def _replace_all(df: DataFrame, table: str) -> None:
-    """Overwrite every partition, also in a session that overwrites only touched ones."""
+    """Overwrite every partition, also in a session that overwrites only touched ones.
+
+    Inserting into a table of the catalog takes the mode from the session alone (a writer
+    option has no effect there), so a session runs one such write at a time.
+    """
     key = "spark.sql.sources.partitionOverwriteMode"
     conf = df.sparkSession.conf
-    before = conf.get(key)
-    conf.set(key, "static")
-    try:
-        df.write.insertInto(table, overwrite=True)
-    finally:
-        conf.set(key, before)
+    with _STATIC_MODE:
+        before = conf.get(key)
+        conf.set(key, "static")
+        try:
+            df.write.insertInto(table, overwrite=True)
+        finally:
+            conf.set(key, before)
+
+
+def replacement(spec: SinkSpec) -> SinkSpec:
+    """SNK-4 without a gap: a new table beside the old one, to be swapped in when it is written."""
+    mark = uuid.uuid4().hex[:8]
+    path = f"{spec.path.rstrip('/')}_{mark}" if spec.path else None
+    return replace(spec, table=f"{spec.table}_{mark}", path=path, delete_existing=False)
+
+
+def swap_in(spark: SparkSession, new: SinkSpec, table: str) -> None:
+    drop_table(spark, table)
+    spark.sql(f"ALTER TABLE {quoted_table(new.table)} RENAME TO {quoted_table(table)}")
 
 
 def write_batch(df: DataFrame, path: str, batch: str, batch_column: str = "sync_batch") -> None:

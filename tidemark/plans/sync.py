@@ -7,10 +7,12 @@ jobs before it: the schema aggregate, the high-water mark and the emptiness test
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,13 +29,16 @@ from tidemark.operators.incremental import (
 from tidemark.operators.transform import ERROR, Transformed, chain, transform
 from tidemark.operators.union import union_all
 from tidemark.operators.validate import REASON, conform, split, validate
-from tidemark.operators.write import create_table, day_column, write_table
+from tidemark.operators.write import create_table, day_column, replacement, swap_in, write_batch, write_table
+from tidemark.session import shared_dir
 from tidemark.sources import read_source
-from tidemark.sources.relational import RelationalSource, read_window
+from tidemark.sources.relational import RelationalSource, read_slices, unordered
 
 log = logging.getLogger(__name__)
 
 KINDS = {"mongodb": schemas.DOCUMENT, "bigquery": schemas.WAREHOUSE}
+Detector = Callable[[DataFrame], DataFrame]
+DETECTORS: dict[str, Detector] = {}
 
 
 @dataclass(frozen=True)
@@ -44,50 +49,81 @@ class SyncResult:
     rejected: int
     failed: int = 0
     fallback: str | None = None
+    rejects: str | None = None  # the folder that holds this run's rejected records
 
 
 def run_sync(spark: SparkSession, job: SyncJob, now: datetime) -> SyncResult:
     """Run one sync. ``now`` is UTC and ends the window, so that a repeated run reads
-    the same rows."""
+    the same rows.
+
+    A destination that is to be created anew is empty from the start: everything the
+    options say about an empty one is read, into a new table that takes the old one's
+    place when it is written.
+    """
+    _refuse(job)
+    anew = job.sink.delete_existing and spark.catalog.tableExists(job.sink.table)
+    target, job = job.sink.table, replace(job, sink=replacement(job.sink)) if anew else job
     window, fallback = _window(spark, job, now)
     frames = [read_rows(spark, source, job, window, now, fallback) for source in job.sources]
+    if anew:
+        _refuse_own_rows(spark, frames, target)
+    united = union_all(frames)
     if job.sync.auto_schema:
-        _prepare_table(spark, job, frames[0])
+        _prepare_table(spark, job, united)
     checked, converted, fitted = Observation(), Observation(), Observation()
     destination = schemas.destination_schema(spark, job.sink.table)
-    valid, invalid = split(
-        _counted(validate(union_all(frames), destination, job.array_literals), checked, REASON)
-    )
+    flagged = validate(united, destination, job.array_literals, job.max_record_chars, job.require_fields)
+    valid, invalid = split(_counted(flagged, checked, REASON))
     result = Transformed(_counted(transform(valid, job.transform).frame, converted, ERROR))
     types = {f.name: f.dataType for f in spark.table(job.sink.table).schema} if destination else {}
     rows, misfits = split(_counted(conform(finish(result, job), types), fitted, REASON))
     write_table(rows, job.sink)
-    (_, n_invalid), (_, n_failed), (n_rows, n_misfits) = map(_observed, (checked, converted, fitted))
+    (_, n_invalid), (_, n_failed), (n_rows, n_misfits) = (
+        _observed(seen, united) for seen in (checked, converted, fitted)
+    )
+    kinds = [("validation", invalid, n_invalid), ("types", misfits, n_misfits)]
     if job.rejects_path:
-        kinds = (
-            ("validation", invalid, n_invalid),
-            ("transformation", result.errors(), n_failed),
-            ("types", misfits, n_misfits),
-        )
-        for kind, rejects, n in kinds:
-            if n:
-                rejects.write.mode("append").parquet(f"{job.rejects_path}/{kind}")
+        kinds.append(("transformation", result.errors(), n_failed))
+    folder = job.rejects_path
+    for kind, rejects, n in kinds:
+        if n:
+            folder = folder or shared_dir(spark)
+            write_batch(rejects, f"{folder}/{kind}", now.isoformat())
+    if anew:
+        swap_in(spark, job.sink, target)
     return SyncResult(
-        job.sink.table, window, n_rows - n_misfits, n_invalid + n_misfits, n_failed, fallback
+        target, window, n_rows - n_misfits, n_invalid + n_misfits, n_failed, fallback, folder
     )
 
 
+def _refuse(job: SyncJob) -> None:
+    """Options that contradict each other."""
+    if job.sink.delete_existing and job.sink.create == "never":
+        raise ValueError("a table that is never created can't be created anew")
+    if job.sync.on_error == "full" and job.sink.write != "truncate":
+        raise ValueError("reading everything after an error needs write='truncate', or it would append all rows again")
+
+
+def _refuse_own_rows(spark: SparkSession, frames: list[DataFrame], table: str) -> None:
+    """A source that reads the table it replaces would mix its old and new rows."""
+    own = set(spark.table(table).inputFiles())
+    if any(own & set(frame.inputFiles()) for frame in frames):
+        raise ValueError(f"a source reads {table}, which is to be created anew")
+
+
 def _counted(df: DataFrame, observation: Observation, flag: str) -> DataFrame:
     """AGG-1: rows and flagged rows, counted while they are written."""
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), F.count(flag).alias("bad"))
 
 
-def _observed(seen: Observation) -> tuple[int, int]:
+def _observed(seen: Observation, source: DataFrame) -> tuple[int, int]:
     """Rows, and those flagged. When AQE finds the input empty it drops the observed
     node with it, and there is nothing to fetch."""
     try:
         counts = seen.get
     except Py4JJavaError:
+        if not source.isEmpty():
+            raise
         return 0, 0
     return counts["rows"], counts["bad"]
 
@@ -101,19 +137,30 @@ def read_rows(
     fallback: str | None = None,
 ) -> DataFrame:
     """A source's new rows. A template brings its own predicate; otherwise the window
-    becomes a filter on the source's scan, or one slice per task over JDBC."""
-    options, column = dict(source.options), job.sync.timestamp_column
+    becomes a filter on the source's scan. Over JDBC every read is cut into slices: by the
+    source's own partition column, else by the timestamp."""
+    options, column = dict(source.options), job.sync.source_timestamp or job.sync.timestamp_column
     template = options.pop("template", None)
-    if template and job.sync.incremental and not (fallback and options.get("query")):
-        if options.get("url"):
-            options["query"] = fill_template(template, window, now)
-        else:
-            options["query"], options["arguments"] = bind_template(template, window, now)
+    filled = template and job.sync.incremental and not (fallback and options.get("query"))
+    if filled and not options.get("url"):
+        options["query"], options["arguments"] = bind_template(template, window, now, column)
         return read_source(spark, SourceSpec(source.kind, options))
-    if window and options.get("url") and not options.get("partition_column"):
-        return read_window(spark, RelationalSource(**options), column, window)
+    if filled:
+        options["query"] = unordered(fill_template(template, window, now, column))
+    if options.get("url") and not options.get("partition_column"):
+        relation = RelationalSource(**options)
+        if job.sync.incremental or job.sync.source_timestamp:
+            return read_slices(spark, relation, column, None if filled else window)
+        if relation.partitions > 1:
+            raise ValueError(
+                "nothing to split the read on: name a partition_column with bounds or a source_timestamp, or ask for partitions=1"
+            )
     frame = read_source(spark, SourceSpec(source.kind, options))
-    return extract(frame, column, window) if column in frame.columns else frame
+    if filled or not job.sync.incremental:
+        return frame
+    if column not in frame.columns:
+        raise ValueError(f"source {source.kind} has no column {column}; each run would append all its rows again")
+    return extract(frame, column, window)
 
 
 def finish(result: Transformed, job: SyncJob) -> DataFrame:
@@ -130,7 +177,7 @@ def _window(spark: SparkSession, job: SyncJob, now: datetime) -> tuple[Window |
     try:
         day = day_column(column) if column == job.sink.partition_field else None
         mark = destination_mark(spark, job.sink.table, column, day)
-    except Exception as error:
+    except (PySparkException, ValueError) as error:
         if job.sync.on_error != "full":
             raise
         log.warning("high-water mark unknown, reading everything: %s", error)
@@ -138,23 +185,31 @@ def _window(spark: SparkSession, job: SyncJob, now: datetime) -> tuple[Window |
     return sync_window(mark, now, job.sync.on_empty, job.sync.fallback_days), None
 
 
-def _prepare_table(spark: SparkSession, job: SyncJob, primary: DataFrame) -> None:
-    """Create the destination from the first source's schema, as the transformation
-    leaves it, unless it is there."""
-    exists = spark.catalog.tableExists(job.sink.table)
-    if job.sink.create == "never" or (exists and not job.sink.delete_existing):
+def _prepare_table(spark: SparkSession, job: SyncJob, united: DataFrame) -> None:
+    """Create the destination, unless it is there, so that it fits the rows of all
+    sources as the transformation leaves them."""
+    if job.sink.create == "never" or spark.catalog.tableExists(job.sink.table):
         return
     try:
-        rows = schemas.mapped_rows(detect_schema(finish(transform(primary, job.transform), job), job))
+        rows = schemas.mapped_rows(detect_schema(finish(transform(united, job.transform), job), job))
         create_table(spark, job.sink, schemas.destination_struct(rows))
-    except Exception as error:
+    except PySparkException as error:
         if job.sink.strict:
             raise
         log.warning("destination not created from the source schema: %s", error)
 
 
+def register_detector(kind: str, detector: Detector) -> None:
+    """UDF-3: a schema detector for the sources of a kind."""
+    DETECTORS[kind] = detector
+
+
 def detect_schema(primary: DataFrame, job: SyncJob) -> DataFrame:
-    """SCH-1..SCH-9 for the first source: from what it declares, or measured."""
+    """SCH-1..SCH-9: from what the sources declare, measured, or by the first source's own
+    detector. ``primary`` holds the rows of all sources."""
+    if detector := DETECTORS.get(job.sources[0].kind):
+        kind = KINDS.get(job.sources[0].kind, schemas.RELATIONAL)
+        return schemas.map_schema(detector(primary), kind, job.sync.mapping)
     kind = KINDS.get(job.sources[0].kind, schemas.RELATIONAL)
     if not job.sync.measure_schema:
         found = schemas.declared_schema(primary, kind)

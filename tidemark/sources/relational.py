@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.incremental import Window, window_slices
+from tidemark.operators.incremental import Window, clipped, window_slices
 
 
 @dataclass(frozen=True)
 class RelationalSource:
-    """A query or a table. Without a partition column one task reads everything,
-    which is right only for small results."""
+    """A query or a table. It is split over tasks by its own partition column and bounds,
+    or by the sync's timestamp; ``partitions=1`` says that one task is enough."""
 
     url: str
     query: str | None = None
@@ -33,6 +34,14 @@ class RelationalSource:
         return self.table or f"({require_query(self.query)}) AS source_rows"
 
 
+LAST_ORDER = re.compile(r"\s+ORDER\s+BY\s+[\w\s.,\"`]+$", re.IGNORECASE)
+
+
+def unordered(query: str) -> str:
+    """A query without its last ORDER BY, which a derived table may not have and slices do not need."""
+    return LAST_ORDER.sub("", require_query(query))
+
+
 def require_query(query: str | None) -> str:
     if not query or not query.strip():
         raise ValueError("the source query cannot be empty")
@@ -75,16 +84,41 @@ def window_predicates(timestamp: str, window: Window, parts: int) -> list[str]:
     ]
 
 
-def read_window(
-    spark: SparkSession, source: RelationalSource, timestamp: str, window: Window
+def source_bounds(spark: SparkSession, source: RelationalSource, timestamp: str) -> tuple:
+    """Least and newest timestamp and the number of null ones; the database computes the one row."""
+    options = jdbc_options(replace(source, partition_column=None))
+    asked = (
+        f"(SELECT min({timestamp}) AS least, max({timestamp}) AS most, "
+        f"sum(CASE WHEN {timestamp} IS NULL THEN 1 ELSE 0 END) AS nulls FROM {options['dbtable']}) AS bounds"
+    )
+    properties = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    row = spark.read.jdbc(options["url"], asked, properties=properties).first()
+    return row["least"], row["most"], row["nulls"] or 0
+
+
+def slice_predicates(
+    timestamp: str, window: Window | None, parts: int, least, most, nulls: int
+) -> list[str]:
+    """One WHERE text per task: slices of what the source really holds of the window, and
+    one for null timestamps when all rows are read."""
+    found = [] if least is None else window_predicates(timestamp, clipped(window, least, most), parts)
+    if window is None and nulls:
+        found.append(f"{timestamp} IS NULL")
+    return found or ["1 = 0"]
+
+
+def read_slices(
+    spark: SparkSession, source: RelationalSource, timestamp: str, window: Window | None
 ) -> DataFrame:
-    """An incremental read in which every task asks the database for its own slice."""
+    """A read in which every task asks the database for its own slice: of a window, a
+    first load or a full refresh alike."""
+    least, most, nulls = source_bounds(spark, source, timestamp)
     options = jdbc_options(source)
     properties = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
     return spark.read.jdbc(
         options["url"],
         options["dbtable"],
-        predicates=window_predicates(timestamp, window, source.partitions),
+        predicates=slice_predicates(timestamp, window, source.partitions, least, most, nulls),
         properties=properties,
     )
 
