@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from decimal import Decimal
 from functools import reduce
 from typing import Any
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.calculated import quote
+from tidemark.functions.jsontext import nested_json
 
 # The comparison operators a filter may use.
 COMPARISONS = {
@@ -71,12 +73,17 @@ def _test(schema, path: str, op: str, value: Any, variant: str | None) -> Column
         raise ValueError(f"unsupported filter operator: {op}")
     if value is None:
         return _missing(schema, path, variant)
+    if _is_nested(value):
+        if op != "$eq":
+            raise ValueError(f"{op} compares no objects or lists")
+        return _equals_nested(schema, path, value, variant)
     return _match(schema, path, value, COMPARISONS[op], variant)
 
 
 def _membership(schema, path: str, values: list[Any], variant: str | None) -> Column:
     field = None if variant else _resolve(schema, path)
-    if field and not isinstance(field[1], T.VariantType) and None not in values:
+    plain = None not in values and not any(map(_is_nested, values))
+    if field and not isinstance(field[1], T.VariantType) and plain:
         c, dtype = field
         element = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
         usable = [_literal(v, element) for v in values if _same_kind(v, element)]
@@ -118,35 +125,65 @@ def _missing(schema, path: str, variant: str | None) -> Column:
 
 def _match_variant(doc: Column, path: str, value: Any, compare) -> Column:
     found = F.try_variant_get(doc, _json_path(path), "variant")
-    literal, kind = _variant_literal(value)
-
-    def one(item: Column) -> Column:
-        same = F.schema_of_variant(item).rlike(_kind_pattern(value))
-        return F.when(same, compare(F.try_variant_get(item, "$", kind), literal))
-
     items = F.try_variant_get(found, "$", "array<variant>")
     is_array = F.schema_of_variant(found).startswith("ARRAY")
+    one = lambda item: _match_item(item, value, compare)
     return F.coalesce(F.when(is_array, F.exists(items, one)).otherwise(one(found)), F.lit(False))
 
 
-def _variant_literal(value: Any) -> tuple[Column, str]:
+def _match_item(item: Column, value: Any, compare) -> Column:
+    """Compare one value of a document; null when it is of another kind."""
+    kind = F.schema_of_variant(item)
     if isinstance(value, bool):
-        return F.lit(value), "boolean"
+        return F.when(kind == "BOOLEAN", compare(F.try_variant_get(item, "$", "boolean"), F.lit(value)))
     if isinstance(value, (int, float)):
-        return F.lit(float(value)), "double"
-    if isinstance(value, Mapping) and "$date" in value:
-        return F.lit(value["$date"]).cast("timestamp"), "timestamp"
-    return F.lit(value), "string"
+        inexact = compare(F.try_variant_get(item, "$", "double"), F.lit(float(value)))
+        exact = inexact
+        number = Decimal(repr(value)) if isinstance(value, float) else Decimal(value)
+        # A double would take 64-bit ids next to each other for one.
+        if number.is_finite() and abs(number) < Decimal(10) ** 28 and number == round(number, 9):
+            literal = F.lit(str(number)).cast("decimal(38,9)")
+            exact = compare(F.try_variant_get(item, "$", "decimal(38,9)"), literal)
+        return F.when(kind.rlike("^(BIGINT|DECIMAL)"), F.coalesce(exact, inexact)).when(
+            kind.rlike("^(DOUBLE|FLOAT)"), inexact
+        )
+    if isinstance(value, Mapping):
+        moment = F.lit(value["$date"]).cast("timestamp")
+        wrapped = F.try_variant_get(item, '$["$date"]', "timestamp")
+        return F.when(kind.startswith("OBJECT"), compare(wrapped, moment)).when(
+            kind.rlike("^(STRING|TIMESTAMP|DATE)"), compare(F.try_variant_get(item, "$", "timestamp"), moment)
+        )
+    return F.when(kind == "STRING", compare(F.try_variant_get(item, "$", "string"), F.lit(value)))
 
 
-def _kind_pattern(value: Any) -> str:
-    if isinstance(value, bool):
-        return "^BOOLEAN$"
-    if isinstance(value, (int, float)):
-        return "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
-    if isinstance(value, Mapping) and "$date" in value:
-        return "^(STRING|TIMESTAMP|DATE)"
-    return "^STRING$"
+def _is_nested(value: Any) -> bool:
+    return isinstance(value, list) or isinstance(value, Mapping) and "$date" not in value
+
+
+def _equals_nested(schema, path: str, value: Any, variant: str | None) -> Column:
+    """A field that equals an object or a list as a whole, or holds it as an element.
+
+    Both sides are compared as canonical JSON, in which the order of keys does not matter.
+    """
+    wanted = F.to_json(F.parse_json(F.lit(json.dumps(value))))
+    if variant:
+        found = F.try_variant_get(F.col(quote(variant)), _json_path(path), "variant")
+    else:
+        field = _resolve(schema, path)
+        if field is None:
+            return F.lit(False)
+        c, dtype = field
+        if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            element = F.exists(c, lambda x: nested_json(x, dtype.elementType) == wanted)
+            return F.coalesce((nested_json(c, dtype) == wanted) | element, F.lit(False))
+        if not isinstance(dtype, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            return F.lit(False)
+        if not isinstance(dtype, T.VariantType):
+            return F.coalesce(nested_json(c, dtype) == wanted, F.lit(False))
+        found = c
+    items = F.try_variant_get(found, "$", "array<variant>")
+    inside = F.coalesce(F.exists(items, lambda x: F.to_json(x) == wanted), F.lit(False))
+    return F.coalesce(F.to_json(found) == wanted, F.lit(False)) | inside
 
 
 def _json_path(path: str) -> str:
