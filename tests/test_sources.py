@@ -85,13 +85,23 @@ def test_empty_query_is_refused(spark):
 
 def test_binary_and_wrapped_ids_become_text(spark):
     df = spark.createDataFrame(
-        [(bytearray.fromhex("0aff"), ("507f",), [(("b1",), 1)])],
-        "_id BINARY, ref STRUCT<`$oid`: STRING>, list ARRAY<STRUCT<r: STRUCT<`$oid`: STRING>, n: INT>>",
+        [(bytearray.fromhex("0aff"), bytearray(b"raw"), {"k": ("d2",)}, ("507f",), [(("b1",), 1)])],
+        "_id BINARY, body BINARY, m MAP<STRING, STRUCT<`$oid`: STRING>>, ref STRUCT<`$oid`: STRING>, list ARRAY<STRUCT<r: STRUCT<`$oid`: STRING>, n: INT>>",
     )
     row = docs.ids_as_text(df).first()
+    assert (bytes(row["body"]), row["m"]) == (b"raw", {"k": "d2"})
     assert (row["_id"], row["ref"], row["list"][0].asDict()) == ("0aff", "507f", {"r": "b1", "n": 1})
 
 
+def test_extended_json_becomes_plain(spark):
+    text = """{"_id":{"$oid":"5f"},"n":{"$numberLong":"9007199254740993"},"p":[{"$numberDecimal":"1.50"},{"$numberInt":"-2"}],
+        "at":{"$date":"2024-01-01T00:00:00Z"},"b":{"$binary":{"base64":"AP8=","subType":"00"}},"t":"say {\\"$oid\\": 1}"}"""
+    df = docs.parse_documents(spark.createDataFrame([(text,)], "raw STRING"), "raw").select(F.to_json("document").alias("j"))
+    assert df.first().j == (
+        '{"_id":"5f","at":"2024-01-01T00:00:00Z","b":"AP8=","n":9007199254740993,"p":[1.5,-2],"t":"say {\\"$oid\\": 1}"}'
+    )
+
+
 def test_union_settles_types(spark):
     a = spark.sql("SELECT 1 AS id, 1.5D AS n, 'x' AS s, named_struct('b', 1) AS j, DATE'2024-01-01' AS d")
     b = spark.sql("SELECT 2L AS id, CAST(2 AS DECIMAL(5,2)) AS n, 7 AS s, '{}' AS j, 'soon' AS d, NULL AS id2")

@@ -268,6 +268,64 @@ def and_or_on_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(document_filter(whole, NESTED_FILTER, variant="document"))
 
 
+BEYOND_DOUBLES = 2**53  # from here on a double can't tell neighbours apart
+
+
+def _wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as VARIANT documents with ids above 2^53 and extended-JSON dates and numbers."""
+    text = F.concat(
+        F.lit('{"n":{"$numberLong":"'), (F.col("o_orderkey") + BEYOND_DOUBLES).cast("string"),
+        F.lit('"},"customer":{"secret":"x","priority":"'), "o_orderpriority", F.lit('","id":'), F.col("o_custkey").cast("string"),
+        F.lit('},"at":{"$date":"'), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit('"}}'),
+    )
+    return parse_documents(table(spark, sf_dir, "orders").select("o_orderkey", text.alias("raw")), "raw").drop("raw")
+
+
+def _wide_check(name: str, spec: str, where: str) -> None:
+    @check(name, f"SELECT o_orderkey FROM orders WHERE {where}")
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return document_filter(_wide_documents(spark, sf_dir), spec, variant="document").select("o_orderkey")
+
+
+_wide_check("flt_2_equality_on_variant", f'{{"n": {BEYOND_DOUBLES + 7}}}', "o_orderkey = 7")
+_wide_check(
+    "flt_2_object_equality_on_variant",
+    '{"customer": {"id": 10, "priority": "1-URGENT", "secret": "x"}}',
+    "o_custkey = 10 AND o_orderpriority = '1-URGENT'",
+)
+_wide_check(
+    "flt_3_range_on_variant",
+    f'{{"n": {{"$gt": {BEYOND_DOUBLES + 11}, "$lte": {BEYOND_DOUBLES + 1001}}}}}',
+    "o_orderkey > 11 AND o_orderkey <= 1001",
+)
+_wide_check(
+    "flt_4_membership_on_variant",
+    f'{{"n": {{"$in": [{BEYOND_DOUBLES + 1}, {BEYOND_DOUBLES + 33}]}}}}',
+    "o_orderkey IN (1, 33)",
+)
+_wide_check(
+    "flt_6_date_on_variant", '{"at": {"$gte": {"$date": "1997-01-01T00:00:00Z"}}}', "o_orderdate >= TIMESTAMP '1997-01-01'"
+)
+
+WIDE_JSON = """'{"at":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '","customer":{"id":' || o_custkey || ',"priority":"' || o_orderpriority
+    || '"},"n":' || (o_orderkey + 9007199254740992) || '}'"""
+
+
+@check("prj_2_exclusion_in_variant", f"SELECT o_orderkey, {WIDE_JSON} AS document FROM orders")
+def exclusion_in_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = project(_wide_documents(spark, sf_dir), '{"document.customer.secret": 0}')
+    return kept.withColumn("document", F.to_json("document"))
+
+
+@check(
+    "prj_3_nested_path_in_variant",
+    """SELECT o_orderkey, '{"customer":{"priority":"' || o_orderpriority || '"}}' AS document FROM orders""",
+)
+def nested_path_in_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = project(_wide_documents(spark, sf_dir), '{"o_orderkey": 1, "document.customer.priority": 1}')
+    return kept.withColumn("document", F.to_json("document"))
+
+
 @check(
     "flt_8_sql_predicates",
     """SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events

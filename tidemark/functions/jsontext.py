@@ -90,39 +90,50 @@ def _needs_cleaning(dtype: T.DataType, text_times: bool) -> bool:
     return text_times and isinstance(dtype, times)
 
 
-_ID_WRAPPER = r'\{\s*"\$oid"\s*:\s*("(?:[^"\\]|\\.)*+")\s*\}'
-
-
-def ids_to_text(json: Column) -> Column:
-    """SRC-6 on JSON text: every ``{"$oid": "..."}``, at any depth, becomes its string.
-
-    A quote inside a JSON string is always escaped, so the wrapper cannot be
-    mistaken for text.
+_TEXT = r'"(?:[^"\\]|\\.)*+"'
+_NUMBER = r'"(-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?)"'
+# The wrappers of extended JSON. Ids, dates and binary values become their
+# text, numbers become numbers; not-a-number and the infinities stay wrapped.
+_WRAPPERS = (
+    ('"$number', r'\{\s*"\$number(?:Long|Int|Double|Decimal)"\s*:\s*' + _NUMBER + r"\s*\}"),
+    ('"$oid"', r'\{\s*"\$oid"\s*:\s*(' + _TEXT + r")\s*\}"),
+    ('"$date"', r'\{\s*"\$date"\s*:\s*(' + _TEXT + r")\s*\}"),
+    ('"$binary"', r'\{\s*"\$binary"\s*:\s*\{\s*"base64"\s*:\s*(' + _TEXT + r')\s*,\s*"subType"\s*:\s*' + _TEXT + r"\s*\}\s*\}"),
+)
+
+
+def unwrap(json: Column) -> Column:
+    """SRC-6 on JSON text: ``{"$oid": "..."}`` and its kin, at any depth, become plain values.
+
+    A quote inside a JSON string is always escaped, so a wrapper cannot be mistaken for text.
     """
-    return F.when(
-        json.contains('"$oid"'), F.regexp_replace(json, _ID_WRAPPER, "$1")
-    ).otherwise(json)
+    for name, pattern in _WRAPPERS:
+        json = F.when(json.contains(name), F.regexp_replace(json, pattern, "$1")).otherwise(json)
+    return json
 
 
-def stringify_ids(c: Column, dtype: T.DataType) -> Column:
-    """SRC-6 by static type: ``$oid`` structs and binary ids become text, recursively."""
+def stringify_ids(c: Column, dtype: T.DataType, ids: tuple[str, ...] = ("_id",), is_id: bool = False) -> Column:
+    """SRC-6 by static type, recursively: ``$oid`` structs become text, and so do binary
+    values of fields named in ``ids``. Other binary values stay what they are."""
+    if not _has_id(dtype, ids, is_id):
+        return c
     if isinstance(dtype, T.BinaryType):
         return F.lower(F.hex(c))
     if isinstance(dtype, T.ArrayType):
-        return F.transform(c, lambda x: stringify_ids(x, dtype.elementType)) if _has_id(dtype) else c
-    if isinstance(dtype, T.StructType):
-        if dtype.fieldNames() == ["$oid"]:
-            return c.getField("$oid")
-        if not _has_id(dtype):
-            return c
-        fields = [stringify_ids(c.getField(f.name), f.dataType).alias(f.name) for f in dtype]
-        return F.when(c.isNotNull(), F.struct(*fields))
-    return c
+        return F.transform(c, lambda x: stringify_ids(x, dtype.elementType, ids, is_id))
+    if isinstance(dtype, T.MapType):
+        return F.transform_values(c, lambda _, x: stringify_ids(x, dtype.valueType, ids, is_id))
+    if dtype.fieldNames() == ["$oid"]:
+        return c.getField("$oid")
+    fields = [stringify_ids(c.getField(f.name), f.dataType, ids, f.name in ids).alias(f.name) for f in dtype]
+    return F.when(c.isNotNull(), F.struct(*fields))
 
 
-def _has_id(dtype: T.DataType) -> bool:
+def _has_id(dtype: T.DataType, ids: tuple[str, ...], is_id: bool) -> bool:
     if isinstance(dtype, T.ArrayType):
-        return _has_id(dtype.elementType)
+        return _has_id(dtype.elementType, ids, is_id)
+    if isinstance(dtype, T.MapType):
+        return _has_id(dtype.valueType, ids, is_id)
     if isinstance(dtype, T.StructType):
-        return dtype.fieldNames() == ["$oid"] or any(_has_id(f.dataType) for f in dtype)
-    return isinstance(dtype, T.BinaryType)
+        return dtype.fieldNames() == ["$oid"] or any(_has_id(f.dataType, ids, f.name in ids) for f in dtype)
+    return is_id and isinstance(dtype, T.BinaryType)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.calculated import quote
-from tidemark.functions.jsontext import ids_to_text, parse, stringify_ids
+from tidemark.functions.jsontext import parse, stringify_ids, unwrap
 from tidemark.operators.predicates import document_filter
 from tidemark.operators.projection import project
 
@@ -74,12 +74,13 @@ def shape_documents(
     return project(documents, projection)
 
 
-def ids_as_text(df: DataFrame) -> DataFrame:
+def ids_as_text(df: DataFrame, ids: tuple[str, ...] = ("_id",)) -> DataFrame:
+    """``ids`` names the fields whose binary values are ids."""
     return df.select(
-        *(stringify_ids(F.col(quote(f.name)), f.dataType).alias(f.name) for f in df.schema)
+        *(stringify_ids(F.col(quote(f.name)), f.dataType, ids, f.name in ids).alias(f.name) for f in df.schema)
     )
 
 
 def parse_documents(df: DataFrame, text_column: str, to: str = "document") -> DataFrame:
-    """JSON text with ids unwrapped, as one VARIANT column."""
-    return df.withColumn(to, parse(ids_to_text(F.col(quote(text_column)))))
+    """JSON text with extended-JSON wrappers taken off, as one VARIANT column."""
+    return df.withColumn(to, parse(unwrap(F.col(quote(text_column)))))
