@@ -9,9 +9,13 @@ linked with nothing. Two documents link when 100 * |intersection| >= percent * |
    ones by count. Two sets that link share one of their first |x| - ceil(percent * |x| / 100)
    + 1 members, so only these are shuffled. Members of an n-gram's list whose sizes are near
    enough form a star; connected stars are blocks, and no link leaves a block.
-3. Inside a block (large blocks are cut into pairs of parts) sets are ordered from frequent to
-   rare and walked as a trie: sets with a common beginning share its partial overlaps, and a
-   walk ends where no other set can reach its threshold with what remains.
+3. The first members that were met again say more: of two sets that link, the larger one, x,
+   loses at most |x| - least overlap of its first members, so they share all the others.
+   Blocks are made anew of the documents that share so many; a passage alone joins none.
+4. Inside a block sets are ordered from frequent to rare and walked as a trie: sets with a
+   common beginning share its partial overlaps, and a walk ends where no other set can reach
+   its threshold with what remains. Steps 3 and 4 walk the same trie, over first members and
+   over whole sets. Large blocks are cut into parts, and every pair of parts is a task.
 
 The list of frequent n-grams has a fixed size. It only sets the order, hence the cost, never
 the result. A null text is an empty one. Rows that repeat an id are one document: their
@@ -21,7 +25,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -35,6 +39,7 @@ from tidemark.llm.components import components
 FREQUENT = 1 << 18  # n-grams that are ordered by their count: 2 MB to every task
 COUNTED = 1 << 21  # n-grams whose repetitions are counted together
 PART = 512  # sets of a block that one task holds of either side
+FIRST_PART = 4096  # the same where only first members are held
 _MULTIPLIER = np.uint64(0xD1342543DE82EF95)
 
 
@@ -132,8 +137,24 @@ def _prefixes(n: int, percent: int, frequent):
     return run
 
 
-def trie_join(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
-    """Of each set, the other sets that link with it (only of the other side, where sides are given)."""
+def least_overlap(sizes: np.ndarray, i: int, percent: int) -> np.ndarray:
+    """What each set must have in common with set ``i`` to link with it."""
+    return -(-percent * (sizes + sizes[i]) // (100 + percent))
+
+
+def least_first_overlap(sizes: np.ndarray, i: int, percent: int) -> np.ndarray:
+    """The same for first members: the larger set's, without those it may lose."""
+    larger = np.maximum(sizes, sizes[i])
+    needed = np.maximum(1, least_overlap(sizes, i, percent) + percent * -larger // 100 + 1)
+    near = 100 * np.minimum(sizes, sizes[i]) >= percent * larger
+    return np.where(near, needed, np.iinfo(np.int64).max)
+
+
+def trie_join(
+    sets: list[np.ndarray], needed: Callable[[int], np.ndarray], sides: np.ndarray | None = None
+) -> Iterator[tuple[int, np.ndarray]]:
+    """Of each set, the other sets that have at least ``needed`` in common with it (only of
+    the other side, where sides are given)."""
     count = len(sets)
     sizes = np.array([len(s) for s in sets])
     members, of = np.concatenate(sets), np.repeat(np.arange(count), sizes)
@@ -160,12 +181,12 @@ def trie_join(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = N
         while stack[-1][0] > common:
             stack.pop()
         depth, overlap = stack[-1]
-        needed = -(-percent * (sizes + sizes[i]) // (100 + percent))
+        least_common = needed(i)
         other = np.ones(count, bool) if sides is None else sides != sides[i]
         other[i] = False
         step = common if common > depth else len(path)
         while True:
-            possible = other & (overlap + np.minimum(len(path) - depth, reach - overlap) >= needed)
+            possible = other & (overlap + np.minimum(len(path) - depth, reach - overlap) >= least_common)
             if depth == len(path) or not possible.any():
                 break
             if depth >= common:
@@ -177,13 +198,56 @@ def trie_join(sets: list[np.ndarray], percent: int, sides: np.ndarray | None = N
             depth = step
             stack.append((depth, overlap))
         before = path[:depth]  # beyond, nothing is stored that could be shared
-        yield i, np.flatnonzero(possible & (100 * overlap >= percent * (sizes + sizes[i] - overlap)))
+        yield i, np.flatnonzero(possible & (overlap >= least_common))
+
+
+def _merge(label: np.ndarray, linked: np.ndarray, i: int) -> None:
+    near = np.unique(label[np.append(linked, i)])
+    if len(near) > 1:
+        label[np.isin(label, near)] = near[0]
+
+
+def _by_task(solve: Callable[[list[dict]], pa.RecordBatch]):
+    """Hand the rows of each task (block, left, right), which come sorted, to ``solve``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                key = (row["block"], row["left"], row["right"])
+                if key != group and rows:
+                    yield solve(rows)
+                    rows = []
+                group = key
+                rows.append(row)
+        if rows:
+            yield solve(rows)
+
+    return run
+
+
+def _sides(rows: list[dict]) -> np.ndarray | None:
+    return np.array([r["side"] for r in rows]) if rows and rows[0]["left"] != rows[0]["right"] else None
+
+
+def _refine(percent: int):
+    """Documents with their repeated first members: the least document each hangs together with."""
+
+    def solve(rows: list[dict]) -> pa.RecordBatch:
+        sizes, ids = np.array([r["n"] for r in rows]), np.array([r["doc_id"] for r in rows])
+        label = ids.copy()
+        firsts = [np.unique(np.array(r["grams"], np.int64)) for r in rows]
+        for i, linked in trie_join(firsts, lambda i: least_first_overlap(sizes, i, percent), _sides(rows)):
+            _merge(label, linked, i)
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(label)], ["a", "b"])
+
+    return _by_task(solve)
 
 
 def _verify(n: int, percent: int):
-    """Rows sorted by (block, left, right): the links of every class, and the least class it hangs together with."""
+    """Texts of a block: the links of every class, and the least class it hangs together with."""
 
-    def solve(rows: list[dict]) -> tuple:
+    def solve(rows: list[dict]) -> pa.RecordBatch:
         sets, kept, seen = [], [], set()
         for row, members in zip(rows, ngram_sets(pa.array([r["text"] for r in rows], pa.large_string()), n), strict=True):
             signature = _signature(members)
@@ -194,36 +258,32 @@ def _verify(n: int, percent: int):
             seen.add(signature)
             sets.append(members)
             kept.append(row)
-        sides = np.array([r["side"] for r in kept]) if kept and kept[0]["left"] != kept[0]["right"] else None
+        sides = _sides(kept)
         weights = np.array([r["size"] for r in kept])
         ids = np.array([r["rep"] for r in kept])
         label, links = ids.copy(), np.zeros(len(kept), np.int64)
-        for i, linked in trie_join(sets, percent, sides) if kept else ():
+        lengths = np.array([len(x) for x in sets])
+        for i, linked in trie_join(sets, lambda i: least_overlap(lengths, i, percent), sides) if kept else ():
             links[i] = weights[linked].sum()
-            near = np.unique(label[np.append(linked, i)])
-            if len(near) > 1:
-                label[np.isin(label, near)] = near[0]
-        return [r["s1"] for r in kept], [r["s2"] for r in kept], ids.tolist(), label.tolist(), links.tolist()
+            _merge(label, linked, i)
+        columns = [[r["s1"] for r in kept], [r["s2"] for r in kept], ids.tolist(), label.tolist(), links.tolist()]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["s1", "s2", "rep", "root", "links"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows = None, []
-        names = ["s1", "s2", "rep", "root", "links"]
+    return _by_task(solve)
 
-        def out(solved: tuple) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in solved], names)
 
-        for batch in batches:
-            for row in batch.to_pylist():
-                key = (row["block"], row["left"], row["right"])
-                if key != group and rows:
-                    yield out(solve(rows))
-                    rows = []
-                group = key
-                rows.append(row)
-        if rows:
-            yield out(solve(rows))
+def _dealt(members: DataFrame, part: int, key: str) -> DataFrame:
+    """Members (with a block) as rows of tasks: every pair of a block's parts meets in one."""
+    sizes = members.groupBy("block").count().filter("count > 1")
+    parts = F.when(F.col("count") > 2 * part, F.ceil(F.col("count") / part)).otherwise(1).cast("int")
+    placed = members.join(sizes, "block").withColumn("parts", parts).drop("count")
+    return placed.withColumn("side", F.pmod(F.xxhash64(key), F.col("parts")).cast("int"))
 
-    return run
+
+def _tasks(placed: DataFrame, *columns: str) -> DataFrame:
+    both = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tasks = both.select("block", F.least("side", "with").alias("left"), F.greatest("side", "with").alias("right"), "side", *columns)
+    return tasks.repartition("block", "left", "right").sortWithinPartitions("block", "left", "right")
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
@@ -250,27 +310,28 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     by_size = Window.partitionBy("gram").orderBy("n", "doc_id")
     far = F.coalesce(100 * F.lag("n").over(by_size) < percent * F.col("n"), F.lit(False)).cast("int")
     near = prefixes.select("gram", "doc_id", "n", far.alias("far")).select(
-        "gram", "doc_id", F.sum("far").over(by_size.rowsBetween(Window.unboundedPreceding, 0)).alias("stretch")
+        "gram", "doc_id", "n", F.sum("far").over(by_size.rowsBetween(Window.unboundedPreceding, 0)).alias("stretch")
     )
-    star = F.min("doc_id").over(Window.partitionBy("gram", "stretch"))
-    # A document stands for its class, so it is renamed to the class's least id.
-    stars = near.select(F.col("doc_id").alias("a"), star.alias("b")).filter("a <> b").distinct()
-    blocks = components(stars).select(F.col("id").alias("doc_id"), F.col("component").alias("block"))
+    stretch = Window.partitionBy("gram", "stretch")
+    met = near.select("gram", "doc_id", "n", F.min("doc_id").over(stretch).alias("star"), F.count("*").over(stretch).alias("times"))
+    met = keep(met.filter("times > 1").drop("times"))
+
+    def blocks_of(edges: DataFrame) -> DataFrame:
+        return components(edges).select(F.col("id").alias("doc_id"), F.col("component").alias("block"))
+
+    wide = blocks_of(met.filter("doc_id <> star").select(F.col("doc_id").alias("a"), F.col("star").alias("b")).distinct())
+    firsts = met.groupBy("doc_id", "n").agg(F.collect_list("gram").alias("grams"))
+    share = _tasks(_dealt(firsts.join(wide, "doc_id"), FIRST_PART, "doc_id"), "doc_id", "n", "grams")
+    blocks = blocks_of(share.mapInArrow(_refine(percent), "a long, b long").filter("a <> b").distinct())
     # The class of a block's document; its least id may lie in a task where it was not the first.
     members = blocks.join(rows, "doc_id").join(classes, ["s1", "s2"]).groupBy("s1", "s2", "rep", "size").agg(F.min("block").alias("block"))
-    members = keep(members)
-    sizes = members.groupBy("block").count().filter("count > 1")
-    parts = F.when(F.col("count") > 2 * PART, F.ceil(F.col("count") / PART)).otherwise(1).cast("int")
-    placed = members.join(sizes, "block").withColumn("parts", parts)
-    placed = keep(placed.withColumn("side", F.pmod(F.xxhash64("s1", "s2"), F.col("parts")).cast("int")))
+    placed = keep(_dealt(keep(members), PART, "rep"))
     candidates = named.filter(sieve(named, placed.select(F.col("rep").alias("doc_id"))))
     with_text = candidates.join(placed, candidates["doc_id"] == placed["rep"]).drop("doc_id")
-    tasks = with_text.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "block", F.least("side", "with").alias("left"), F.greatest("side", "with").alias("right"),
-        "side", "s1", "s2", "rep", "size", "text",
+    verified = _tasks(with_text, "s1", "s2", "rep", "size", "text").mapInArrow(
+        _verify(n, percent), "s1 long, s2 long, rep long, root long, links long"
     )
-    dealt = tasks.repartition("block", "left", "right").sortWithinPartitions("block", "left", "right")
-    linked = keep(dealt.mapInArrow(_verify(n, percent), "s1 long, s2 long, rep long, root long, links long"))
+    linked = keep(verified)
 
     # Classes that share a repeated id belong together.
     ids = rows.join(classes, ["s1", "s2"]).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a"), F.count("*").alias("times"))

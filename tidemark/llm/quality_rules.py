@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import whole_text
 
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text"]
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -118,22 +119,21 @@ def judged(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text")
     df = add(df, clean_text=F.when(~col["base_failed"], F.array_join(kept_lines, "\n")))
     enough = F.length(col["clean_text"]) >= F.length(col["t"]) * (1 - rules.max_lost)
     df = add(df, kept=F.coalesce(~col["base_failed"] & enough, F.lit(False)))
-    return df, names
+    # A filter on these columns would be pushed below all of the above, with every step written
+    # out inside the next, and compute them over and over; none is pushed below a generator.
+    told = F.struct(*[F.col(names[w]) for w in MEASURES])
+    return df.select(*[F.col(f"`{c}`") for c in docs.columns], F.inline(F.array(told))), names
 
 
 def measure(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """One row per document: the measures, whether it is kept, and what is left of its text."""
     df, names = judged(docs.select("doc_id", "text"), rules)
-    shown = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "clean_text"]
-    return df.select("doc_id", *[F.col(names[w]).alias(w) for w in shown])
+    return df.select("doc_id", *[F.col(names[w]).alias(w) for w in MEASURES])
 
 
 def clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """The documents that are kept, with their cleaned text; ``n_chars``, where there is one, follows it."""
     df, names = judged(docs, rules)
-    # explode() drops the others; a filter would be pushed below and compute everything twice.
-    kept = F.when(F.col(names["kept"]), F.array(F.col(names["clean_text"])))
-    df = df.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(kept).alias(names["clean_text"]))
-    new = F.col(names["clean_text"])
+    df, new = df.filter(F.col(names["kept"])), F.col(names["clean_text"])
     changed = {"text": new, "n_chars": F.length(new).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
     return df.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
