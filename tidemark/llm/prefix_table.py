@@ -140,7 +140,8 @@ class Vocabulary:
 
     def cuts(self) -> set[str]:
         """Pairs of neighbouring characters that some piece holds; no merge crosses any other pair."""
-        return {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        pieces = [*self.ids, *(GAP * n for n in self.runs)]
+        return {p[k : k + 2] for p in pieces for k in range(len(p) - 1)}
 
 
 class Encoder:

@@ -131,7 +131,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def train(texts: pa.Array, labels: np.ndarray) -> Model:
     size = 1 << BITS
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         return Model(np.zeros(size, np.float32), 1.0, 1.0, 0.0, float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     parts = [(tokens(data, offsets), len(offsets) - 1) for data, offsets in byte_slices(texts)]
     buckets = np.concatenate([b for (b, _), _ in parts])
@@ -166,7 +166,7 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model.bias + model.slope * x, -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, held_out: int = 2, rows: int = LABELLED_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4, held_out: int = 2, limit: int = LABELLED_ROWS) -> Model:
     """Learn from labelled documents whose id's remainder is not the held-out one."""
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -175,10 +175,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int =
         m = train(pa.array(sample["__text"], pa.string()), sample["__label"].to_numpy(np.int64))
         yield pd.DataFrame({"weights": [m.weights.tobytes()], "decay": [m.decay], "scale": [m.scale], "slope": [m.slope], "bias": [m.bias]})
 
-    sample = labelled_sample(docs, labels, label, modulus, held_out, rows)
+    sample = labelled_sample(docs, labels, label, modulus, held_out, limit)
     schema = "weights binary, decay double, scale double, slope double, bias double"
-    row = sample.repartition(1).mapInPandas(learn, schema).collect()[0]
-    return Model(np.frombuffer(row["weights"], np.float32), *row[1:])
+    rows = sample.repartition(1).mapInPandas(learn, schema).collect()
+    if not rows:
+        return train(pa.array([], pa.string()), np.zeros(0))
+    return Model(np.frombuffer(rows[0]["weights"], np.float32), *rows[0][1:])
 
 
 def score(spark, model: Model) -> Column:
