@@ -24,7 +24,7 @@ def test_nested_document_paths(spark):
         "user": {"name": "n", "email": "e", "profile": {"age": 3, "city": "c", "more": {"deep": 1}}},
         "items": [{"product": "p", "quantity": 2}, {"other": 1}],
     }
-    assert set(inferred(spark, [document])) == {
+    assert set(inferred(spark, [document], compat=True)) == {
         "_id", "user", "user.name", "user.email", "user.profile", "user.profile.age",
         "user.profile.city", "user.profile.more", "items", "items.product", "items.quantity",
     }
@@ -57,15 +57,15 @@ def test_row_order_does_not_matter(spark):
     assert inferred(spark, documents) == inferred(spark, documents[::-1])
 
 
-def test_sample_takes_the_first_by_key(spark):
-    found = inferred(spark, [{"a": 1}, {"b": 1}, {"c": 1}], sample=2, order_by="i")
-    assert set(found) == {"a", "b"}
-    with pytest.raises(ValueError):
-        inferred(spark, [{"a": 1}], sample=2)
+def test_a_dot_in_a_key_counts_as_depth(spark):
+    assert set(inferred(spark, [{"a.b": {"c": {"d": 1}}}], compat=True)) == {"a.b", "a.b.c"}
+    assert set(inferred(spark, [{"a.b": {"c": {"d": 1}}}])) == {"a.b", "a.b.c", "a.b.c.d"}
 
 
-def test_a_dot_in_a_key_counts_as_depth(spark):
-    assert set(inferred(spark, [{"a.b": {"c": {"d": 1}}}])) == {"a.b", "a.b.c"}
+def test_all_elements_count_once_for_a_document(spark):
+    found = inferred(spark, [{"a": [{"x": 1}, {"x": 2}, {"x": "t", "y": {"z": [[{"w": 1}]]}}]}, {"a": []}])
+    assert set(found) == {"a", "a.x", "a.y", "a.y.z", "a.y.z.w"}
+    assert (found["a.x"]["type"], found["a.x"]["sample_count"], found["a.x"]["frequency"]) == ("int", 1, 0.5)
 
 
 def mapped(spark, rows, kind, mapping="fixed", columns="name STRING, type STRING, nullable BOOLEAN"):
@@ -154,5 +154,5 @@ def test_random_documents(spark):
     texts = spark.createDataFrame([(json.dumps(d),) for d in documents], "raw STRING")
     # Ids stay wrapped here, so that their class is seen.
     variants = texts.select(parse(F.col("raw")).alias("document"))
-    got = {(r["path"], r["type"]): r["n"] for r in schemas.path_type_counts(variants, "document").collect()}
+    got = {(r["path"], r["type"]): r["n"] for r in schemas.path_type_counts(variants, "document", compat=True).collect()}
     assert got == dict(expected)

@@ -100,9 +100,17 @@ PATHS = [
     ("price", "double", "count(*) FILTER (o_orderstatus = 'P')"),
     ("price", "string", "count(*) FILTER (o_orderstatus <> 'P')"),
 ]
-COUNTS = " UNION ALL ".join(
-    f"SELECT '{path}' AS path, '{kind}' AS type, {n} AS n FROM orders" for path, kind, n in PATHS
-)
+# Beyond three segments, and in elements after the first.
+DEEPER = [("customer.tier.extra.deep", "int", "count(*)"), ("items.other", "boolean", "count(*)")]
+
+
+def _counts(paths: list[tuple]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{path}' AS path, '{kind}' AS type, {n} AS n FROM orders" for path, kind, n in paths
+    )
+
+
+COUNTS, COMPAT_COUNTS = _counts(PATHS + DEEPER), _counts(PATHS)
 STATISTICS = f"""SELECT path AS name, arg_max(type, n) AS type,
     sum(n) < (SELECT count(*) FROM orders) AS nullable,
     sum(n) / (SELECT count(*) FROM orders) AS frequency, max(n) / sum(n) AS type_frequency,
@@ -119,6 +127,12 @@ def path_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.path_type_counts(_variants(spark, sf_dir), "document")
 
 
+@check("sch_4_path_walk_compat", COMPAT_COUNTS)
+def path_walk_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three segments deep, arrays by their first element."""
+    return schemas.path_type_counts(_variants(spark, sf_dir), "document", compat=True)
+
+
 @check(
     "sch_5_value_classes",
     """SELECT kind, count(*) AS events FROM (SELECT CASE event_type WHEN 'view' THEN 'null'

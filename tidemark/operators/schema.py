@@ -203,7 +203,10 @@ def declared_schema(df: DataFrame, kind: str) -> DataFrame:
 
 # --- documents -------------------------------------------------------------------
 
-MAX_SEGMENTS = 3
+COMPAT_DEPTH = 3
+FIELDS = "map<string,variant>"
+# Marks of what is counted beside (path, type): documents that hold a path, and documents.
+HOLDERS, DOCUMENTS = "", "#"
 
 
 def value_kind(v: Column) -> Column:
@@ -225,80 +228,104 @@ def value_kind(v: Column) -> Column:
     )
 
 
-def document_paths(df: DataFrame, variant: str) -> DataFrame:
-    """SCH-4: a row ``(path, type)`` per field of every document, three segments deep.
+def nesting(df: DataFrame, variant: str) -> int:
+    """How many objects and arrays enclose each other at most: a running count of brackets outside texts."""
+    outside = F.regexp_replace(F.to_json(F.col(quote(variant))), r'"(?:[^"\\]|\\.)*+"|[^\[\]{}"]', "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(seen: Column, c: Column) -> Column:
+        now = seen["now"] + F.when(c.isin("{", "["), 1).when(c == "", 0).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
+
+    depth = F.aggregate(F.split(outside, ""), start, step)["most"]
+    return df.agg(F.max(depth).alias("depth")).first()["depth"] or 0
+
 
-    Objects are descended into, arrays by way of their first element when that is
-    an object. Each level is one explode within the same stage: rows carry their
-    children along, so nothing is scanned or shuffled once per level.
+def _walked(df: DataFrame, variant: str, compat: bool, depth: int | None) -> DataFrame:
+    """SCH-4: one row ``(path, type)`` for each field of each document, and its marks.
+
+    Levels are arrays of (path, value) beside each other in the row; only paths and types
+    are exploded, once, so values are neither copied nor shuffled.
     """
-    document = F.col(quote(variant))
-    rows = df.select(F.explode(F.try_variant_get(document, "$", FIELDS)).alias("path", "value"))
-    rows = rows.select("path", F.lit(0).alias("dots"), value_kind(F.col("value")).alias("type"), "value")
-    itself = F.array(F.lit(None).cast("struct<key:string,value:variant>"))
-    for _ in range(MAX_SEGMENTS - 1):
-        entries = F.when(F.col("dots") < MAX_SEGMENTS - 1, F.map_entries(_children()))
-        entry = F.explode(F.concat(itself, F.coalesce(entries, F.slice(itself, 1, 0))))
-        rows = rows.select("path", "dots", "type", entry.alias("entry"))
-        key, value = F.col("entry.key"), F.col("entry.value")
+    levels = depth or (COMPAT_DEPTH if compat else nesting(df, variant))
+
+    def entries(value: Column) -> Column:
+        return F.map_entries(F.try_variant_get(value, "$", FIELDS))
+
+    def children(entry: Column) -> Column:
+        value = entry["value"]
+        if compat:
+            first = F.try_variant_get(value, "$[0]", "variant")
+            below = F.coalesce(entries(value), F.when(value_kind(first) == "object", entries(first)))
+            below = F.when(entry["dots"] < levels - 1, below)
+        else:
+            items = F.try_variant_get(value, "$", "array<variant>")
+            inner = F.flatten(F.transform(items, lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array(x))))
+            objects = F.filter(inner, lambda x: value_kind(x) == "object")
+            listed = F.flatten(F.transform(objects, entries))
+            below = F.coalesce(entries(value), listed)
+        # Wrapped ids and dates are values; what is in them is no field.
+        below = F.when(entry["type"].isin("object", "array"), below)
         # A dot inside a key counts as a segment of the paths below it.
-        path_dots = F.length("path") - F.length(F.replace(F.col("path"), F.lit("."), F.lit("")))
-        rows = rows.select(
-            F.when(key.isNull(), F.col("path")).otherwise(F.concat("path", F.lit("."), key)).alias("path"),
-            F.when(key.isNull(), F.col("dots")).otherwise(path_dots + 1).alias("dots"),
-            F.when(key.isNull(), F.col("type")).otherwise(value_kind(value)).alias("type"),
-            value.alias("value"),
-        )
-    return rows.select("path", "type")
+        dots = F.length(entry["path"]) - F.length(F.replace(entry["path"], F.lit("."), F.lit(""))) + 1
+        named = F.transform(below, lambda e: _entry(F.concat(entry["path"], F.lit("."), e["key"]), e["value"], dots))
+        return F.coalesce(named, F.array().cast(ENTRIES))
+
+    df = df.select(F.coalesce(F.transform(entries(F.col(quote(variant))), lambda e: _entry(e["key"], e["value"], F.lit(0))), F.array().cast(ENTRIES)).alias("l0"))
+    for k in range(1, levels):
+        df = df.select("*", F.flatten(F.transform(f"l{k - 1}", children)).alias(f"l{k}"))
+    found = F.concat(*(F.transform(f"l{k}", lambda e: F.struct(e["path"], e["type"])) for k in range(levels or 1)))
+    df = df.select(found.alias("found"))
+    told = F.transform("found", lambda e: F.concat(e["path"], F.lit("\0"), e["type"]))
+    if not compat:  # several elements of an array may hold the same field
+        told = F.array_distinct(told)
+    holders = F.array_distinct(F.transform("found", lambda e: F.concat(e["path"], F.lit("\0" + HOLDERS))))
+    mark = F.explode(F.concat(told, holders, F.array(F.lit("\0" + DOCUMENTS)))).alias("mark")
+    at = F.length("mark") - F.length(F.substring_index("mark", "\0", -1))
+    return df.select(mark).select(
+        F.substring("mark", F.lit(1), at - 1).alias("path"), F.substring_index("mark", "\0", -1).alias("type")
+    )
 
 
-FIELDS = "map<string,variant>"
+ENTRIES = "array<struct<path:string,value:variant,type:string,dots:int>>"
 
 
-def _children() -> Column:
-    """The fields below a row's value: its own, or those of an array's first element."""
-    value, kind = F.col("value"), F.col("type")
-    first = F.try_variant_get(value, "$[0]", "variant")
-    first_is_object = (kind == "array") & (value_kind(first) == "object")
-    return F.when(kind == "object", F.try_variant_get(value, "$", FIELDS)).when(
-        first_is_object, F.try_variant_get(value, "$[0]", FIELDS)
-    )
+def _entry(path: Column, value: Column, dots: Column) -> Column:
+    """``dots``: those of the path of what the field is in, and one more."""
+    return F.struct(path.alias("path"), value.alias("value"), value_kind(value).alias("type"), dots.alias("dots"))
+
+
+def _counted_marks(df: DataFrame, variant: str, compat: bool, depth: int | None) -> DataFrame:
+    """Combined in each task, so a row for each kind of mark and task is shuffled."""
+    return _walked(df, variant, compat, depth).groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
-def path_type_counts(df: DataFrame, variant: str) -> DataFrame:
-    """AGG-3: documents per (path, type); combined in each task before the shuffle."""
-    return document_paths(df, variant).groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
+def path_type_counts(df: DataFrame, variant: str, compat: bool = False, depth: int | None = None) -> DataFrame:
+    """AGG-3: documents per (path, type). Objects are walked to their end and arrays by all
+    their elements; ``compat`` goes three segments deep and by first elements, ``depth``
+    sets another end."""
+    return _counted_marks(df, variant, compat, depth).filter(~F.col("type").isin(HOLDERS, DOCUMENTS))
 
 
-def document_schema(
-    df: DataFrame, variant: str, sample: int | None = None, order_by: str | None = None
-) -> DataFrame:
+def document_schema(df: DataFrame, variant: str, compat: bool = False, depth: int | None = None) -> DataFrame:
     """SCH-3, SCH-6: per path the dominant type and how often it occurs.
 
-    Every row of ``df`` is one document. All are read unless ``sample`` asks for
-    the first documents by ``order_by``. Ties go to a type other than null, then to
-    the type's name, so the result does not depend on row order.
+    Every row of ``df`` is one document, and all are read. Ties go to a type other than
+    null, then to the type's name, so the result does not depend on row order.
     """
-    if sample:
-        if not order_by:
-            raise ValueError("a sample needs a column that orders the documents")
-        df = df.orderBy(order_by).limit(sample)
-    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
-    per_type = path_type_counts(df, variant)
-    preference = F.struct(-F.col("n"), F.col("type") == "null", F.col("type"))
+    counted = _counted_marks(df, variant, compat, depth)
+    total = counted.filter(F.col("type") == DOCUMENTS).select(F.max("n")).scalar()
+    preference = F.struct((-F.col("n")).alias("n"), F.col("type") == "null", F.col("type").alias("type"))
+    is_type = ~F.col("type").isin(HOLDERS, DOCUMENTS)
     return (
-        per_type.groupBy("path")
-        .agg(
-            F.min_by("type", preference).alias("type"),
-            F.sum("n").alias("sample_count"),
-            F.max("n").alias("top"),
-        )
+        counted.filter(F.col("type") != DOCUMENTS).groupBy("path")
+        .agg(F.min(F.when(is_type, preference)).alias("best"), F.max(F.when(~is_type, F.col("n"))).alias("sample_count"))
         .select(
             F.col("path").alias("name"),
-            "type",
+            F.col("best.type").alias("type"),
             (F.col("sample_count") < total).alias("nullable"),
             (F.col("sample_count") / total).alias("frequency"),
-            (F.col("top") / F.col("sample_count")).alias("type_frequency"),
+            (-F.col("best.n") / F.col("sample_count")).alias("type_frequency"),
             "sample_count",
         )
     )
@@ -335,18 +362,14 @@ def map_schema(schema: DataFrame, kind: str, mapping: str = "fixed") -> DataFram
     )
 
 
-MAX_COLUMNS = 10_000  # a table cannot be wider, so the collected schema is bounded
-
-
-def mapped_rows(mapped: DataFrame) -> list[Row]:
+def mapped_rows(mapped: DataFrame, columns: Iterable[str] = ()) -> list[Row]:
     """The mapped schema on the driver, where the table is created.
 
-    A dotted path is part of its parent's JSON and gets no column of its own.
+    A path below a field is part of its parent's JSON and gets no column of its own; a
+    column of ``columns`` whose name has a dot does. A table's width bounds what is collected.
     """
-    rows = mapped.filter(~F.col("name").contains(".")).limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} columns")
-    return rows
+    own = F.col("name").isin([c for c in columns if "." in c])
+    return mapped.filter(~F.col("name").contains(".") | own).collect()
 
 
 def destination_struct(rows: Iterable[Row]) -> T.StructType:

@@ -191,7 +191,8 @@ def _prepare_table(spark: SparkSession, job: SyncJob, united: DataFrame) -> None
     if job.sink.create == "never" or spark.catalog.tableExists(job.sink.table):
         return
     try:
-        rows = schemas.mapped_rows(detect_schema(finish(transform(united, job.transform), job), job))
+        transformed = finish(transform(united, job.transform), job)
+        rows = schemas.mapped_rows(detect_schema(transformed, job), transformed.columns)
         create_table(spark, job.sink, schemas.destination_struct(rows))
     except PySparkException as error:
         if job.sink.strict:
