@@ -257,18 +257,22 @@ def field_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
               count(DISTINCT c_mktsegment) = count(*) FROM customer""",
 )
 def custom_schema_detector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A detector is any function that returns a schema frame; this one adds uniqueness."""
+    """A detector is any function that returns a schema frame, registered for a kind of source;
+    this one adds uniqueness. Values are counted by column and value, combined in each task."""
+    from tidemark.plans.sync import DETECTORS, register_detector
 
     def detect(df: DataFrame) -> DataFrame:
-        columns = [
+        cells = [
             F.struct(
                 F.lit(f.name).alias("name"),
                 F.lit(schemas.relational_type_name(f.dataType)).alias("type"),
-                (F.count(f.name) < F.count(F.lit(1))).alias("nullable"),
-                (F.count_distinct(f.name) == F.count(F.lit(1))).alias("is_unique"),
+                F.col(f.name).cast("string").alias("value"),
             )
             for f in df.schema
         ]
-        return df.agg(F.array(*columns).alias("columns")).select(F.inline("columns"))
+        values = df.select(F.inline(F.array(*cells))).groupBy("name", "type", "value").agg(F.count(F.lit(1)).alias("n"))
+        absent = F.max(F.col("value").isNull())
+        return values.groupBy("name", "type").agg(absent.alias("nullable"), (~absent & (F.max("n") == 1)).alias("is_unique"))
 
-    return detect(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"))
+    register_detector("customers", detect)
+    return DETECTORS["customers"](table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"))

@@ -10,7 +10,7 @@ from tidemark.functions.jsontext import sanitise
 from tidemark.functions.literals import parse_array_literal
 from tidemark.functions.text import escape_controls
 from tidemark.operators.schema import FieldSpec
-from tidemark.operators.validate import REASON, coerce, reject_reason, split, validate
+from tidemark.operators.validate import REASON, coerce, reject_reason, validate
 
 
 @check(
@@ -188,11 +188,9 @@ def record_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM documents) GROUP BY lang, kept""",
 )
 def drop_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, rejects = split(validate(table(spark, sf_dir, "documents"), limit=SIZE))
-    both = valid.select("lang", F.lit(True).alias("kept")).unionByName(
-        rejects.select("lang", F.col(REASON).isNull().alias("kept"))
-    )
-    return both.groupBy("lang", "kept").agg(F.count(F.lit(1)).alias("documents"))
+    flagged = validate(table(spark, sf_dir, "documents"), limit=SIZE)
+    kept = F.col(REASON).isNull().alias("kept")
+    return flagged.groupBy("lang", kept).agg(F.count(F.lit(1)).alias("documents"))
 
 
 @check(

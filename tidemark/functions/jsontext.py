@@ -17,10 +17,10 @@ IS_BRACKETED = """((startswith(s, '{') AND endswith(s, '}'))
 # Spark's parser stops after the first value and ignores what follows. So the text is
 # parsed as the first item of an array whose second item, a hash of the text, proves
 # that the first one ended where the text ends.
-PARSED = """transform(
-    array(try_parse_json(concat('[', s, ',', CAST(xxhash64(s) AS STRING), ']'))),
-    both -> CASE WHEN try_variant_get(both, '$[1]', 'bigint') = xxhash64(s)
-                 THEN try_variant_get(both, '$[0]', 'variant') END)[0]"""
+PARSED = """transform(array(xxhash64(s)), h -> transform(
+    array(try_parse_json(concat('[', s, ',', CAST(h AS STRING), ']'))),
+    both -> CASE WHEN try_variant_get(both, '$[1]', 'bigint') = h
+                 THEN try_variant_get(both, '$[0]', 'variant') END)[0])[0]"""
 
 
 def parse(c: Column) -> Column:

@@ -24,7 +24,7 @@ def strip(c: Column) -> Column:
 
 
 def drop_nul(c: Column) -> Column:
-    return F.replace(c, nul(), F.lit(""))
+    return F.when(c.contains(nul()), F.replace(c, nul(), F.lit(""))).otherwise(c)
 
 
 def escape_controls(c: Column) -> Column:
