@@ -134,6 +134,10 @@ def test_quality_measures_against_brute_force(docs, awkward, nothing):
     assert quality_rules.measure(nothing).count() == 0 and quality_rules.clean(nothing).count() == 0
 
 
+def test_quality_rules_agree_with_sql(spark, sf_dir):
+    assert differences(checks.op3(spark, sf_dir), connect(sf_dir), checks.ORACLES["op3_quality_rules"]) is None
+
+
 def test_a_filter_on_the_verdict_computes_nothing_anew(docs):
     plan = quality_rules.measure(docs).filter("kept AND n_words > 30")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") <= 3

@@ -36,7 +36,32 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(documents(spark, sf_dir))
 
 
-@query("op3_quality_rules")
+_QUOTED = ", ".join("'" + c.replace("'", "''") + "'" for c in quality_rules.TERMINAL)
+_BOILERPLATE = " OR ".join(f"contains(lower(x), '{phrase}')" for phrase in quality_rules.BOILERPLATE)
+_TIDY = "trim(x, ' ')"
+_LINE_WORDS = f"(length({_TIDY}) - length(replace({_TIDY}, ' ', '')) + 1)"
+_LINE_FAILS = f"""{_TIDY} <> '' AND ((right({_TIDY}, 1) NOT IN ({_QUOTED}) AND {_LINE_WORDS} < 5)
+    OR len(regexp_extract_all(x, '{quality_rules.SEPARATORS}')) > {_LINE_WORDS} * 0.2
+    OR len(regexp_extract_all(x, '{quality_rules.SYMBOLS}')) > {_LINE_WORDS} * 0.5 OR {_BOILERPLATE})"""
+
+
+@query(
+    "op3_quality_rules",
+    rf"""WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+       w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+        array_to_string(list_filter(string_split(t, chr(10)), lambda x: NOT ({_LINE_FAILS})), chr(10)) AS clean FROM t),
+       windows AS (SELECT doc_id, i, array_to_string(words[i : i + 7], ' ') AS seen
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w)),
+       twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, seen) AS n FROM windows) WHERE n > 1),
+       covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(8) AS r(k) GROUP BY doc_id),
+       m AS (SELECT w.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+        coalesce(n, 0) AS n_repeat_words, length(clean) >= length(t) * 0.5 AS enough FROM w LEFT JOIN covered USING (doc_id))
+       SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND enough AS kept FROM m""",
+)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(documents(spark, sf_dir)).drop("clean_text")
 
