@@ -130,7 +130,25 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op1_ngram_jaccard_join")
+@query(
+    "op1_ngram_jaccard_join",
+    r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+       grams AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 4
+         THEN list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' '))
+         WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS gram FROM w),
+       sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+       common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b USING (gram)
+         WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+       half AS (SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+         WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+       links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+       reach(doc_id, other) AS (SELECT a, b FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+       least AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id),
+       degree AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
+       SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id, coalesce(n_links, 0) AS n_links
+       FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id) LEFT JOIN degree USING (doc_id)""",
+)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(documents(spark, sf_dir))
 
