@@ -7,8 +7,9 @@ linked with nothing. Two documents link when 100 * |intersection| >= percent * |
 1. Equal sets are one class, which is compared once; its copies share the result.
 2. All n-grams have one global order: those that are not frequent by hash, then the frequent
    ones by count. Two sets that link share one of their first |x| - ceil(percent * |x| / 100)
-   + 1 members, so only these are shuffled. Members of an n-gram's list whose sizes are near
-   enough form a star; connected stars are blocks, and no link leaves a block.
+   + 1 members, so only these are shuffled. Members of an n-gram's list form a star as far as
+   it can be the first n-gram that two of them share, which depends on its place in their
+   orders; connected stars are blocks, and no link leaves a block.
 3. The first members that were met again say more: of two sets that link, the larger one, x,
    loses at most |x| - least overlap of its first members, so they share all the others.
    Blocks are made anew of the documents that share so many; a passage alone joins none.
@@ -103,7 +104,11 @@ def _profile(n: int):
 
 
 def _prefixes(n: int, percent: int, frequent):
-    """(gram, doc_id, n) of the first members of every set; of equal sets in a task only the first counts."""
+    """(gram, doc_id, n, reach) of the first members of every set; of equal sets in a task only the first counts.
+
+    ``reach`` is the size of the largest set that can link with this one when this member is
+    the first that they share: only what comes after it can be shared too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, order = frequent.value  # sorted by hash; place by count
@@ -111,7 +116,7 @@ def _prefixes(n: int, percent: int, frequent):
         known[(grams >> np.uint64(42)).astype(np.int64)] = True
         seen: set[bytes] = set()
         for batch in batches:
-            found, owners, sizes = [], [], []
+            found, owners, sizes, reach = [], [], [], []
             for i, members in enumerate(ngram_sets(batch.column(1), n)):
                 signature = _signature(members)
                 if not len(members) or signature in seen:
@@ -130,9 +135,12 @@ def _prefixes(n: int, percent: int, frequent):
                 found.append(chosen)
                 owners.append(np.full(len(chosen), i))
                 sizes.append(np.full(len(chosen), len(members)))
+                after = len(members) - np.arange(len(chosen))
+                reach.append(after * (100 + percent) // percent - len(members))
             if found:
                 ids = batch.column(0).take(pa.array(np.concatenate(owners)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), ids, pa.array(np.concatenate(sizes))], ["gram", "doc_id", "n"])
+                columns = [pa.array(np.concatenate(found).view(np.int64)), ids, pa.array(np.concatenate(sizes)), pa.array(np.concatenate(reach))]
+                yield pa.RecordBatch.from_arrays(columns, ["gram", "doc_id", "n", "reach"])
 
     return run
 
@@ -306,14 +314,20 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     frequent = spark.sparkContext.broadcast((grams[by_hash], place[by_hash]))
 
     named = texts.filter("doc_id IS NOT NULL")
-    prefixes = named.mapInArrow(_prefixes(n, percent, frequent), "gram long, doc_id long, n long")
+    prefixes = named.mapInArrow(_prefixes(n, percent, frequent), "gram long, doc_id long, n long, reach long")
     by_size = Window.partitionBy("gram").orderBy("n", "doc_id")
+    so_far = by_size.rowsBetween(Window.unboundedPreceding, 0)
+    # A stretch ends where no set before is near enough in size, a star where none reaches so far.
     far = F.coalesce(100 * F.lag("n").over(by_size) < percent * F.col("n"), F.lit(False)).cast("int")
-    near = prefixes.select("gram", "doc_id", "n", far.alias("far")).select(
-        "gram", "doc_id", "n", F.sum("far").over(by_size.rowsBetween(Window.unboundedPreceding, 0)).alias("stretch")
+    before = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    unreached = F.coalesce(F.max("reach").over(before) < F.col("n"), F.lit(False)).cast("int")
+    near = prefixes.select("gram", "doc_id", "n", far.alias("far"), unreached.alias("unreached")).select(
+        "gram", "doc_id", "n", F.sum("far").over(so_far).alias("stretch"), F.sum("unreached").over(so_far).alias("part")
+    )
+    met = near.select(
+        "gram", "doc_id", "n", F.min("doc_id").over(Window.partitionBy("gram", "part")).alias("star"),
+        F.count("*").over(Window.partitionBy("gram", "stretch")).alias("times"),
     )
-    stretch = Window.partitionBy("gram", "stretch")
-    met = near.select("gram", "doc_id", "n", F.min("doc_id").over(stretch).alias("star"), F.count("*").over(stretch).alias("times"))
     met = keep(met.filter("times > 1").drop("times"))
 
     def blocks_of(edges: DataFrame) -> DataFrame:
