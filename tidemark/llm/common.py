@@ -13,7 +13,7 @@ from tidemark.session import shared_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = b" \t\n\x0b\x0c\r"
-SLICE_BYTES = 1 << 20  # text handled at once by the array code; a longer text is a slice of its own
+SLICE_BYTES = 1 << 19  # text handled at once by the array code; a longer text is a slice of its own
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
