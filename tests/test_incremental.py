@@ -1,7 +1,7 @@
 """Marks, windows and templates."""
 
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 
@@ -197,6 +197,27 @@ def test_template_over_jdbc_is_a_derived_table_in_slices():
     assert len(rows[2]) == 3 and rows[1] in bounds[1]
 
 
+@pytest.mark.parametrize("days", [(5,), (1, 1, 2, 9), (1, 2, 3, 4, 5, 6)])
+@pytest.mark.parametrize("window", [None, inc.Window(datetime(2024, 1, 1, 14, 30), datetime(2024, 1, 5, 0, 0, 7))])
+def test_slices_of_a_date_column_have_every_row_once(spark, days, window):
+    dates = [date(2024, 1, d) for d in days]
+    rows = spark.createDataFrame([(d,) for d in dates], "updated_at DATE").cache()
+    expected = sorted(r[0] for r in inc.extract(rows, "updated_at", window).collect())
+    modes = [{"incremental": True}] if window else [{"incremental": True}, {"source_timestamp": "updated_at"}]
+    for sync in modes:
+        _, asked = sliced({"table": "t"}, window, (min(dates), max(dates), 0), **sync)
+        found = [r[0] for p in asked[2] for r in rows.filter(p).collect()]
+        assert sorted(found) == expected and (window or found)
+        assert not any(":" in p for p in asked[2])
+
+
+def test_template_over_jdbc_reads_a_date_columns_only_day():
+    template = "SELECT * FROM t WHERE {window}"
+    for window in (None, inc.Window(DAY(1), DAY(4))):
+        _, rows = sliced({"template": template}, window, (date(2024, 1, 3), date(2024, 1, 3), 0), incremental=True)
+        assert rows[2] == ["updated_at > '2024-01-02' AND updated_at <= '2024-01-03'"]
+
+
 def test_unsplit_jdbc_read_is_refused():
     with pytest.raises(ValueError):
         sliced({"table": "t"}, None, (None, None, 0))

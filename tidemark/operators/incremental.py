@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -158,16 +158,23 @@ def fill_template(
     return template
 
 
-def clipped(window: Window | None, least: datetime, most: datetime) -> Window:
-    """The part of the window that has rows: slices of it are empty only by the source's own gaps."""
+def clipped(window: Window | None, least: date, most: date) -> Window:
+    """The part of the window that has rows: slices of it are empty only by the source's own gaps.
+    Bounds of a DATE column are its days' midnights."""
+    least, most = (m if isinstance(m, datetime) else datetime.combine(m, time()) for m in (least, most))
     before = least - timedelta(seconds=1)
     if window is None:
         return Window(before, most)
     return Window(max(window.start, before), min(window.end, most))
 
 
-def window_slices(window: Window, parts: int) -> list[Window]:
-    """Adjoining sub-windows that cover the window exactly: one JDBC partition each."""
+def window_slices(window: Window, parts: int, days: bool = False) -> list[Window]:
+    """Adjoining sub-windows that cover the window exactly: one JDBC partition each.
+
+    With ``days`` all bounds go back to their midnight, which is the same range for a DATE column.
+    """
     step = (window.end - window.start) / parts
     bounds = [window.start + step * i for i in range(parts)] + [window.end]
+    if days:
+        bounds = [datetime.combine(b.date(), time()) for b in bounds]
     return [Window(a, b) for a, b in zip(bounds, bounds[1:]) if a < b]

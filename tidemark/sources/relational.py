@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,11 +77,16 @@ def read_relational(spark: SparkSession, source: RelationalSource) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(source)).load()
 
 
-def window_predicates(timestamp: str, window: Window, parts: int) -> list[str]:
-    """WHERE texts that cut the window into adjoining slices, one per task."""
+def window_predicates(timestamp: str, window: Window, parts: int, days: bool = False) -> list[str]:
+    """WHERE texts that cut the window into adjoining slices, one per task; for a DATE column
+    (``days``) by whole days."""
+
+    def text(moment: datetime) -> str:
+        return moment.date().isoformat() if days else moment.isoformat(sep=" ")
+
     return [
-        f"{timestamp} > '{s.start.isoformat(sep=' ')}' AND {timestamp} <= '{s.end.isoformat(sep=' ')}'"
-        for s in window_slices(window, parts)
+        f"{timestamp} > '{text(s.start)}' AND {timestamp} <= '{text(s.end)}'"
+        for s in window_slices(window, parts, days)
     ]
 
 
@@ -101,7 +107,10 @@ def slice_predicates(
 ) -> list[str]:
     """One WHERE text per task: slices of what the source really holds of the window, and
     one for null timestamps when all rows are read."""
-    found = [] if least is None else window_predicates(timestamp, clipped(window, least, most), parts)
+    found = []
+    if least is not None:
+        days = not isinstance(least, datetime)
+        found = window_predicates(timestamp, clipped(window, least, most), parts, days)
     if window is None and nulls:
         found.append(f"{timestamp} IS NULL")
     return found or ["1 = 0"]
