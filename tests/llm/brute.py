@@ -78,6 +78,30 @@ def backoff_scores(texts: list[str], order: int) -> list[float]:
     return [sum(s(g, 1 - f) for g in grams(x)) for x, f in zip(texts, folds, strict=True)]
 
 
+def word_backoff_scores(texts: list[str], order: int) -> list[tuple[int, float]]:
+    """Word n-grams and log scores under the counts of the other fold."""
+    def grams(x: str) -> list[tuple]:
+        words = [("start",)] * (order - 1) + WORD.findall(x) + [("end",)]
+        return [tuple(words[i : i + order]) for i in range(len(words) - order + 1)]
+
+    counts, contexts = (Counter(), Counter()), (Counter(), Counter())
+    folds = [zlib.crc32(x.encode()) % 2 for x in texts]
+    for x, f in zip(texts, folds, strict=True):
+        for g in grams(x):
+            for k in range(order):
+                counts[f][g[k:]] += 1
+                contexts[f][g[k:-1], order - k] += 1
+
+    def s(g: tuple, f: int) -> float:
+        if not g:
+            return math.log(1 / (contexts[f][(), 1] + 1))
+        if counts[f][g]:
+            return math.log(counts[f][g] / contexts[f][g[:-1], len(g)])
+        return math.log(0.4) + s(g[1:], f)
+
+    return [(len(grams(x)), sum(s(g, 1 - f) for g in grams(x))) for x, f in zip(texts, folds, strict=True)]
+
+
 def best_segments(values: list[float]) -> list[tuple]:
     """All maximal-scoring segments by definition: take the best (shortest, first), then look left and right of it."""
     def take(lo: int, hi: int) -> list[tuple]:

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tests.oracle import connect, differences
-from tidemark.llm import chat, checks, lm_scoring, packing, quality_model, quality_rules, sentencepiece_codec, toxicity
+from tidemark.llm import chat, checks, lm_scoring, packing, quality_model, quality_rules, sentencepiece_codec, toxicity, word_scoring
 from tidemark.llm.prefix_table import Encoder
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -205,6 +205,27 @@ def test_backoff_scores_against_brute_force(spark, docs, awkward, nothing, monke
     assert lm_scoring.score(nothing).count() == 0
 
 
+@pytest.mark.parametrize(("block", "part"), [(20_000, 7_000), (1 << 24, 1 << 24)])
+def test_word_scores_against_brute_force(spark, docs, awkward, nothing, monkeypatch, block, part):
+    monkeypatch.setattr(word_scoring, "BLOCK_BYTES", block)
+    monkeypatch.setattr(word_scoring, "PART_BYTES", part)
+    small = awkward.select("doc_id", "text").unionByName(docs.select("doc_id", "text").limit(40)).repartition(3, "text").cache()
+    rows = small.collect()
+    expected = brute.word_backoff_scores([r.text or "" for r in rows], 3)
+    got = word_scoring.score(small).collect()
+    assert sorted((str(r.doc_id), r.n_grams, round(r.log_score, 6)) for r in got) == sorted(
+        (str(r.doc_id), n, round(s, 6)) for r, (n, s) in zip(rows, expected, strict=True)
+    )
+    assert word_scoring.score(nothing).count() == 0
+
+
+def test_registered_scores_count_words(spark, tmp_path):
+    texts = ["the cat sat on the mat", "mat the on sat cat the", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_grams for r in checks.QUERIES["op7_lm_scoring"](spark, str(tmp_path)).collect()}
+    assert got == {0: 7, 1: 7, 2: 1, 3: 1}
+
+
 @given(st.lists(st.integers(-6, 6), max_size=40))
 @settings(max_examples=200, deadline=None)
 def test_segments_are_the_maximal_ones(values):

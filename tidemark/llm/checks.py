@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, exact_dedup, lm_scoring, ngram_join, packing, quality_model, quality_rules, sentencepiece_codec, sharding, toxicity
+from tidemark.llm import chat, exact_dedup, ngram_join, packing, quality_model, quality_rules, sentencepiece_codec, sharding, toxicity, word_scoring
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,7 +160,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_lm_scoring")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(documents(spark, sf_dir)).select(
+    return word_scoring.score(documents(spark, sf_dir)).select(
         "doc_id", "fold", "n_grams", F.round("log_score", 6).alias("log_score"),
         F.round(F.exp(-F.col("log_score") / F.col("n_grams")), 6).alias("perplexity"),
     )

@@ -1,7 +1,8 @@
-"""Language-model scores by stupid backoff, from n-gram count tables joined to the texts' n-grams.
+"""Language-model scores by stupid backoff over bytes, from n-gram count tables joined to the texts' n-grams.
 
-The units are UTF-8 bytes, so that an n-gram is a number without loss and the tables grow far
-slower than the corpus; a text is preceded by start marks and followed by an end mark (both
+The registered query scores by words (``word_scoring``): tables of byte n-grams are soon full
+and see no order of words. Here the units are UTF-8 bytes, so that an n-gram is a number without
+loss; a text is preceded by start marks and followed by an end mark (both
 byte 0). Texts are dealt to two folds by a hash of the text, so that copies share one, and a
 text is scored by the counts of the other fold: no text vouches for itself. Counts are taken
 over all documents.
