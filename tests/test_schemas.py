@@ -62,6 +62,24 @@ def test_a_dot_in_a_key_counts_as_depth(spark):
     assert set(inferred(spark, [{"a.b": {"c": {"d": 1}}}])) == {"a.b", "a.b.c", "a.b.c.d"}
 
 
+def test_arrays_nested_three_and_more_deep(spark):
+    documents = [
+        {"a": [[[{"x": 1}]]]},
+        {"a": [[[[[{"x": 2.5, "y": [[[[{"z": "t"}]], 7]]}, 3]]], {"x": 1}]]},
+        {"a": [[[]]], "b": [[[1, 2]]]},
+    ]
+    found = inferred(spark, documents)
+    assert set(found) == {"a", "a.x", "a.y", "a.y.z", "b"}
+    assert (found["a"]["type"], found["a"]["sample_count"], found["a"]["type_frequency"]) == ("array", 3, 1.0)
+    assert (found["a.x"]["type"], found["a.x"]["sample_count"]) == ("int", 2)
+    assert (found["a.y.z"]["type"], found["a.y.z"]["sample_count"]) == ("string", 1)
+    texts = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(documents)], "i INT, raw STRING")
+    counts = schemas.path_type_counts(parse_documents(texts, "raw"), "document").collect()
+    assert {(r["path"], r["type"], r["n"]) for r in counts} == {
+        ("a", "array", 3), ("a.x", "int", 2), ("a.x", "double", 1), ("a.y", "array", 1), ("a.y.z", "string", 1), ("b", "array", 1),
+    }
+
+
 def test_all_elements_count_once_for_a_document(spark):
     found = inferred(spark, [{"a": [{"x": 1}, {"x": 2}, {"x": "t", "y": {"z": [[{"w": 1}]]}}]}, {"a": []}])
     assert set(found) == {"a", "a.x", "a.y", "a.y.z", "a.y.z.w"}

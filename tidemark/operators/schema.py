@@ -245,7 +245,9 @@ def _walked(df: DataFrame, variant: str, compat: bool, depth: int | None) -> Dat
     """SCH-4: one row ``(path, type)`` for each field of each document, and its marks.
 
     Levels are arrays of (path, value) beside each other in the row; only paths and types
-    are exploded, once, so values are neither copied nor shuffled.
+    are exploded, once, so values are neither copied nor shuffled. An array three or more deep
+    in arrays is an entry of the next level, under the same path and without a type: it is
+    walked, not counted.
     """
     levels = depth or (COMPAT_DEPTH if compat else nesting(df, variant))
 
@@ -265,17 +267,23 @@ def _walked(df: DataFrame, variant: str, compat: bool, depth: int | None) -> Dat
             listed = F.flatten(F.transform(objects, entries))
             below = F.coalesce(entries(value), listed)
         # Wrapped ids and dates are values; what is in them is no field.
-        below = F.when(entry["type"].isin("object", "array"), below)
+        below = F.when(F.coalesce(entry["type"], F.lit("array")).isin("object", "array"), below)
         # A dot inside a key counts as a segment of the paths below it.
         dots = F.length(entry["path"]) - F.length(F.replace(entry["path"], F.lit("."), F.lit(""))) + 1
         named = F.transform(below, lambda e: _entry(F.concat(entry["path"], F.lit("."), e["key"]), e["value"], dots))
-        return F.coalesce(named, F.array().cast(ENTRIES))
+        named = F.coalesce(named, F.array().cast(ENTRIES))
+        if compat:
+            return named
+        uncounted = F.lit(None).cast("string").alias("type")
+        deeper = F.filter(inner, lambda x: F.schema_of_variant(x).startswith("ARRAY<"))
+        same = F.transform(deeper, lambda x: F.struct(entry["path"].alias("path"), x.alias("value"), uncounted, entry["dots"].alias("dots")))
+        return F.concat(named, F.coalesce(same, F.array().cast(ENTRIES)))
 
     df = df.select(F.coalesce(F.transform(entries(F.col(quote(variant))), lambda e: _entry(e["key"], e["value"], F.lit(0))), F.array().cast(ENTRIES)).alias("l0"))
     for k in range(1, levels):
         df = df.select("*", F.flatten(F.transform(f"l{k - 1}", children)).alias(f"l{k}"))
     found = F.concat(*(F.transform(f"l{k}", lambda e: F.struct(e["path"], e["type"])) for k in range(levels or 1)))
-    df = df.select(found.alias("found"))
+    df = df.select((found if compat else F.filter(found, lambda e: e["type"].isNotNull())).alias("found"))
     told = F.transform("found", lambda e: F.concat(e["path"], F.lit("\0"), e["type"]))
     if not compat:  # several elements of an array may hold the same field
         told = F.array_distinct(told)
