@@ -275,6 +275,14 @@ def flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("event_id", *paths.values())
 
 
+ALL_SECTIONS = TransformSpec(
+    field_mappings={"p_partkey": "id", "price_text": "price"},
+    type_conversions={"price": "INTEGER"},
+    value_transformations={"label": {"type": "trim"}},
+    calculated_fields={"total": "price + p_size", "label_length": "len(label)"},
+)
+
+
 @check(
     "trf_all_sections",
     f"""SELECT p_partkey AS id, p_size, p_type, trim(p_name) AS label, CAST(trunc(p_retailprice) AS BIGINT) AS price,
@@ -284,14 +292,24 @@ def flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def all_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rename, convert, clean and calculate in one configuration."""
-    spec = TransformSpec(
-        field_mappings={"p_partkey": "id", "price_text": "price"},
-        type_conversions={"price": "INTEGER"},
-        value_transformations={"label": {"type": "trim"}},
-        calculated_fields={"total": "price + p_size", "label_length": "len(label)"},
-    )
     parts = _parts(spark, sf_dir).drop("p_retailprice")
-    return transform(parts, spec).ok().withColumn(ERROR, F.lit(None).cast("string"))
+    return transform(parts, ALL_SECTIONS).ok().withColumn(ERROR, F.lit(None).cast("string"))
+
+
+@check(
+    "trf_all_sections_merged",
+    f"""SELECT p_size, p_type, CASE WHEN bad THEN label ELSE trim(p_name) END AS label, CASE WHEN NOT bad THEN p_partkey END AS id,
+        CASE WHEN NOT bad THEN CAST(trunc(p_retailprice) AS BIGINT) END AS price,
+        CASE WHEN NOT bad THEN CAST(trunc(p_retailprice) AS BIGINT) + p_size END AS total,
+        CASE WHEN NOT bad THEN length(p_name) END AS label_length,
+        CASE WHEN bad THEN p_partkey END AS p_partkey, CASE WHEN bad THEN price_text END AS price_text,
+        CASE WHEN bad THEN 'cannot convert price to integer: on request' END AS _transformation_error
+       FROM (SELECT *, price_text = 'on request' AS bad FROM {PARTS})""",
+)
+def all_sections_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same configuration with every record: failed ones keep their original values and say why."""
+    parts = _parts(spark, sf_dir).drop("p_retailprice")
+    return transform(parts, ALL_SECTIONS).merged()
 
 
 @check(
