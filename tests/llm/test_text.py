@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 from tests.llm import brute
 from tests.oracle import connect, differences
 from tidemark.llm import chat, checks, lm_scoring, packing, quality_model, quality_rules, sentencepiece_codec, toxicity, word_scoring
+from tidemark.llm.common import labelled_sample
 from tidemark.llm.prefix_table import Encoder
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -248,6 +249,14 @@ def test_scores_of_held_out_documents(spark, name, label, least):
     assert right > (0.97 if label == "quality" else 0.9)
 
 
+def test_labelled_sample_has_one_row_for_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "b"), (3, None), (4, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    sample = lambda rows: sorted(tuple(r) for r in labelled_sample(docs, labels, "toxic", 1, 1, rows).collect())
+    assert sample(10) == [(1, "text 0", 1), (2, "b", 0), (3, "", 1)]
+    assert len(sample(2)) == 2 and set(sample(2)) < set(sample(10))
+
+
 @pytest.mark.parametrize(("module", "label"), [(quality_model, "quality"), (toxicity, "toxic")])
 def test_models_of_awkward_rows(spark, awkward, nothing, module, label):
     some = [(i, k % 2) for k, i in enumerate((-4, -5, -7, -8, -9))] + [(None, 1), (-1, None)]

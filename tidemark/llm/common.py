@@ -144,6 +144,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
     """At most ``rows`` labelled documents, chosen by a hash of the id among the rows not held out.
 
     Only ids and labels are chosen and broadcast: ``rows`` bounds their size whatever the input.
+    An id that comes several times gives one document, its least text, so the bound holds.
     """
     chosen = (
         labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
@@ -152,4 +153,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     texts = docs.select("doc_id", whole_text().alias("__text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "__text", "__label")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "__label").agg(F.min("__text").alias("__text")).select("doc_id", "__text", "__label")
