@@ -206,8 +206,9 @@ def register_detector(kind: str, detector: Detector) -> None:
 
 
 def detect_schema(primary: DataFrame, job: SyncJob) -> DataFrame:
-    """SCH-1..SCH-9: from what the sources declare, measured, or by the first source's own
-    detector. ``primary`` holds the rows of all sources."""
+    """SCH-1..SCH-9, but for SCH-1's database catalog, which is not asked: from what the
+    sources declare, measured, or by the first source's own detector. ``primary`` holds the
+    rows of all sources."""
     if detector := DETECTORS.get(job.sources[0].kind):
         kind = KINDS.get(job.sources[0].kind, schemas.RELATIONAL)
         return schemas.map_schema(detector(primary), kind, job.sync.mapping)
