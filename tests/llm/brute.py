@@ -11,6 +11,10 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def letter_runs(text: str | None) -> list[str]:
+    return re.findall(r"[a-z\u00C0-\u00FF]+", (text or "").translate(LOW))
+
+
 def ngrams(text: str | None, n: int) -> set:
     words = WORD.findall((text or "").translate(LOW))
     if len(words) < n:

@@ -84,6 +84,23 @@ def only_in(df: DataFrame, ids: DataFrame, how: str, name: str = "doc_id") -> Da
     return joined if how == "left_semi" else df.filter(~passes).unionByName(joined)
 
 
+HOT = 1024
+
+
+def join_hot(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int) -> DataFrame:
+    """``rows`` left joined with ``table``, which says by ``weight`` how many of the ``total`` rows have each key.
+
+    Keys of more than one row in HOT are joined by broadcast: there are fewer than HOT of them,
+    whatever the input. No task of the other join gets more than that share from one key.
+    """
+    is_hot = F.col(weight) * HOT > total
+    hot = table.filter(is_hot).withColumn("__hot", F.lit(True))
+    others = [c for c in table.columns if c != key]
+    marked = rows.join(F.broadcast(hot), key, "left")
+    rest = marked.filter("__hot IS NULL").drop("__hot", *others).join(table.filter(~is_hot), key, "left")
+    return marked.filter("__hot").drop("__hot").unionByName(rest)
+
+
 def byte_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """UTF-8 bytes of consecutive texts, and where each begins and the last ends; null is empty."""
     if isinstance(texts, pa.ChunkedArray):
