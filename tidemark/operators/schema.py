@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.calculated import quote
+from tidemark.session import shared_dir
 
 RELATIONAL, DOCUMENT, WAREHOUSE = "relational", "document", "warehouse"
 
@@ -205,13 +206,12 @@ def declared_schema(df: DataFrame, kind: str) -> DataFrame:
 
 COMPAT_DEPTH = 3
 FIELDS = "map<string,variant>"
-# Marks of what is counted beside (path, type): documents that hold a path, and documents.
-HOLDERS, DOCUMENTS = "", "#"
+# Marks of what is counted beside (path, type): documents that hold a path, documents, and those that
+# go on below what was walked.
+HOLDERS, DOCUMENTS, DEEPER = "", "#", "+"
 
 
-def value_kind(v: Column) -> Column:
-    """SCH-5: null, boolean, int, double, string, objectId, object, array, date or mixed."""
-    schema = F.schema_of_variant(v)
+def _kind_of(schema: Column) -> Column:
     return (
         F.when(schema == "VOID", "null")
         .when(schema == "STRING", "string")
@@ -228,90 +228,166 @@ def value_kind(v: Column) -> Column:
     )
 
 
-def nesting(df: DataFrame, variant: str) -> int:
-    """How many objects and arrays enclose each other at most: a running count of brackets outside texts."""
-    outside = F.regexp_replace(F.to_json(F.col(quote(variant))), r'"(?:[^"\\]|\\.)*+"|[^\[\]{}"]', "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+def value_kind(v: Column) -> Column:
+    """SCH-5: null, boolean, int, double, string, objectId, object, array, date or mixed.
+
+    The schema is bound by a lambda, so that it is worked out once and not for every branch.
+    """
+    return F.transform(F.array(F.schema_of_variant(v)), _kind_of)[0]
+
 
-    def step(seen: Column, c: Column) -> Column:
-        now = seen["now"] + F.when(c.isin("{", "["), 1).when(c == "", 0).otherwise(-1)
-        return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
+def _fields(value: Column) -> Column:
+    return F.try_variant_get(value, "$", FIELDS)
 
-    depth = F.aggregate(F.split(outside, ""), start, step)["most"]
-    return df.agg(F.max(depth).alias("depth")).first()["depth"] or 0
 
+def _items(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "array<variant>")
 
-def _walked(df: DataFrame, variant: str, compat: bool, depth: int | None) -> DataFrame:
-    """SCH-4: one row ``(path, type)`` for each field of each document, and its marks.
 
-    Levels are arrays of (path, value) beside each other in the row; only paths and types
-    are exploded, once, so values are neither copied nor shuffled. An array three or more deep
-    in arrays is an entry of the next level, under the same path and without a type: it is
-    walked, not counted.
-    """
-    levels = depth or (COMPAT_DEPTH if compat else nesting(df, variant))
+# --- the walk that follows the documented one: three segments, first elements
+
+COMPAT_ENTRIES = "array<struct<path:string,value:variant,type:string,dots:int>>"
+
+
+def _compat_entry(path: Column, value: Column, dots: Column) -> Column:
+    """``dots``: those of the path of what the field is in, and one more."""
+    return F.struct(path.alias("path"), value.alias("value"), value_kind(value).alias("type"), dots.alias("dots"))
 
-    def entries(value: Column) -> Column:
-        return F.map_entries(F.try_variant_get(value, "$", FIELDS))
+
+def _compat_marks(df: DataFrame, variant: str, depth: int | None) -> DataFrame:
+    levels = depth or COMPAT_DEPTH
 
     def children(entry: Column) -> Column:
         value = entry["value"]
-        if compat:
-            first = F.try_variant_get(value, "$[0]", "variant")
-            below = F.coalesce(entries(value), F.when(value_kind(first) == "object", entries(first)))
-            below = F.when(entry["dots"] < levels - 1, below)
-        else:
-            items = F.try_variant_get(value, "$", "array<variant>")
-            inner = F.flatten(F.transform(items, lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.array(x))))
-            objects = F.filter(inner, lambda x: value_kind(x) == "object")
-            listed = F.flatten(F.transform(objects, entries))
-            below = F.coalesce(entries(value), listed)
+        first = F.try_variant_get(value, "$[0]", "variant")
+        listed = F.when(value_kind(first) == "object", F.map_entries(_fields(first)))
+        below = F.coalesce(F.map_entries(_fields(value)), listed)
+        below = F.when(entry["dots"] < levels - 1, below)
         # Wrapped ids and dates are values; what is in them is no field.
-        below = F.when(F.coalesce(entry["type"], F.lit("array")).isin("object", "array"), below)
+        below = F.when(entry["type"].isin("object", "array"), below)
         # A dot inside a key counts as a segment of the paths below it.
         dots = F.length(entry["path"]) - F.length(F.replace(entry["path"], F.lit("."), F.lit(""))) + 1
-        named = F.transform(below, lambda e: _entry(F.concat(entry["path"], F.lit("."), e["key"]), e["value"], dots))
-        named = F.coalesce(named, F.array().cast(ENTRIES))
-        if compat:
-            return named
-        uncounted = F.lit(None).cast("string").alias("type")
-        deeper = F.filter(inner, lambda x: F.schema_of_variant(x).startswith("ARRAY<"))
-        same = F.transform(deeper, lambda x: F.struct(entry["path"].alias("path"), x.alias("value"), uncounted, entry["dots"].alias("dots")))
-        return F.concat(named, F.coalesce(same, F.array().cast(ENTRIES)))
-
-    df = df.select(F.coalesce(F.transform(entries(F.col(quote(variant))), lambda e: _entry(e["key"], e["value"], F.lit(0))), F.array().cast(ENTRIES)).alias("l0"))
+        named = F.transform(below, lambda e: _compat_entry(F.concat(entry["path"], F.lit("."), e["key"]), e["value"], dots))
+        return F.coalesce(named, F.array().cast(COMPAT_ENTRIES))
+
+    roots = F.transform(F.map_entries(_fields(F.col(quote(variant)))), lambda e: _compat_entry(e["key"], e["value"], F.lit(0)))
+    df = df.select(F.coalesce(roots, F.array().cast(COMPAT_ENTRIES)).alias("l0"))
     for k in range(1, levels):
         df = df.select("*", F.flatten(F.transform(f"l{k - 1}", children)).alias(f"l{k}"))
-    found = F.concat(*(F.transform(f"l{k}", lambda e: F.struct(e["path"], e["type"])) for k in range(levels or 1)))
-    df = df.select((found if compat else F.filter(found, lambda e: e["type"].isNotNull())).alias("found"))
+    df = df.select(F.concat(*(F.transform(f"l{k}", lambda e: F.struct(e["path"], e["type"])) for k in range(levels))).alias("found"))
     told = F.transform("found", lambda e: F.concat(e["path"], F.lit("\0"), e["type"]))
-    if not compat:  # several elements of an array may hold the same field
-        told = F.array_distinct(told)
     holders = F.array_distinct(F.transform("found", lambda e: F.concat(e["path"], F.lit("\0" + HOLDERS))))
-    mark = F.explode(F.concat(told, holders, F.array(F.lit("\0" + DOCUMENTS)))).alias("mark")
+    return _marks_counted(df.select(F.concat(told, holders, F.array(F.lit("\0" + DOCUMENTS))).alias("marks")))
+
+
+def _marks_counted(df: DataFrame) -> DataFrame:
+    """Rows (path, type, n) of a column ``marks``; combined in each task, so a row for each
+    kind of mark and task is shuffled."""
     at = F.length("mark") - F.length(F.substring_index("mark", "\0", -1))
-    return df.select(mark).select(
+    named = df.select(F.explode("marks").alias("mark")).select(
         F.substring("mark", F.lit(1), at - 1).alias("path"), F.substring_index("mark", "\0", -1).alias("type")
     )
+    return named.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
 
 
-ENTRIES = "array<struct<path:string,value:variant,type:string,dots:int>>"
+# --- the walk to every end
 
+WALKED = 4  # levels of the first walk; an array's elements are a level of their own
+ENTRIES = "array<struct<path:string,value:variant,counted:boolean,level:int>>"
+
+
+def _entry(path: Column, value: Column, counted: bool, level: Column) -> Column:
+    return F.struct(path.alias("path"), value.alias("value"), F.lit(counted).alias("counted"), level.alias("level"))
+
+
+def _opened(entry: Column) -> Column:
+    """An entry with its fields and elements; a wrapped id or date has neither."""
+    value = entry["value"]
+    return F.struct(entry["path"].alias("path"), value.alias("value"), entry["counted"].alias("counted"), entry["level"].alias("level"),
+                    _fields(value).alias("fields"), _items(value).alias("items"))
 
-def _entry(path: Column, value: Column, dots: Column) -> Column:
-    """``dots``: those of the path of what the field is in, and one more."""
-    return F.struct(path.alias("path"), value.alias("value"), value_kind(value).alias("type"), dots.alias("dots"))
+
+def _typed(e: Column) -> Column:
+    """The entry's type; only scalars and objects of one field, which may be wrappers, are looked at closely."""
+    kind = (
+        F.when(e["items"].isNotNull(), "array")
+        .when(F.size(e["fields"]) != 1, "object")
+        .when(e["counted"] | e["fields"].isNotNull(), value_kind(e["value"]))
+    )
+    return F.struct(e["path"].alias("path"), e["counted"].alias("counted"), e["level"].alias("level"), kind.alias("type"),
+                    e["fields"].alias("fields"), e["items"].alias("items"))
+
+
+def _below(e: Column, depth: int | None) -> Column:
+    """What the next level looks at: the fields of an object, the elements of an array."""
+    fields = F.transform(F.map_entries(e["fields"]), lambda f: _entry(F.concat(e["path"], F.lit("."), f["key"]), f["value"], True, e["level"] + 1))
+    items = F.transform(e["items"], lambda x: _entry(e["path"], x, False, e["level"]))
+    found = F.when(e["type"] == "object", fields).when(e["type"] == "array", items)
+    found = F.when(e["level"] < depth, found) if depth else found
+    return F.coalesce(found, F.array().cast(ENTRIES))
+
+
+def _walk(df: DataFrame, levels: int, depth: int | None) -> DataFrame:
+    """``df`` has the entries of a level and what was told of its document before (``told``); the
+    result has the new marks, all of them, and the entries that ``levels`` levels did not reach (``rest``)."""
+    df = df.select("told", F.col("rest").alias("l0"))
+    for k in range(levels):
+        df = df.select("*", F.transform(f"l{k}", _opened).alias(f"o{k}"))
+        df = df.select("*", F.transform(f"o{k}", _typed).alias(f"t{k}"))
+        df = df.select("*", F.flatten(F.transform(f"t{k}", lambda e: _below(e, depth))).alias(f"l{k + 1}"))
+    seen = [F.transform(F.filter(f"t{k}", lambda e: e["counted"]), lambda e: F.concat(e["path"], F.lit("\0"), e["type"])) for k in range(levels)]
+    holders = F.transform("types", lambda m: F.concat(F.substr(m, F.lit(1), F.length(m) - F.length(F.substring_index(m, "\0", -1))), F.lit(HOLDERS)))
+    df = df.select("told", F.col(f"l{levels}").alias("rest"), F.array_distinct(F.concat(*seen)).alias("types"))
+    df = df.select("told", "rest", F.array_distinct(F.concat("types", holders)).alias("found"))
+    # Several elements of an array may hold the same field: it counts once for a document.
+    return df.select(F.array_except("found", "told").alias("marks"), F.array_union("told", "found").alias("told"), "rest")
+
+
+def first_walk(df: DataFrame, variant: str, depth: int | None = None) -> DataFrame:
+    """Counted marks of all documents as far as the first walk goes; DEEPER counts those that go on."""
+    walked = _walk(_documents(df, variant), WALKED, depth)
+    return _marks_counted(walked.select(_with_own(walked, F.lit("\0" + DOCUMENTS)).alias("marks")))
+
+
+def _documents(df: DataFrame, variant: str) -> DataFrame:
+    roots = F.transform(F.map_entries(_fields(F.col(quote(variant)))), lambda e: _entry(e["key"], e["value"], True, F.lit(1)))
+    return df.select(F.array().cast("array<string>").alias("told"), F.coalesce(roots, F.array().cast(ENTRIES)).alias("rest"))
+
+
+def _with_own(walked: DataFrame, *marks: Column) -> Column:
+    goes_on = F.when(F.size("rest") > 0, F.array(F.lit("\0" + DEEPER))).otherwise(F.array().cast("array<string>"))
+    return F.concat("marks", goes_on, F.array(*marks).cast("array<string>"))
 
 
 def _counted_marks(df: DataFrame, variant: str, compat: bool, depth: int | None) -> DataFrame:
-    """Combined in each task, so a row for each kind of mark and task is shuffled."""
-    return _walked(df, variant, compat, depth).groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
+    """The counts of a walk, stored: few rows, whatever the number of documents.
+
+    Documents that go on below the levels of a walk are walked on from where it ended, twice as
+    many levels as before, and only they; the first walk of a usual collection is the only one.
+    """
+    if compat:
+        return _compat_marks(df, variant, depth)
+    found = _stored(first_walk(df, variant, depth))
+    counts, walked, levels = found, _walk(_documents(df, variant), WALKED, depth), WALKED
+    while not found.filter(F.col("type") == DEEPER).isEmpty():
+        deep = _stored(walked.filter(F.size("rest") > 0).select("told", "rest"))
+        levels *= 2
+        walked = _walk(deep, levels, depth)
+        found = _stored(_marks_counted(walked.select(_with_own(walked).alias("marks"))))
+        counts = counts.unionByName(found)
+    return counts.filter(F.col("type") != DEEPER).groupBy("path", "type").agg(F.sum("n").alias("n"))
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_type_counts(df: DataFrame, variant: str, compat: bool = False, depth: int | None = None) -> DataFrame:
     """AGG-3: documents per (path, type). Objects are walked to their end and arrays by all
     their elements; ``compat`` goes three segments deep and by first elements, ``depth``
-    sets another end."""
+    sets another end. The walk is done when this returns."""
     return _counted_marks(df, variant, compat, depth).filter(~F.col("type").isin(HOLDERS, DOCUMENTS))
 
 
@@ -395,6 +471,26 @@ def destination_struct(rows: Iterable[Row]) -> T.StructType:
     return T.StructType(fields)
 
 
+def with_catalog(schema: T.StructType, columns: Mapping[str, Row]) -> T.StructType:
+    """The destination's schema with what a database's catalog says of its columns: the type it
+    maps to, unless it is an array (the driver names its elements), length, default and REQUIRED."""
+    fields = []
+    for f in schema:
+        row = columns.get(f.name)
+        if row is None:
+            fields.append(f)
+            continue
+        said = {"max_length": row["max_length"], "default": row["default"]}
+        metadata = f.metadata | {k: v for k, v in said.items() if v is not None}
+        dtype, nullable = f.dataType, f.nullable
+        if row["mode"] != "REPEATED":
+            nullable = row["mode"] != "REQUIRED"
+            dtype = SPARK_TYPES.get(row["destination_type"], T.StringType())
+            metadata |= {"destination_type": row["destination_type"], "mode": row["mode"], "comment": row["description"]}
+        fields.append(T.StructField(f.name, dtype, nullable, metadata))
+    return T.StructType(fields)
+
+
 def field_specs(schema: T.StructType) -> dict[str, FieldSpec]:
     """SRC-8: type and mode per column of a destination schema."""
     specs = {}
