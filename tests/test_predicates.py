@@ -1,11 +1,17 @@
 """Document filters and projections."""
 
+import json
+import random
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidemark.operators import predicates
 from tidemark.operators.predicates import document_filter
 from tidemark.operators.projection import project
-from tidemark.sources.documents import parse_documents
+from tidemark.sources.documents import DocumentSource, parse_documents, pipeline
 
 DOCUMENTS = [
     """{"_id":"1","status":"active","age":17,"verified":true,"tags":["vip","new"],"email":"a@example.com",
@@ -88,3 +94,50 @@ def test_projections(typed):
     assert dropped.schema["profile"].dataType.fieldNames() == ["age"]
     with pytest.raises(ValueError):
         project(typed, '{"a": 1, "b": 0}')
+
+
+LEAF = st.one_of(st.integers(-2, 4), st.floats(-2, 4).map(lambda x: round(x, 1)), st.booleans(), st.none(), st.sampled_from(["a", "b", "5f" * 12]))
+TESTS = st.one_of(
+    LEAF, st.fixed_dictionaries({}, optional={"$gte": st.integers(-2, 4), "$lt": st.sampled_from([3, 2.5, "b"]), "$in": st.lists(LEAF, max_size=3)}).filter(bool),
+    st.just({"$regex": "^a"}), st.just({"$date": "2024-01-01T00:00:00Z"}),
+)
+FILTERS = st.recursive(
+    st.dictionaries(st.sampled_from(["x", "y", "n.z", "_id"]), TESTS, max_size=3),
+    lambda inner: st.builds(lambda k, v: {k: v}, st.sampled_from(["$and", "$or"]), st.lists(inner, min_size=1, max_size=3)), max_leaves=5,
+)
+
+
+def test_both_parts_of_a_filter_are_the_whole(spark):
+    """On documents of uneven shape, for random filters."""
+    found = []
+
+    @given(FILTERS)
+    @settings(max_examples=40, deadline=None, database=None)
+    def collect(spec):
+        found.append(spec)
+
+    collect()
+    rng = random.Random(3)
+    values = [0, 1, 2.5, "a", "b", True, None, [1, "a"], "5f" * 12]
+    documents = [json.dumps({k: rng.choice(values) for k in ("x", "y", "_id") if rng.random() < 0.8} | {"n": {"z": rng.choice(values)}}) for _ in range(60)]
+    df = spark.createDataFrame([(d,) for d in documents], "raw STRING").select("raw", F.parse_json("raw").alias("v")).cache()
+    columns = []
+    for k, spec in enumerate(found):
+        pushed, rest = predicates.split_filter(spec)
+        both = predicates.filter_condition(df.schema, pushed, "v") & predicates.filter_condition(df.schema, rest, "v")
+        columns.append((predicates.filter_condition(df.schema, spec, "v") != both).alias(f"c{k}"))
+    for at in range(0, len(columns), 10):
+        assert not any(any(r) for r in df.select(*columns[at : at + 10]).collect())
+
+
+def test_what_a_database_is_asked(spark):
+    spec = {"a": 5, "b": {"$gt": 1, "$regex": "x"}, "_id": "5f", "c": "5f" * 12, "$or": [{"d": 1}, {"e": {"$lt": "z"}}], "$and": [{"f": None}, {"g": {"$date": "2024-01-01"}}]}
+    pushed, rest = predicates.split_filter(spec)
+    assert pushed == {"$and": [{"a": {"$eq": 5}}, {"b": {"$gt": 1}}, {"f": {"$eq": None}}]}
+    assert predicates.fields_of(rest) == {"b", "_id", "c", "d", "e", "g"} and predicates.split_filter({}) == ({}, {})
+    source = DocumentSource("d", "c", filter=spec, projection={"a": 1, "n.z": 1, "_id": 0})
+    stages, left = pipeline(source)
+    assert stages == [{"$match": pushed}, {"$project": {"a": 1, "b": 1, "c": 1, "d": 1, "e": 1, "g": 1, "n": 1, "_id": 1}}] and left == rest
+    assert pipeline(DocumentSource("d", "c", projection={"secret": 0})) == ([], {})
+    with pytest.raises(ValueError):
+        predicates.split_filter({"a": {"$where": "1"}})

@@ -121,3 +121,30 @@ def test_shards_read_only_the_named_files(spark):
     assert {(r["d"], r["table_suffix"]) for r in shards.collect()} == {("20240102", "20240102")}
     with pytest.raises(ValueError):
         wh.read_shards(spark, f"{path}/events")
+
+
+def test_shards_that_grow(spark):
+    path = f"{shared_dir(spark)}/grow"
+    spark.sql("SELECT 1 AS id").write.parquet(f"{path}/t_1")
+    spark.sql("SELECT 'x' AS extra, 2 AS id, named_struct('a', 1) AS s").write.parquet(f"{path}/t_2")
+    rows = {r["id"]: (r["extra"], r["table_suffix"]) for r in wh.read_shards(spark, f"{path}/t_*").collect()}
+    assert rows == {1: (None, "1"), 2: ("x", "2")}
+    spark.sql("SELECT 3.5D AS id, named_struct('b', 'y', 'a', 5000000000) AS s").write.parquet(f"{path}/t_3")
+    rows = {r["id"]: (r["extra"], r["table_suffix"], r["s"] and r["s"].asDict()) for r in wh.read_shards(spark, f"{path}/t_*").collect()}
+    assert rows == {1.0: (None, "1", None), 2.0: ("x", "2", {"a": 1, "b": None}), 3.5: (None, "3", {"a": 5000000000, "b": "y"})}
+
+
+@pytest.mark.parametrize(("query", "kept", "limited"), [
+    ("SELECT * FROM t WHERE a > 1 ORDER BY ts DESC", "SELECT * FROM t WHERE a > 1", False),
+    ("SELECT * FROM t WHERE a > 1 ORDER BY ts DESC, lower(b) NULLS LAST;", "SELECT * FROM t WHERE a > 1", False),
+    ("SELECT * FROM t ORDER BY ts DESC LIMIT 100", None, True),
+    ("SELECT * FROM t ORDER BY ts OFFSET 10 ROWS FETCH NEXT 5 ROWS ONLY", None, True),
+    ("SELECT * FROM t ORDER BY ts\nFETCH FIRST ROW ONLY", None, True),
+    ("SELECT * FROM t LIMIT 7", None, True),
+    ("SELECT * FROM (SELECT * FROM t ORDER BY ts LIMIT 5) x", None, False),
+    ("SELECT * FROM (SELECT * FROM t ORDER BY ts LIMIT 5) x ORDER BY a", "SELECT * FROM (SELECT * FROM t ORDER BY ts LIMIT 5) x", False),
+    ("SELECT 'no ORDER BY LIMIT (' AS c, \"limit\" FROM t -- LIMIT 3", None, False),
+    ("SELECT row_number() OVER (ORDER BY ts) AS n FROM t", None, False),
+])
+def test_orders_and_limits(query, kept, limited):
+    assert rel.unordered(query) == (kept or query) and rel.is_limited(query) == limited

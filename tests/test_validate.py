@@ -147,3 +147,16 @@ def test_required_and_typed(spark):
     reasons = {r["id"]: r[REASON] for r in flagged.collect()}
     assert reasons[1] is None and reasons[2] == "n does not fit double: abc"
     assert reasons[None] == "Required field id is null"
+
+
+def test_nested_records_are_measured_only_if_they_may_be_long(spark):
+    from tidemark.operators.validate import json_length, may_exceed
+
+    df = spark.sql("""SELECT * FROM VALUES
+        (named_struct('a', 'x', 'n', 1), array(1.5D, 2D), map('k', array('v')), array(named_struct('t', repeat('y', 50)))),
+        (named_struct('a', repeat('"', 900), 'n', NULL), NULL, NULL, NULL), (NULL, array_repeat(1D, 200), map(repeat('k', 300), NULL), array(NULL)),
+        (NULL, NULL, map('a', array('b', repeat('c', 400)), 'd', NULL), array(named_struct('t', NULL), named_struct('t', repeat('z', 500)))) AS t(s, l, m, r)""")
+    for limit in (20, 100, 300, 1000, 3000, 100_000):
+        rows = df.select(may_exceed(df.schema, limit, 6).alias("may"), json_length(df.columns).alias("n")).collect()
+        assert all(r["may"] or r["n"] <= limit for r in rows)
+    assert not any(r["may"] for r in rows)

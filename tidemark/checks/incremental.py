@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.checks import check, new_sink, table, view
 from tidemark.config import SourceSpec, SyncJob, SyncSpec
+from tidemark.operators.current import CurrentVersions
 from tidemark.operators.incremental import (
     bind_template,
     destination_mark,
@@ -16,6 +17,7 @@ from tidemark.operators.incremental import (
     high_water_mark,
     sync_window,
 )
+from tidemark.operators.ledger import Ledger
 from tidemark.operators.monitor import latest_per_key, ordered
 from tidemark.operators.write import day_column, write_table
 from tidemark.plans.sync import run_sync
@@ -49,6 +51,27 @@ def mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newer.agg(F.count(F.lit(1)).alias("newer")).withColumn("mark", newest)
 
 
+@check(
+    "inc_1_mark_from_ledger",
+    """SELECT max(o_orderdate) FILTER (o_orderdate <= TIMESTAMP '1998-01-01') AS first, max(o_orderdate) FILTER (o_orderdate <= TIMESTAMP '1999-01-01') AS second,
+       count(*) FILTER (o_orderdate <= TIMESTAMP '1999-01-01') AS rows FROM orders""",
+)
+def mark_from_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marks that two runs leave in the ledger, and the rows they say they wrote."""
+    job = SyncJob(
+        [SourceSpec("postgresql", {"query": f"SELECT * FROM {view(spark, sf_dir, 'orders')}"})],
+        new_sink(spark, partition_field="o_orderdate"),
+        SyncSpec(incremental=True, timestamp_column="o_orderdate", on_empty="since_1900", ledger=f"{shared_dir(spark)}/ledger"),
+    )
+    ledger, marks = Ledger(job.sync.ledger), []
+    for now in (datetime(1998, 1, 1), NOW):
+        run_sync(spark, job, now)
+        marks.append(ledger.mark(spark, job.sink.table, day_column("o_orderdate")))
+    written = ledger.runs(spark, job.sink.table).agg(F.sum("rows").alias("rows"))
+    first, second = (F.lit(m.isoformat(sep=" ")).cast("timestamp_ntz") for m in marks)
+    return written.select(first.alias("first"), second.alias("second"), "rows")
+
+
 @check("inc_2_missing_destination", "SELECT * FROM orders")
 def missing_destination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = destination_mark(spark, "no_such_table_here", "o_orderdate")
@@ -174,6 +197,22 @@ def run_to_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_runs(spark, sf_dir)
 
 
+@check(
+    "inc_9_kept_versions",
+    """SELECT event_id, ts, user_id, event_type, value FROM (SELECT *, row_number() OVER (
+        PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1""",
+)
+def kept_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three increments, which overlap, into a kept table of current versions; the last one is repeated."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    kept = CurrentVersions(f"{shared_dir(spark)}/current", ["user_id", "event_type"], "ts", ["event_id"], buckets=32)
+    day = F.dayofmonth("ts")
+    for rows in (events.filter(day <= 12), events.filter(day.between(10, 22)), events.filter(day >= 20)):
+        kept.merge(rows)
+    assert kept.merge(events.filter(day >= 20)) == []
+    return kept.read(spark)
+
+
 @check(
     "inc_9_current_versions",
     f"""SELECT o_orderkey, o_orderstatus, o_orderdate FROM (

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
+import pyarrow as pa
+from pyarrow import parquet
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,12 +16,13 @@ from tidemark.config import SourceSpec
 from tidemark.functions.text import iso_time
 from tidemark.operators import schema as schemas
 from tidemark.operators.incremental import Window, extract
-from tidemark.operators.predicates import document_filter
+from tidemark.operators.predicates import document_filter, fields_of, split_filter
 from tidemark.operators.projection import project
 from tidemark.operators.union import union_all
 from tidemark.operators.write import write_table
 from tidemark.session import shared_dir
 from tidemark.sources import read_source, read_sources, register_reader, source_names
+from tidemark.sources.custom import Adapter, Condition, matching, register_source
 from tidemark.sources.documents import DocumentSource, parse_documents, read_documents
 from tidemark.sources.warehouse import read_shards
 
@@ -192,6 +196,27 @@ def wildcard_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@check(
+    "src_9_growing_shards",
+    """SELECT event_id, CASE WHEN event_type = 'view' THEN NULL ELSE user_id END AS user_id,
+              CASE event_type WHEN 'view' THEN CAST(user_id AS DOUBLE) WHEN 'click' THEN value END AS amount,
+              CASE WHEN event_type = 'click' THEN props END AS props, event_type AS table_suffix FROM events
+       WHERE event_type IN ('view', 'click', 'error')""",
+)
+def growing_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later shards have more columns, one of them of another type than before."""
+    path = f"{shared_dir(spark)}/growing"
+    events = table(spark, sf_dir, "events")
+    columns = {
+        "view": ["event_id", F.col("user_id").alias("amount")],
+        "click": ["user_id", "event_id", F.col("value").alias("amount"), "props"],
+        "error": ["event_id", "user_id"],
+    }
+    for kind, chosen in columns.items():
+        events.filter(F.col("event_type") == kind).select(*chosen).write.parquet(f"{path}/events_{kind}")
+    return read_shards(spark, f"{path}/events_*")
+
+
 # --- filters ---------------------------------------------------------------------
 
 
@@ -425,6 +450,35 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all([customer, supplier, nation])
 
 
+def _places(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Customers, suppliers and nations with a nested place: fields in another order, one more, one wider."""
+    return [
+        table(spark, sf_dir, "customer").selectExpr(
+            "c_custkey AS id", "named_struct('nation', c_nationkey, 'segment', c_mktsegment) AS place",
+            "array(named_struct('balance', c_acctbal, 'kind', 'c')) AS parts",
+        ),
+        table(spark, sf_dir, "supplier").selectExpr(
+            "s_suppkey AS id", "named_struct('segment', concat('S', s_nationkey), 'nation', CAST(s_nationkey AS BIGINT) + 5000000000) AS place",
+            "array(named_struct('kind', 's', 'balance', s_acctbal, 'extra', named_struct('name', s_name))) AS parts",
+        ),
+        table(spark, sf_dir, "nation").selectExpr("n_nationkey AS id", "named_struct('region', named_struct('key', n_regionkey)) AS place"),
+    ]
+
+
+PLACES = ["id", "place.nation", "place.segment", "place.region.key AS region", "parts[0].balance AS balance", "parts[0].kind AS kind", "parts[0].extra.name AS name"]
+
+
+@check(
+    "set_1_union_nested",
+    """SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS nation, c_mktsegment AS segment, NULL::INT AS region, c_acctbal AS balance, 'c' AS kind, NULL AS name FROM customer
+       UNION ALL SELECT s_suppkey, s_nationkey + 5000000000, 'S' || s_nationkey, NULL, s_acctbal, 's', s_name FROM supplier
+       UNION ALL SELECT n_nationkey, NULL, NULL, n_regionkey, NULL, NULL, NULL FROM nation""",
+)
+def union_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structs, and structs in arrays, are joined field by field."""
+    return union_all(_places(spark, sf_dir)).selectExpr(*PLACES)
+
+
 @check("set_2_single_source", "SELECT * FROM supplier")
 def single_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all([table(spark, sf_dir, "supplier")])
@@ -437,3 +491,59 @@ def custom_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     register_reader("parts", read_parts)
     return read_source(spark, SourceSpec("parts", {"path": f"{sf_dir}/part.parquet"}))
+
+
+@check(
+    "src_4_split_filter",
+    """SELECT o_orderkey, o_orderstatus FROM orders WHERE o_custkey >= 10 AND o_orderstatus IN ('F', 'P')
+       AND o_orderpriority LIKE '1-%' AND (o_totalprice > 100000 OR o_orderstatus = 'P') AND o_orderdate >= TIMESTAMP '1994-01-01'""",
+)
+def split_document_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part that a database would answer, then the part left to Spark, give what the whole filter gives."""
+    spec = {
+        "o_custkey": {"$gte": 10}, "o_orderstatus": {"$in": ["F", "P"]}, "o_orderpriority": {"$regex": "^1-"},
+        "$or": [{"o_totalprice": {"$gt": 100000}}, {"o_orderstatus": "P"}], "o_orderdate": {"$gte": {"$date": "1994-01-01T00:00:00Z"}},
+    }
+    pushed, rest = split_filter(spec)
+    assert fields_of(pushed) == {"o_custkey", "o_orderstatus", "o_totalprice"} and fields_of(rest) == {"o_orderpriority", "o_orderdate"}
+    return document_filter(document_filter(table(spark, sf_dir, "orders"), pushed), rest).select("o_orderkey", "o_orderstatus")
+
+
+class ParquetSlices(Adapter):
+    """A Parquet file as a source of one's own, in slices of rows."""
+
+    def schema(self, options: dict[str, str]) -> str:
+        return options["columns"]
+
+    def answers(self, options: dict[str, str], condition: Condition) -> bool:
+        return True
+
+    def plan(self, options: dict[str, str], conditions: Sequence[Condition]) -> list[tuple[int, int]]:
+        file = parquet.ParquetFile(options["path"])
+        step = max(1, file.metadata.num_rows // int(options["slices"]) + 1)
+        return [(at, step) for at in range(0, max(1, file.metadata.num_rows), step)]
+
+    def read(self, options, schema, conditions, piece) -> Iterator[pa.RecordBatch]:
+        at, step = piece
+        begin = 0
+        for batch in parquet.ParquetFile(options["path"]).iter_batches(batch_size=10_000, columns=schema.names):
+            wanted = batch.slice(max(0, at - begin), max(0, min(begin + batch.num_rows, at + step) - max(at, begin)))
+            begin += batch.num_rows
+            if wanted.num_rows:
+                yield matching(wanted, conditions)
+            if begin >= at + step:
+                break
+
+
+@check(
+    "udf_2_data_source",
+    """SELECT event_id, ts, user_id, event_type FROM events
+       WHERE ts > TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00' AND user_id IN (1, 2, 3, 5, 8, 13, 21)""",
+)
+def data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A format of one's own, read in slices; the window and the list of users are answered by the source."""
+    register_source(spark, "parquet_slices", ParquetSlices())
+    options = {"path": f"{sf_dir}/events.parquet", "columns": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING", "slices": "8"}
+    events = read_source(spark, SourceSpec("parquet_slices", options))
+    window = Window(datetime(2024, 1, 10), datetime(2024, 1, 20))
+    return extract(events, "ts", window).filter(F.col("user_id").isin(1, 2, 3, 5, 8, 13, 21))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.checks import check, new_sink, table
+from tidemark.checks.reading import PLACES, _places
 from tidemark.operators import schema as schemas
 from tidemark.operators.write import TableNotEmpty, create_table, write_batch, write_table
 from tidemark.session import shared_dir
@@ -53,6 +54,28 @@ def clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(sink.table)
 
 
+@check(
+    "snk_3_files_apart",
+    """SELECT CAST(ts AS DATE) AS ts_day, count(*) AS n, count(DISTINCT user_id) AS users, 0::BIGINT AS overlaps
+       FROM events GROUP BY 1""",
+)
+def files_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per day: rows and users of the table as written, and pairs of neighbouring files that share more than
+    the user between them. Small files, so that a day has several."""
+    events = table(spark, sf_dir, "events")
+    sink = new_sink(spark, partition_field="ts", clustering_fields=("user_id", "event_type"), cluster="table", file_bytes=1024)
+    write_table(events, sink)
+    stored = spark.table(sink.table)
+    by_day = Window.partitionBy("ts_day").orderBy("least", "most")
+    files = stored.groupBy("ts_day", F.col("_metadata.file_path").alias("file")).agg(
+        F.min("user_id").alias("least"), F.max("user_id").alias("most")
+    )
+    shared = files.withColumn("before", F.max("most").over(by_day.rowsBetween(Window.unboundedPreceding, -1)))
+    days = shared.groupBy("ts_day").agg(F.count_if(F.col("before") > F.col("least")).alias("overlaps"))
+    rows = stored.groupBy("ts_day").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+    return rows.join(days, "ts_day").select("ts_day", "n", "users", "overlaps")
+
+
 @check("snk_4_drop_and_recreate", "SELECT s_suppkey, s_name FROM supplier")
 def drop_and_recreate(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = new_sink(spark)
@@ -129,6 +152,20 @@ def added_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(sink.table)
 
 
+@check(
+    "snk_10_nested_columns",
+    """SELECT c_custkey AS id, CAST(c_nationkey AS BIGINT) AS nation, c_mktsegment AS segment, NULL::INT AS region, c_acctbal AS balance, 'c' AS kind, NULL AS name FROM customer
+       UNION ALL SELECT s_suppkey, s_nationkey + 5000000000, 'S' || s_nationkey, NULL, s_acctbal, 's', s_name FROM supplier
+       UNION ALL SELECT n_nationkey, NULL, NULL, n_regionkey, NULL, NULL, NULL FROM nation""",
+)
+def nested_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches whose nested fields come in another order, are new or wider are appended; old rows read null."""
+    sink = new_sink(spark)
+    for batch in _places(spark, sf_dir):
+        write_table(batch, sink)
+    return spark.table(sink.table).selectExpr(*PLACES)
+
+
 @check("snk_batch_rerun", "SELECT event_id, user_id, event_type AS sync_batch FROM events")
 def batch_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A repeated batch replaces itself and leaves the other batches alone."""

@@ -75,6 +75,7 @@ class SyncSpec:
     auto_schema: bool = True
     measure_schema: bool = False  # nullability and document paths from a pass over the data
     mapping: str = "fixed"  # fixed | compat
+    ledger: str | None = None  # a folder that keeps the mark of each run, so that the next one need not scan for it
 
 
 @dataclass(frozen=True)
@@ -85,6 +86,8 @@ class SinkSpec:
     path: str | None = None
     partition_field: str | None = "updated_at"
     clustering_fields: Sequence[str] = ()
+    cluster: str = "files"  # files: rows are sorted in each file | table: files of a day hold ranges that are apart
+    file_bytes: int = 256 * 1024 * 1024  # of a file where the table is clustered
     write: str = "append"  # append | truncate | empty
     create: str = "if_needed"  # if_needed | never
     delete_existing: bool = False
@@ -101,7 +104,11 @@ class SyncJob:
     the table with their original values and ``_transformation_error``.
 
     ``max_record_chars`` is VAL-10's limit; None lifts it. ``require_fields`` rejects a
-    record that lacks a REQUIRED field."""
+    record that lacks a REQUIRED field.
+
+    ``stage`` writes all records to the shared folder first, rows and rejects apart, so that each is
+    evaluated once and both come from one state of the sources; without it rejects are read again,
+    if there are any. It is on where ``rejects_path`` is set, unless said otherwise."""
 
     sources: Sequence[SourceSpec]
     sink: SinkSpec
@@ -112,3 +119,4 @@ class SyncJob:
     rejects_path: str | None = None
     max_record_chars: int | None = 104_857_600
     require_fields: bool = False
+    stage: bool | None = None

@@ -8,6 +8,7 @@ the result is made of plain comparisons, which reach the Parquet scan.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping
 from decimal import Decimal
 from functools import reduce
@@ -55,6 +56,59 @@ def filter_condition(
     return reduce(lambda a, b: a & b, parts) if parts else F.lit(True)
 
 
+def split_filter(spec: str | Mapping[str, Any]) -> tuple[dict[str, Any], dict[str, Any]]:
+    """A filter as the part that a document database answers alike, and the rest; both must hold.
+
+    Left to Spark are: texts that may be the hexadecimal form of an id (which the database holds as
+    ids), order of texts, moments (which documents may hold as text), patterns (another dialect),
+    objects and lists (the database minds the order of keys), ids, and paths with numbers.
+    """
+    spec = json.loads(spec) if isinstance(spec, str) else spec
+    filter_condition(T.StructType([]), spec)  # refuses what no part could answer
+    pushed, rest = [], []
+    for key, wanted in spec.items():
+        if key == "$and":
+            for one in wanted:
+                inside, left = split_filter(one)
+                pushed += [inside] if inside else []
+                rest += [left] if left else []
+        elif key == "$or":
+            whole = all(not split_filter(one)[1] for one in wanted)
+            (pushed if whole else rest).append({key: wanted})
+        else:
+            operators = isinstance(wanted, Mapping) and any(k.startswith("$") for k in wanted) and "$date" not in wanted
+            for op, value in (wanted if operators else {"$eq": wanted}).items():
+                (pushed if _answers_alike(key, op, value) else rest).append({key: {op: value}})
+    return _all_of(pushed), _all_of(rest)
+
+
+def _all_of(parts: list[dict[str, Any]]) -> dict[str, Any]:
+    return {"$and": parts} if len(parts) > 1 else dict(*parts)
+
+
+ID_TEXT = re.compile("[0-9a-f]{24}", re.IGNORECASE)
+
+
+def _answers_alike(path: str, op: str, value: Any) -> bool:
+    steps = path.split(".")
+    if "_id" in steps or any(step.isdigit() for step in steps):
+        return False
+    if op == "$in":
+        return all(_answers_alike(path, "$eq", v) for v in value)
+    if isinstance(value, str):
+        return op == "$eq" and not ID_TEXT.fullmatch(value)
+    return op in COMPARISONS and (value is None or isinstance(value, (bool, int, float)))
+
+
+def fields_of(spec: str | Mapping[str, Any]) -> set[str]:
+    """The paths that a filter looks at."""
+    spec = json.loads(spec) if isinstance(spec, str) else spec
+    found: set[str] = set()
+    for key, wanted in spec.items():
+        found |= set().union(*map(fields_of, wanted)) if key in ("$and", "$or") else {key}
+    return found
+
+
 def _field_condition(schema, path: str, wanted: Any, variant: str | None) -> Column:
     operators = isinstance(wanted, Mapping) and any(k.startswith("$") for k in wanted)
     tests = wanted if operators and "$date" not in wanted else {"$eq": wanted}

@@ -25,6 +25,7 @@ from tidemark.operators.union import as_type, common_type
 
 ERROR = "_transformation_error"
 ORIGINAL = "_original_record"
+KEPT = "_keep_original"
 
 
 @dataclass(frozen=True)
@@ -120,12 +121,13 @@ def fill_defaults(df: DataFrame, defaults: dict[str, Any]) -> DataFrame:
     return _with(df, filled)
 
 
-def transform(df: DataFrame, spec: TransformSpec) -> Transformed:
-    kept = F.struct("*")
+def transform(df: DataFrame, spec: TransformSpec, keep: Column | None = None) -> Transformed:
+    """All sections in order. Original columns are kept of records that fail, and where ``keep`` is true."""
+    kept, keep = F.struct("*"), F.lit(False) if keep is None else keep
     if spec.is_empty():
         no_error = F.lit(None).cast("string").alias(ERROR)
-        return Transformed(df.select("*", no_error, F.when(F.lit(False), kept).alias(ORIGINAL)))
-    work = df.select("*", kept.alias(ORIGINAL))
+        return Transformed(df.select("*", no_error, F.when(keep, kept).alias(ORIGINAL)))
+    work = df.select("*", kept.alias(ORIGINAL), keep.alias(KEPT))
     work = rename_fields(work, dict(spec.field_mappings))
     if spec.flatten_nested:
         work = flatten_nested(work, dict(spec.flatten_nested))
@@ -145,7 +147,7 @@ def transform(df: DataFrame, spec: TransformSpec) -> Transformed:
     for name, expression in spec.calculated_fields.items():
         work = _with(work, {name: calculate(expression, work.schema)})
     failed = F.col(ERROR).isNotNull()
-    return Transformed(work.withColumn(ORIGINAL, F.when(failed, F.col(ORIGINAL))))
+    return Transformed(work.withColumn(ORIGINAL, F.when(failed | F.col(KEPT), F.col(ORIGINAL))).drop(KEPT))
 
 
 def _convert_types(df: DataFrame, spec: TransformSpec) -> DataFrame:

@@ -1,4 +1,4 @@
-"""SET-1, SET-2: bag union of sources whose schemas differ."""
+"""SET-1, SET-2: bag union of sources whose schemas differ, nested ones by field name."""
 
 from __future__ import annotations
 
@@ -10,47 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.calculated import quote
-from tidemark.functions.jsontext import nested_json
-from tidemark.functions.text import base64_text, iso_time
-
-
-def common_type(types: Sequence[T.DataType]) -> T.DataType:
-    """Equal types stay, numbers take the widest, anything else becomes text."""
-    types = [t for t in types if not isinstance(t, T.NullType)] or list(types)
-    if all(t == types[0] for t in types):
-        return types[0]
-    if not all(isinstance(t, T.NumericType) for t in types):
-        return T.StringType()
-    if any(isinstance(t, (T.FloatType, T.DoubleType)) for t in types):
-        return T.DoubleType()
-    decimals = [t for t in types if isinstance(t, T.DecimalType)]
-    if not decimals:
-        return T.LongType()
-    whole = max(
-        [t.precision - t.scale for t in decimals] + [19] * (len(types) > len(decimals))
-    )
-    scale = max(t.scale for t in decimals)
-    return T.DecimalType(38, min(scale, 38 - whole))
+from tidemark.operators.nested import common_type, rebuilt, text_cast
 
 
 def as_type(c: Column, dtype: T.DataType, target: T.DataType) -> Column:
-    if dtype == target:
-        return c
-    if isinstance(target, T.StringType):
-        if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            return iso_time(c, dtype)
-        if isinstance(dtype, T.BinaryType):
-            return base64_text(c)
-        if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-            return nested_json(c, dtype)
-    return c.cast(target)
+    return rebuilt(c, dtype, target, text_cast)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of all frames, duplicates kept; a missing column is null.
 
     Types are settled before the union: Spark would widen int and string to
-    bigint and fail at run time. Each branch stays a plain projection of its own
+    bigint and fail at run time, and match the fields of structs by position. Each branch stays a plain projection of its own
     scan, so filters still reach every source.
     """
     if not frames:

@@ -18,6 +18,7 @@ from tidemark.functions.calculated import quote
 from tidemark.functions.jsontext import IS_BRACKETED, PARSED, nested_json, quoted, sanitise
 from tidemark.functions.literals import IS_LITERAL, ITEMS, bind_sql
 from tidemark.functions.text import WHITESPACE, nul, plain_text, strip
+from tidemark.operators.nested import lost, rebuilt
 from tidemark.operators.schema import SPARK_TYPES, FieldSpec
 
 REASON, LONG = "_reject_reason", "_may_exceed"
@@ -192,23 +193,50 @@ def may_exceed(schema: T.StructType, limit: int, growth: int) -> Column:
     """
     fixed, parts = 2, []
     for f in schema:
+        size = most_characters(F.col(quote(f.name)), f.dataType, growth)
         fixed += 6 * len(f.name) + 6
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            length = F.length(F.col(quote(f.name))).cast("bigint")
-            parts.append(growth * F.coalesce(length, F.lit(1)) + 20)
-        elif isinstance(f.dataType, NESTED):
-            return F.lit(True)
+        if isinstance(size, int):
+            fixed += size
         else:
-            fixed += 64
+            parts.append(size)
     return reduce(lambda a, b: a + b, parts, F.lit(fixed).cast("bigint")) > limit
 
 
+def most_characters(c: Column, dtype: T.DataType, growth: int) -> Column | int:
+    """The most characters a value can take as JSON: a number where the type alone says it, else
+    from the lengths of its texts, wherever they are nested."""
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return growth * F.coalesce(F.length(c).cast("bigint"), F.lit(1)) + 20
+    if isinstance(dtype, T.StructType):
+        sizes = [most_characters(c.getField(f.name), f.dataType, growth) for f in dtype]
+        fixed = 8 + sum(6 * len(f.name) + 6 for f in dtype) + sum(s for s in sizes if isinstance(s, int))
+        measured = [s for s in sizes if not isinstance(s, int)]
+        return reduce(lambda a, b: a + b, measured, F.lit(fixed).cast("bigint")) if measured else fixed
+    if isinstance(dtype, T.ArrayType):
+        return _most_listed(c, dtype.elementType, growth)
+    if isinstance(dtype, T.MapType):
+        return _most_listed(F.map_keys(c), dtype.keyType, growth) + _most_listed(F.map_values(c), dtype.valueType, growth)
+    if isinstance(dtype, T.VariantType):
+        return growth * F.coalesce(F.length(F.to_json(c)).cast("bigint"), F.lit(1)) + 20
+    return 64
+
+
+def _most_listed(items: Column, dtype: T.DataType, growth: int) -> Column:
+    of_one = most_characters(F.lit(None), dtype, growth) if not isinstance(dtype, T.StructType) else None
+    if isinstance(of_one, int):
+        total = F.size(items).cast("bigint") * (of_one + 2)
+    else:
+        start = F.lit(0).cast("bigint")
+        total = F.aggregate(items, start, lambda sum_, x: sum_ + F.lit(2) + most_characters(x, dtype, growth))
+    return F.greatest(F.coalesce(total, F.lit(0).cast("bigint")), F.lit(0).cast("bigint")) + 20
+
+
 def _any(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
 def conform(df: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
-    """Cast columns to the destination's types.
+    """Cast columns to the destination's types, nested values by field name.
 
     A value lost in its cast gives the record a ``_reject_reason`` that quotes it,
     unless the record has a reason already.
@@ -221,11 +249,13 @@ def conform(df: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
         if target == f.dataType:
             columns.append(c)
             continue
-        value = _cast(c, f.dataType, target)
+        value = rebuilt(c, f.dataType, target, _cast)
         columns.append(value.alias(f.name))
-        lost = c.isNotNull() & value.isNull()
+        is_lost = lost(c, value, f.dataType, target)
+        if is_lost is None:
+            continue
         why = F.lit(f"{f.name} does not fit {target.simpleString()}: ")
-        reasons.append(F.when(lost, F.concat(why, plain_text(c, f.dataType))))
+        reasons.append(F.when(is_lost, F.concat(why, plain_text(c, f.dataType))))
     reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
     return df.select(*columns, reason.alias(REASON))
 

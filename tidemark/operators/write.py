@@ -17,9 +17,13 @@ from pyspark.sql import types as T
 
 from tidemark.config import SinkSpec
 from tidemark.functions.calculated import quote, quoted_table
+from tidemark.operators.nested import grown_type, lacking, rebuilt
+from tidemark.session import shared_dir
 
 _STATIC_MODE = threading.Lock()
 WRITES = ("append", "truncate", "empty")
+CLUSTERED = ("files", "table")
+PLACE = "_place"
 TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
@@ -59,6 +63,24 @@ def layout(df: DataFrame, day: str | None, clustering: Sequence[str] = ()) -> Da
     return df.sortWithinPartitions(*keys) if keys else df
 
 
+def clustered(df: DataFrame, day: str | None, clustering: Sequence[str], file_bytes: int) -> DataFrame:
+    """SNK-3 across files: each file holds a range of (day, clustering fields) apart from the others'.
+
+    Rows are evaluated once, into the shared folder; the ranges' bounds come from a sample of what
+    was stored. A value too heavy for a file is split by the next field, and equal rows by their
+    place, so that no file grows with the heaviest value: neighbours share at most one value.
+    """
+    keys = [c for c in ([day] if day else []) + list(clustering) if c]
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    sizes = stored.select("_metadata.file_path", "_metadata.file_size").distinct()
+    total = sizes.agg(F.sum("file_size")).first()[0] or 0
+    placed = stored.withColumn(PLACE, F.monotonically_increasing_id())
+    ranges = placed.repartitionByRange(max(1, -(-total // file_bytes)), *(F.col(quote(c)) for c in keys), F.col(PLACE))
+    return ranges.sortWithinPartitions(*(F.col(quote(c)) for c in keys)).drop(PLACE)
+
+
 def create_table(spark: SparkSession, spec: SinkSpec, schema: T.StructType) -> bool:
     """SNK-1, SNK-4: create the table from a schema; False when it was there already."""
     if spec.create == "never" and spec.delete_existing:
@@ -87,22 +109,77 @@ def drop_table(spark: SparkSession, table: str) -> None:
         spark.sql(f"DROP TABLE {quoted_table(table)}")
 
 
-def add_missing_columns(spark: SparkSession, table: str, schema: T.StructType) -> list[str]:
-    """SNK-10: columns the data has and the table lacks are added; old rows read null."""
-    known = set(spark.table(table).columns)
-    new = [f for f in schema if f.name not in known]
-    if new:
-        columns = ", ".join(T.StructType([T.StructField(f.name, f.dataType)]).toDDL() for f in new)
-        spark.sql(f"ALTER TABLE {quoted_table(table)} ADD COLUMNS ({columns})")
-    return [f.name for f in new]
+def grow_table(spark: SparkSession, table: str, schema: T.StructType) -> list[str]:
+    """SNK-10: the table grows to hold the data; old rows read null in what is new. Returns the new paths.
+
+    New columns are added to the catalog's entry. New nested fields and wider numbers need a new
+    entry: over the same files where Parquet reads the old ones as the new type (and nothing but a
+    comment is noted of the columns), else over rewritten rows. Either takes the old one's place as ``swap_in`` does it.
+    """
+    old = spark.table(table).schema
+    grown = grown_type(old, schema)
+    if grown == old:
+        return []
+    new = lacking(old, schema)
+    plain = T.StructType(grown.fields[len(old):])
+    if T.StructType(grown.fields[: len(old)]) == old:
+        # The day columns come last, so new columns are listed by name, not by place.
+        spark.sql(f"ALTER TABLE {quoted_table(table)} ADD COLUMNS ({plain.toDDL()})")
+        return new
+    details = _details(spark, table)
+    days = details["partitions"]
+    beside = staged(table)
+    retire(spark, beside, table)
+    noted = any(set(f.metadata) - {"comment"} for f in grown)  # SQL can't carry over what is noted of columns
+    if details["external"] and readable_as(old, grown) and not noted:
+        columns = [f for f in grown if f.name not in days] + [grown[d] for d in days]
+        ddl = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in columns]).toDDL()
+        parts = f" PARTITIONED BY ({', '.join(quote(d) for d in days)})" if days else ""
+        spark.sql(f"CREATE TABLE {quoted_table(beside)} ({ddl}) USING parquet{parts} LOCATION '{details['location']}'")
+        if days:
+            spark.catalog.recoverPartitions(beside)
+    else:
+        writer = align(spark.table(table), grown).write.format("parquet")
+        if days:
+            writer = writer.partitionBy(*days)
+        if details["external"]:
+            writer = writer.option("path", f"{details['location'].rstrip('/')}_{uuid.uuid4().hex[:8]}")
+        writer.saveAsTable(beside)
+    swap_in(spark, beside, table)
+    return new
+
+
+def readable_as(old: T.DataType, new: T.DataType) -> bool:
+    """Whether Parquet files of type ``old`` are read as ``new``: fields by name, some numbers wider."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        known = {f.name: f.dataType for f in old}
+        return all(readable_as(known[f.name], f.dataType) for f in new if f.name in known)
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return readable_as(old.elementType, new.elementType)
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return readable_as(old.keyType, new.keyType) and readable_as(old.valueType, new.valueType)
+    small = (T.ByteType, T.ShortType, T.IntegerType)
+    if isinstance(old, small):
+        return isinstance(new, (*small, T.LongType, T.DoubleType))
+    return old == new or (isinstance(old, T.FloatType) and isinstance(new, T.DoubleType))
+
+
+def _details(spark: SparkSession, table: str) -> dict:
+    """Location, partition columns and whether the table has a path of its own."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted_table(table)}").collect()
+    at = next(i for i, r in enumerate(rows) if r["col_name"] == "# Detailed Table Information")
+    found = {r["col_name"]: r["data_type"] for r in rows[at:]}
+    days = [c.name for c in spark.catalog.listColumns(quoted_table(table)) if c.isPartition]
+    return {"location": found["Location"], "external": found["Type"] == "EXTERNAL", "partitions": days}
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns in the table's order and types; a column the data lacks is null."""
+    """Columns in the table's order and types, nested fields by name; what the data lacks is null."""
+    types = {f.name: f.dataType for f in df.schema}
     return df.select(
         *(
-            (F.col(quote(f.name)).cast(f.dataType) if f.name in df.columns
-             else F.lit(None).cast(f.dataType)).alias(f.name)
+            (rebuilt(F.col(quote(f.name)), types[f.name], f.dataType) if f.name in types
+             else F.lit(None).cast(f.dataType)).alias(f.name, metadata=f.metadata)
             for f in schema
         )
     )
@@ -113,22 +190,29 @@ def write_table(df: DataFrame, spec: SinkSpec) -> None:
     if spec.write not in WRITES:
         raise ValueError(f"write is one of {WRITES}")
     spark = df.sparkSession
+    recover(spark, spec.table)
     if spec.create == "never" and not spark.catalog.tableExists(spec.table):
         raise LookupError(f"table {spec.table} does not exist")
     create_table(spark, spec, df.schema)
     if spec.write == "empty" and not spark.table(spec.table).isEmpty():
         raise TableNotEmpty(spec.table)
     if spec.add_columns:
-        add_missing_columns(spark, spec.table, df.schema)
-    elif missing := set(df.columns) - set(spark.table(spec.table).columns):
-        raise ValueError(f"{spec.table} lacks columns of the data: {sorted(missing)}")
+        grow_table(spark, spec.table, df.schema)
+    elif missing := lacking(spark.table(spec.table).schema, df.schema):
+        raise ValueError(f"{spec.table} lacks fields of the data: {sorted(missing)}")
     target = spark.table(spec.table).schema
     day = day_column(spec.partition_field) if spec.partition_field else None
     if day not in target.fieldNames():
         day = None
     elif spec.partition_field in df.columns:
         df = with_day(df, spec.partition_field)
-    laid_out = layout(align(df, target), day, spec.clustering_fields)
+    if spec.cluster not in CLUSTERED:
+        raise ValueError(f"cluster is one of {CLUSTERED}")
+    missing = [c for c in spec.clustering_fields if c not in df.columns]
+    if spec.cluster == "table" and spec.clustering_fields and not missing:
+        laid_out = clustered(align(df, target), day, spec.clustering_fields, spec.file_bytes)
+    else:
+        laid_out = layout(align(df, target), day, spec.clustering_fields)
     if spec.write == "truncate":
         _replace_all(laid_out, spec.table)
     else:
@@ -152,16 +236,72 @@ def _replace_all(df: DataFrame, table: str) -> None:
             conf.set(key, before)
 
 
+def staged(table: str) -> str:
+    """The name of what is being written to take the table's place."""
+    return f"{table}__staged"
+
+
+def ready(table: str) -> str:
+    """The name of what is written and may take the table's place."""
+    return f"{table}__ready"
+
+
+def retired(table: str) -> str:
+    """The name of what the table was."""
+    return f"{table}__retired"
+
+
 def replacement(spec: SinkSpec) -> SinkSpec:
-    """SNK-4 without a gap: a new table beside the old one, to be swapped in when it is written."""
-    mark = uuid.uuid4().hex[:8]
-    path = f"{spec.path.rstrip('/')}_{mark}" if spec.path else None
-    return replace(spec, table=f"{spec.table}_{mark}", path=path, delete_existing=False)
+    """SNK-4: a new table beside the old one, to be swapped in when it is written."""
+    path = f"{spec.path.rstrip('/')}_{uuid.uuid4().hex[:8]}" if spec.path else None
+    return replace(spec, table=staged(spec.table), path=path, delete_existing=False)
+
+
+def swap_in(spark: SparkSession, new: str, table: str) -> None:
+    """SNK-4: the written table ``new`` takes the place of ``table``; old rows go last.
+
+    Three renames, each of which leaves one table that holds all rows of one of the two; the
+    first one says that the new table is whole. ``recover`` finishes a swap that was broken off
+    after it, and undoes what was broken off before. Readers find no table between the second
+    and the third rename.
+    """
+    _rename(spark, new, ready(table))
+    recover(spark, table)
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish or undo a replacement of ``table`` that was broken off; nothing happens if none was.
+
+    A run of the same table that is still going on must not be interfered with: one run a table.
+    """
+    there = spark.catalog.tableExists
+    if there(ready(table)):
+        if there(table):
+            retire(spark, retired(table), table)
+            _rename(spark, table, retired(table))
+        _rename(spark, ready(table), table)
+    elif there(retired(table)) and not there(table):
+        _rename(spark, retired(table), table)
+    for name in (staged(table), retired(table)):
+        retire(spark, name, table)
+
+
+def retire(spark: SparkSession, name: str, successor: str | None = None) -> None:
+    """Drop a table with its rows, or its entry alone where ``successor`` has the same files."""
+    if not spark.catalog.tableExists(name):
+        return
+    shared = successor and spark.catalog.tableExists(successor) and _details(spark, successor)["location"] == _details(spark, name)["location"]
+    if shared:
+        spark.sql(f"DROP TABLE {quoted_table(name)}")
+    else:
+        drop_table(spark, name)
 
 
-def swap_in(spark: SparkSession, new: SinkSpec, table: str) -> None:
-    drop_table(spark, table)
-    spark.sql(f"ALTER TABLE {quoted_table(new.table)} RENAME TO {quoted_table(table)}")
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {quoted_table(old)} RENAME TO {quoted_table(new)}")
+    details = _details(spark, new)
+    if details["partitions"] and not details["external"]:  # their folders have moved with the table
+        spark.sql(f"MSCK REPAIR TABLE {quoted_table(new)} SYNC PARTITIONS")
 
 
 def write_batch(df: DataFrame, path: str, batch: str, batch_column: str = "sync_batch") -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.calculated import quote
 from tidemark.functions.jsontext import parse, stringify_ids, unwrap
-from tidemark.operators.predicates import document_filter
+from tidemark.operators.predicates import document_filter, fields_of, split_filter
 from tidemark.operators.projection import project
 
 
@@ -52,15 +53,36 @@ def connector_options(source: DocumentSource) -> dict[str, str]:
     }
 
 
+def pipeline(source: DocumentSource) -> tuple[list[dict[str, Any]], dict[str, Any]]:
+    """What the database does for a read, as stages of its own, and the filter that is left to Spark.
+
+    With a projection that names the wanted fields, others are left where they are, but for
+    those that the rest of the filter looks at; Spark shapes what arrives.
+    """
+    pushed, rest = split_filter(source.filter) if source.filter else ({}, {})
+    stages: list[dict[str, Any]] = [{"$match": pushed}] if pushed else []
+    chosen = json.loads(source.projection) if isinstance(source.projection, str) else source.projection or {}
+    wanted = {name for name, use in chosen.items() if use}
+    if wanted - {"_id"}:
+        heads = {path.split(".")[0] for path in wanted | fields_of(rest)}
+        keeps_id = chosen.get("_id", 1) or "_id" in heads
+        stages.append({"$project": {name: 1 for name in sorted(heads - {"_id"})} | {"_id": 1 if keeps_id else 0}})
+    return stages, rest
+
+
 def read_documents(spark: SparkSession, source: DocumentSource) -> DataFrame:
-    """Filtered and projected documents, ids as text. The filter sits directly on the
-    scan, so a connector or file format that can take it does."""
+    """Filtered and projected documents, ids as text. Over files the filter sits directly on the
+    scan; a database answers what it answers alike, before documents travel."""
     if source.path:
         reader = spark.read.schema(source.schema) if source.schema else spark.read
         documents = reader.json(source.path)
-    else:
-        documents = spark.read.format("mongodb").options(**connector_options(source)).load()
-    return shape_documents(documents, source.filter, source.projection)
+        return shape_documents(documents, source.filter, source.projection)
+    stages, rest = pipeline(source)
+    asked = {"aggregation.pipeline": json.dumps(stages)} if stages else {}
+    if "aggregation.pipeline" in source.extra:  # the source's own pipeline comes first, so all is left to Spark
+        asked, rest = {}, source.filter
+    documents = spark.read.format("mongodb").options(**asked | connector_options(source)).load()
+    return shape_documents(documents, rest, source.projection)
 
 
 def shape_documents(

@@ -35,12 +35,37 @@ class RelationalSource:
         return self.table or f"({require_query(self.query)}) AS source_rows"
 
 
-LAST_ORDER = re.compile(r"\s+ORDER\s+BY\s+[\w\s.,\"`]+$", re.IGNORECASE)
+# What is outside the last parentheses and quotes of a query.
+QUOTED = re.compile(r"""'(?:[^']|'')*'|"[^"]*"|`[^`]*`|--[^\n]*|/\*.*?\*/""", re.DOTALL)
+LAST_ORDER = re.compile(r"\bORDER\s+BY\b", re.IGNORECASE)
+LIMITS = re.compile(r"\b(LIMIT|OFFSET|FETCH|TOP)\b", re.IGNORECASE)
+
+
+def _outer(query: str) -> str:
+    """The query with quoted texts, comments and everything in parentheses blanked, at the same places."""
+    blanked = QUOTED.sub(lambda m: "_" * len(m[0]), query)
+    depth, kept = 0, []
+    for c in blanked:
+        depth -= c == ")" and depth > 0
+        kept.append(c if depth == 0 else "_")
+        depth += c == "("
+    return "".join(kept)
+
+
+def is_limited(query: str) -> bool:
+    """Whether the query itself says how many of its rows are wanted, so that slices of it would be other rows."""
+    return bool(LIMITS.search(_outer(require_query(query))))
 
 
 def unordered(query: str) -> str:
-    """A query without its last ORDER BY, which a derived table may not have and slices do not need."""
-    return LAST_ORDER.sub("", require_query(query))
+    """A query without its last ORDER BY, which a derived table may not have and slices do not need.
+
+    With a limit the order says which rows are wanted, so it stays.
+    """
+    query = require_query(query)
+    found = list(LAST_ORDER.finditer(_outer(query)))
+    # An ORDER BY in front of a set operation can't be outside parentheses, so the last one ends the query.
+    return query if not found or is_limited(query) else query[: found[-1].start()].rstrip()
 
 
 def require_query(query: str | None) -> str:
