@@ -58,30 +58,6 @@ def measures(text: str | None) -> tuple:
     )
 
 
-def backoff_scores(texts: list[str], order: int) -> list[float]:
-    """Log scores under the counts of the other fold."""
-    def grams(x: str) -> list[bytes]:
-        b = b"\0" * (order - 1) + x.encode() + b"\0"
-        return [b[i : i + order] for i in range(len(b) - order + 1)]
-
-    counts, contexts = (Counter(), Counter()), (Counter(), Counter())
-    folds = [zlib.crc32(x.encode()) % 2 for x in texts]
-    for x, f in zip(texts, folds, strict=True):
-        for g in grams(x):
-            for k in range(order):
-                counts[f][g[k:]] += 1
-                contexts[f][order - k, g[k:-1]] += 1
-
-    def s(g: bytes, f: int) -> float:
-        if not g:
-            return math.log(1 / 257)
-        if counts[f][g]:
-            return math.log(counts[f][g] / contexts[f][len(g), g[:-1]])
-        return math.log(0.4) + s(g[1:], f)
-
-    return [sum(s(g, 1 - f) for g in grams(x)) for x, f in zip(texts, folds, strict=True)]
-
-
 def word_backoff_scores(texts: list[str], order: int) -> list[tuple[int, float]]:
     """Word n-grams and log scores under the counts of the other fold."""
     def grams(x: str) -> list[tuple]:

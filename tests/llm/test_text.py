@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tests.oracle import connect, differences
-from tidemark.llm import chat, checks, lm_scoring, packing, quality_model, quality_rules, sentencepiece_codec, toxicity, word_scoring
+from tidemark.llm import chat, checks, packing, quality_model, quality_rules, sentencepiece_codec, toxicity, word_scoring
 from tidemark.llm.common import labelled_sample
 from tidemark.llm.prefix_table import Encoder
 
@@ -100,9 +100,29 @@ def test_packing(spark, docs, awkward, nothing):
 def test_word_tokenizer_agrees_with_the_library():
     own, library, rng = packing.WordTokenizer(WORDS), Tokenizer.from_file(WORDS), random.Random(2)
     alphabet = ODD + "'s't'LL\x1c\x85\xa0　İΣς"
-    for _ in range(4000):
-        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
-        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(4000)] + ["", None, "<|endoftext|> x", "x" * 5000]
+    texts += ["".join(rng.choice("abzÀÉÖØßàéöøÿÞ×÷ºª 1'sS,.") for _ in range(rng.randrange(40))) for _ in range(4000)]
+    for text in texts:
+        assert np.frombuffer(own.encode(text or ""), "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def test_memories_are_bounded(encoder):
+    """Long words are not remembered, however many come."""
+    own = packing.WordTokenizer(WORDS)
+    long = [f"{i:06}" * 700 for i in range(50)]
+    for text in long:
+        own.encode(text), own.encode("日" + text), encoder.encode(text)
+    assert max(map(len, [*own.words, *own.pieces]), default=0) <= 64 and max(map(len, encoder.memory), default=0) <= 64
+    small = packing._Memory(lambda key: key, 3)
+    assert [small[str(i)] for i in range(20)] == [str(i) for i in range(20)] and len(small) + len(small.older) <= 6
+
+
+@given(st.lists(st.text(max_size=20), max_size=30), st.integers(1, 40))
+def test_chunks_are_bounded_by_bytes(texts, limit):
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    parts = list(packing.chunks(batch, limit))
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts
+    assert all(p.num_rows == 1 or sum(len(t.encode()) for t in p.column(1).to_pylist()) <= limit for p in parts)
 
 
 @given(st.integers(1, 20_000))
@@ -194,22 +214,9 @@ def test_turn_order(spark, roles, valid):
     assert chat.render(df).first().valid is valid
 
 
-def test_backoff_scores_against_brute_force(spark, docs, awkward, nothing, monkeypatch):
-    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 20_000)
-    small = awkward.select("doc_id", "text").filter("doc_id > -9 OR doc_id IS NULL").unionByName(docs.select("doc_id", "text").limit(40)).repartition(3, "text").cache()
-    rows = small.collect()
-    expected = brute.backoff_scores([r.text or "" for r in rows], 4)
-    got = lm_scoring.score(small, order=4).collect()
-    assert sorted((str(r.doc_id), r.n_grams, round(r.log_score, 6)) for r in got) == sorted(
-        (str(r.doc_id), len((r.text or "").encode()) + 1, round(s, 6)) for r, s in zip(rows, expected, strict=True)
-    )
-    assert lm_scoring.score(nothing).count() == 0
-
-
-@pytest.mark.parametrize(("block", "part"), [(20_000, 7_000), (1 << 24, 1 << 24)])
-def test_word_scores_against_brute_force(spark, docs, awkward, nothing, monkeypatch, block, part):
+@pytest.mark.parametrize("block", [20_000, 1 << 24])
+def test_word_scores_against_brute_force(spark, docs, awkward, nothing, monkeypatch, block):
     monkeypatch.setattr(word_scoring, "BLOCK_BYTES", block)
-    monkeypatch.setattr(word_scoring, "PART_BYTES", part)
     small = awkward.select("doc_id", "text").unionByName(docs.select("doc_id", "text").limit(40)).repartition(3, "text").cache()
     rows = small.collect()
     expected = brute.word_backoff_scores([r.text or "" for r in rows], 3)

@@ -147,7 +147,7 @@ class Vocabulary:
 class Encoder:
     """Whole texts, by chunks whose ids are remembered (in two generations, so that memory is bounded)."""
 
-    REMEMBERED = 250_000
+    REMEMBERED = 200_000
     # No piece holds a gap after another character; so a text may be cut before each run of gaps.
     CHUNK = re.compile(rf"{GAP}*[^{GAP}\n]+|{GAP}+|\n+")
 
@@ -159,8 +159,11 @@ class Encoder:
         self.memory = _Memory(self._chunk, self.REMEMBERED)
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        if len(chunk) > 2 and not chunk[-1].isalnum() and chunk[-2:] not in self.joined:
-            return self.memory[chunk[:-1]] + self.memory[chunk[-1]]
+        end = len(chunk)
+        while end > 2 and not chunk[end - 1].isalnum() and chunk[end - 2 : end] not in self.joined:
+            end -= 1
+        if end < len(chunk):
+            return self.memory[chunk[:end]] + tuple(chain.from_iterable(map(self.memory.__getitem__, chunk[end:])))
         return tuple(self.vocabulary.encode(chunk))
 
     def encode(self, text: str) -> list[int]:
@@ -173,8 +176,14 @@ class Encoder:
         return self.vocabulary.decode(ids)
 
 
+LONGEST = 64  # characters of a key that is remembered, so that the number of keys bounds the memory
+
+
 class _Memory(dict):
-    """Results of ``make`` by key; the older half goes when ``size`` newer ones have come."""
+    """Results of ``make`` by key; the older half goes when ``size`` newer ones have come.
+
+    A longer key (text without spaces can be one) is made anew each time.
+    """
 
     def __init__(self, make, size: int):
         self.make, self.size, self.older = make, size, {}
@@ -183,6 +192,8 @@ class _Memory(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+            if len(key) > LONGEST:
+                return value
         if len(self) >= self.size:
             self.older = dict(self)
             self.clear()
