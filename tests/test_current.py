@@ -6,11 +6,16 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.checks import new_sink
+from tidemark.config import SourceSpec, SyncJob, SyncSpec
 from tidemark.operators import current
 from tidemark.operators.current import CurrentVersions
+from tidemark.operators.incremental import Window
 from tidemark.operators.monitor import latest_per_key
+from tidemark.plans.sync import read_rows, run_sync
 from tidemark.session import shared_dir
-from tidemark.sources.custom import Adapter, Condition, matching, register_source
+from tidemark.sources import read_source
+from tidemark.sources.custom import Adapter, Condition, as_text, from_text, matching, register_source
 from tests.test_plans import plan
 
 
@@ -87,9 +92,6 @@ class Days(Adapter):
     def schema(self, options):
         return "id BIGINT, at TIMESTAMP_NTZ, name STRING"
 
-    def answers(self, options, condition):
-        return condition.column == "at" or condition.comparison == "not null"
-
     def plan(self, options, conditions):
         days = range(int(options["days"]))
         least = max((c.value for c in conditions if c.comparison in (">", ">=")), default=datetime.min)
@@ -108,13 +110,24 @@ def test_custom_data_source(spark):
     register_source(spark, "test_days", Days())
     df = spark.read.format("test_days").option("days", 6).load()
     assert df.rdd.getNumPartitions() == 6 and df.count() == 144
-    window = df.filter("at > timestamp_ntz'2024-01-05 12:00:00' AND name = 'h2'").select("id")
+    asked = [Condition("at", ">", datetime(2024, 1, 5, 12)), Condition("name", "in", ["h2", "h3"])]
+    window = read_source(spark, SourceSpec("test_days", {"days": 6, "conditions": asked}))
     assert window.rdd.getNumPartitions() == 2
-    text = plan(window)
-    # What the adapter answers is not asked again; the rest is.
-    assert "h2" in text.split("Filter")[1] and "2024-01-05" not in text.split("(1) ")[-1].split("Condition")[-1]
-    assert sorted(r["id"] for r in window.collect()) == [i for i in range(109, 144) if i % 24 % 5 and i % 24 % 4 == 2]
+    wanted = [i for i in range(109, 144) if i % 24 % 5 and i % 24 % 4 in (2, 3)]
+    assert sorted(r["id"] for r in window.collect()) == wanted
+    # One DataFrame, several filters: none of them stays for the next.
+    assert df.filter("at > timestamp_ntz'2024-01-05 12:00:00'").count() == 35
     assert df.filter("name IN ('h1', 'h3') OR id = 0").count() == sum(1 for i in range(144) if i == 0 or (i % 24 % 5 and i % 24 % 4 in (1, 3)))
+    assert df.count() == 144 and from_text(as_text(asked)) == asked
+
+
+def test_a_sync_gives_its_window_to_the_source(spark):
+    register_source(spark, "test_days", Days())
+    job = SyncJob([SourceSpec("test_days", {"days": 9})], new_sink(spark, partition_field="at"), SyncSpec(incremental=True, timestamp_column="at", on_empty="since_1900"))
+    assert run_sync(spark, job, datetime(2024, 1, 3, 5)).written == 54
+    frame = read_rows(spark, job.sources[0], job, Window(datetime(2024, 1, 3, 5), datetime(2024, 1, 5)), datetime(2024, 1, 5))
+    assert frame.rdd.getNumPartitions() == 7
+    assert run_sync(spark, job, datetime(2024, 1, 5)).written == 43 and spark.table(job.sink.table).count() == 97
 
 
 def test_conditions():

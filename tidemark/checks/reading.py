@@ -22,7 +22,7 @@ from tidemark.operators.union import union_all
 from tidemark.operators.write import write_table
 from tidemark.session import shared_dir
 from tidemark.sources import read_source, read_sources, register_reader, source_names
-from tidemark.sources.custom import Adapter, Condition, matching, register_source
+from tidemark.sources.custom import Adapter, Condition, matching, register_source, window_conditions
 from tidemark.sources.documents import DocumentSource, parse_documents, read_documents
 from tidemark.sources.warehouse import read_shards
 
@@ -515,9 +515,6 @@ class ParquetSlices(Adapter):
     def schema(self, options: dict[str, str]) -> str:
         return options["columns"]
 
-    def answers(self, options: dict[str, str], condition: Condition) -> bool:
-        return True
-
     def plan(self, options: dict[str, str], conditions: Sequence[Condition]) -> list[tuple[int, int]]:
         file = parquet.ParquetFile(options["path"])
         step = max(1, file.metadata.num_rows // int(options["slices"]) + 1)
@@ -541,9 +538,10 @@ class ParquetSlices(Adapter):
        WHERE ts > TIMESTAMP '2024-01-10 00:00:00' AND ts <= TIMESTAMP '2024-01-20 00:00:00' AND user_id IN (1, 2, 3, 5, 8, 13, 21)""",
 )
 def data_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A format of one's own, read in slices; the window and the list of users are answered by the source."""
+    """A format of one's own, read in slices; the window and the list of users reach the source."""
     register_source(spark, "parquet_slices", ParquetSlices())
-    options = {"path": f"{sf_dir}/events.parquet", "columns": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING", "slices": "8"}
+    window, users = Window(datetime(2024, 1, 10), datetime(2024, 1, 20)), [1, 2, 3, 5, 8, 13, 21]
+    conditions = [*window_conditions("ts", window), Condition("user_id", "in", users)]
+    options = {"conditions": conditions, "path": f"{sf_dir}/events.parquet", "columns": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING", "slices": "8"}
     events = read_source(spark, SourceSpec("parquet_slices", options))
-    window = Window(datetime(2024, 1, 10), datetime(2024, 1, 20))
-    return extract(events, "ts", window).filter(F.col("user_id").isin(1, 2, 3, 5, 8, 13, 21))
+    return extract(events, "ts", window).filter(F.col("user_id").isin(users))

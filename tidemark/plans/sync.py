@@ -36,7 +36,7 @@ from tidemark.operators.union import union_all
 from tidemark.operators.validate import REASON, conform, split, validate
 from tidemark.operators.write import create_table, day_column, recover, replacement, swap_in, write_batch, write_table
 from tidemark.session import shared_dir
-from tidemark.sources import read_source
+from tidemark.sources import custom, read_source
 from tidemark.sources.relational import (
     RelationalSource,
     catalog_columns_sql,
@@ -227,6 +227,8 @@ def read_rows(
             raise ValueError(
                 "nothing to split the read on: name a partition_column with bounds or a source_timestamp, or ask for partitions=1"
             )
+    if source.kind in custom.NAMES and window is not None:
+        options[custom.CONDITIONS] = [*options.get(custom.CONDITIONS, ()), *custom.window_conditions(column, window)]
     frame = read_source(spark, SourceSpec(source.kind, options))
     if filled or not job.sync.incremental:
         return frame

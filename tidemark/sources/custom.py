@@ -1,23 +1,28 @@
-"""UDF-2: a source of one's own as a data source of Spark: slices, pushed filters, Arrow batches.
+"""UDF-2: a source of one's own as a data source of Spark: slices, conditions, Arrow batches.
 
 An adapter says what columns it has, which slices a read falls into, and yields Arrow batches of a
 slice. Slices are read by tasks, as many at once as the cluster has cores, and a lost task is
-read again. Filters on plain columns reach ``plan`` and ``read`` as ``Condition``; the adapter
-says which of them it answers in full, and Spark applies the others.
+read again. What a read asks for is given with it, as conditions on columns; a sync gives its
+window. The adapter may use them to spare slices and rows; Spark filters what arrives all the same.
 
     class Tickets(Adapter):
         def schema(self, options): return "id BIGINT, opened TIMESTAMP_NTZ"
         def plan(self, options, conditions): return [{"page": n} for n in range(40)]
-        def read(self, options, columns, conditions, piece): yield pyarrow.RecordBatch...
+        def read(self, options, schema, conditions, piece): yield pyarrow.RecordBatch...
 
     register_source(spark, "tickets", Tickets())
     spark.read.format("tickets").option("url", ...).load()
+
+Filters are not taken from Spark's plan: its pushdown to Python sources keeps those of one query for
+the next one over the same DataFrame, which then lacks rows.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from datetime import date, datetime
 from typing import Any
 
 import pyarrow as pa
@@ -26,52 +31,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as ds
 from pyspark.sql import types as T
 
+from tidemark.operators.incremental import Window
 from tidemark.sources import register_reader
 
-# Spark's filters by the name of the comparison.
-COMPARISONS = {
-    ds.EqualTo: "=", ds.GreaterThan: ">", ds.GreaterThanOrEqual: ">=", ds.LessThan: "<", ds.LessThanOrEqual: "<=", ds.In: "in",
-}
+CONDITIONS = "conditions"
+NAMES: set[str] = set()
 
 
 @dataclass(frozen=True)
 class Condition:
-    """``column`` compared with ``value``; for ``in`` a tuple of values, for ``not null`` nothing."""
+    """``column`` compared with ``value`` by =, >, >=, < or <=; for ``in`` a list of values, for ``not null`` nothing."""
 
     column: str
     comparison: str
     value: Any = None
 
 
+def as_text(conditions: Sequence[Condition]) -> str:
+    """Conditions as the option that carries them."""
+
+    def told(value: Any) -> Any:
+        if isinstance(value, datetime):
+            return {"datetime": value.isoformat()}
+        return {"date": value.isoformat()} if isinstance(value, date) else value
+
+    return json.dumps([[c.column, c.comparison, [told(v) for v in c.value] if c.comparison == "in" else told(c.value)] for c in conditions])
+
+
+def from_text(text: str) -> list[Condition]:
+    def read(value: Any) -> Any:
+        if isinstance(value, list):
+            return [read(v) for v in value]
+        if isinstance(value, dict):
+            return datetime.fromisoformat(value["datetime"]) if "datetime" in value else date.fromisoformat(value["date"])
+        return value
+
+    return [Condition(column, comparison, read(value)) for column, comparison, value in json.loads(text)]
+
+
+def window_conditions(column: str, window: Window) -> list[Condition]:
+    return [Condition(column, ">", window.start), Condition(column, "<=", window.end)]
+
+
 class Adapter:
     """What a custom source has to say. Adapters travel to tasks, so they hold no connection."""
 
     def schema(self, options: dict[str, str]) -> str | T.StructType:
         raise NotImplementedError
 
-    def answers(self, options: dict[str, str], condition: Condition) -> bool:
-        """Whether ``read`` leaves out every row that fails the condition."""
-        return False
-
     def plan(self, options: dict[str, str], conditions: Sequence[Condition]) -> Sequence[Any]:
         """The slices of a read, each of which a task reads; ``conditions`` may spare some."""
         return [None]
 
     def read(self, options: dict[str, str], schema: T.StructType, conditions: Sequence[Condition], piece: Any) -> Iterator[pa.RecordBatch]:
-        """The rows of a slice that meet the conditions, all columns in the schema's order."""
+        """The rows of a slice, all columns in the schema's order; at least those that meet the conditions."""
         raise NotImplementedError
 
 
-def condition_of(pushed: ds.Filter) -> Condition | None:
-    """Spark's filter as a condition; None for columns inside others and for other comparisons."""
-    if isinstance(pushed, ds.IsNotNull) and len(pushed.attribute) == 1:
-        return Condition(pushed.attribute[0], "not null")
-    comparison = COMPARISONS.get(type(pushed))
-    if comparison is None or len(pushed.attribute) != 1:
-        return None
-    return Condition(pushed.attribute[0], comparison, tuple(pushed.value) if comparison == "in" else pushed.value)
-
-
 def matching(batch: pa.RecordBatch, conditions: Sequence[Condition]) -> pa.RecordBatch:
     """The rows of a batch that meet all conditions, for adapters whose source can't filter."""
     for c in conditions:
@@ -94,15 +110,8 @@ class _Piece(ds.InputPartition):
 
 class _Reader(ds.DataSourceReader):
     def __init__(self, adapter: Adapter, options: dict[str, str], schema: T.StructType):
-        self.adapter, self.options, self.schema, self.conditions = adapter, options, schema, []
-
-    def pushFilters(self, filters):
-        for pushed in filters:
-            condition = condition_of(pushed)
-            if condition is not None and self.adapter.answers(self.options, condition):
-                self.conditions.append(condition)
-            else:
-                yield pushed
+        self.conditions = from_text(options.pop(CONDITIONS, "[]"))
+        self.adapter, self.options, self.schema = adapter, options, schema
 
     def partitions(self):
         return [_Piece(p) for p in self.adapter.plan(self.options, self.conditions)]
@@ -125,10 +134,11 @@ def register_source(spark: SparkSession, name: str, adapter: Adapter) -> None:
         def reader(self, schema):
             return _Reader(adapter, dict(self.options), schema)
 
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Source)
 
     def load(session: SparkSession, options: dict) -> DataFrame:
-        return session.read.format(name).options(**options).load()
+        asked = {CONDITIONS: as_text(options[CONDITIONS])} if CONDITIONS in options else {}
+        return session.read.format(name).options(**options | asked).load()
 
     register_reader(name, load)
+    NAMES.add(name)
