@@ -277,14 +277,15 @@ def _compat_marks(df: DataFrame, variant: str, depth: int | None) -> DataFrame:
     df = df.select(F.concat(*(F.transform(f"l{k}", lambda e: F.struct(e["path"], e["type"])) for k in range(levels))).alias("found"))
     told = F.transform("found", lambda e: F.concat(e["path"], F.lit("\0"), e["type"]))
     holders = F.array_distinct(F.transform("found", lambda e: F.concat(e["path"], F.lit("\0" + HOLDERS))))
-    return _marks_counted(df.select(F.concat(told, holders, F.array(F.lit("\0" + DOCUMENTS))).alias("marks")))
+    return _marks_counted(df, F.concat(told, holders, F.array(F.lit("\0" + DOCUMENTS))))
 
 
-def _marks_counted(df: DataFrame) -> DataFrame:
-    """Rows (path, type, n) of a column ``marks``; combined in each task, so a row for each
-    kind of mark and task is shuffled."""
+def _marks_counted(df: DataFrame, marks: Column) -> DataFrame:
+    """Rows (path, type, n) of all ``marks``; combined in each task, so a row for each kind of mark and
+    task is shuffled. Exploding a plain column would make Spark infer a filter on it, which it pushes
+    below the whole walk, every step written out once more."""
     at = F.length("mark") - F.length(F.substring_index("mark", "\0", -1))
-    named = df.select(F.explode("marks").alias("mark")).select(
+    named = df.select(F.explode(marks).alias("mark")).select(
         F.substring("mark", F.lit(1), at - 1).alias("path"), F.substring_index("mark", "\0", -1).alias("type")
     )
     return named.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
@@ -346,15 +347,23 @@ def _walk(df: DataFrame, levels: int, depth: int | None) -> DataFrame:
 def first_walk(df: DataFrame, variant: str, depth: int | None = None) -> DataFrame:
     """Counted marks of all documents as far as the first walk goes; DEEPER counts those that go on."""
     walked = _walk(_documents(df, variant), WALKED, depth)
-    return _marks_counted(walked.select(_with_own(walked, F.lit("\0" + DOCUMENTS)).alias("marks")))
+    return _marks_counted(walked, _with_own(F.lit("\0" + DOCUMENTS)))
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Documents of few partitions, dealt to all cores: walking one costs far more than moving it. Those of
+    many partitions stay where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _documents(df: DataFrame, variant: str) -> DataFrame:
+    df = _spread(df.select(quote(variant)))
     roots = F.transform(F.map_entries(_fields(F.col(quote(variant)))), lambda e: _entry(e["key"], e["value"], True, F.lit(1)))
     return df.select(F.array().cast("array<string>").alias("told"), F.coalesce(roots, F.array().cast(ENTRIES)).alias("rest"))
 
 
-def _with_own(walked: DataFrame, *marks: Column) -> Column:
+def _with_own(*marks: Column) -> Column:
     goes_on = F.when(F.size("rest") > 0, F.array(F.lit("\0" + DEEPER))).otherwise(F.array().cast("array<string>"))
     return F.concat("marks", goes_on, F.array(*marks).cast("array<string>"))
 
@@ -373,7 +382,7 @@ def _counted_marks(df: DataFrame, variant: str, compat: bool, depth: int | None)
         deep = _stored(walked.filter(F.size("rest") > 0).select("told", "rest"))
         levels *= 2
         walked = _walk(deep, levels, depth)
-        found = _stored(_marks_counted(walked.select(_with_own(walked).alias("marks"))))
+        found = _stored(_marks_counted(walked, _with_own()))
         counts = counts.unionByName(found)
     return counts.filter(F.col("type") != DEEPER).groupBy("path", "type").agg(F.sum("n").alias("n"))
 
