@@ -9,14 +9,17 @@ S(w | context) = count(context w) / count(context), if the n-gram occurs, else 0
 shorter context); an unknown word counts as one of N + 1, N being the words and end marks of
 the fold. N-grams are 64-bit hashes, so two of them share counts with a chance of n / 2**64.
 
-A block of documents asks for each of its distinct n-grams once, with its own counts. The space
-of hashes is cut into parts by size of the input; a part adds up what all blocks ask of it.
-Questions are sorted, so only the steps between hashes are moved, and an answer needs no hash:
-it is in the order of the block's n-grams. A block meets its texts again, and logarithms are
-summed per document.
+1. Documents are stored by blocks of bounded size. The n-grams of a block are exploded to rows, one
+   for each distinct one, with how often the texts of either fold hold it.
+2. Spark adds these up to a table (gram, n0, n1), combined in each task and partitioned by the hash.
+   An n-gram that one fold alone holds can't help to score the other, so it is left out.
+3. The table is joined to the rows (block, gram); what is found goes back to its block, where
+   logarithms are summed per document. Rows moved are linear in the input: no n-gram is asked for more
+   often than there are blocks that hold it.
 
 A null text is an empty one and has the end mark alone. Repeated rows get the same score
-each. An empty table gives an empty result. Memory: the n-grams of a block, or of a part.
+each; a null id is kept as it is. An empty table gives an empty result. Memory: the texts and n-grams
+of a block, or of one longer text.
 """
 
 from __future__ import annotations
@@ -30,15 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import IS_SPACE, byte_slices, keep, mix, range_hashes, runs, whole_text
-from tidemark.llm.lm_scoring import BACKOFF
 
+BACKOFF = 0.4
 ORDER = 3
 BLOCK_BYTES = 16 << 20  # of text that asks for its n-grams together
-PART_BYTES = 16 << 20  # of text for each part of the hashes
+ROWS = 1 << 17  # n-grams of a batch
 
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_ZSTD = pa.Codec("zstd", compression_level=1)
 
 
 def word_grams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tuple[list[np.ndarray], np.ndarray]:
@@ -64,17 +66,6 @@ def word_grams(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> tup
     return found, sizes
 
 
-def packed(numbers: np.ndarray) -> bytes:
-    """64-bit numbers, compressed byte by byte: small ones take little room."""
-    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
-    return _ZSTD.compress(planes, asbytes=True)
-
-
-def unpacked(text: bytes, size: int) -> np.ndarray:
-    planes = np.frombuffer(_ZSTD.decompress(text, 8 * size, asbytes=True), np.uint8).reshape(8, size)
-    return np.ascontiguousarray(planes.T).reshape(-1).view("<u8")
-
-
 def _blocks(limit: int):
     """Number rows by block, which ends when it holds enough text, and count their n-grams of an order."""
 
@@ -96,35 +87,22 @@ def _blocks(limit: int):
     return run
 
 
-def _distinct(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    grams.sort()
-    edge = np.flatnonzero(np.diff(grams, prepend=~grams[:1]))
-    return grams[edge], np.diff(np.append(edge, len(grams)))
-
+def _asked(order: int):
+    """(block, gram, n0, n1): the distinct n-grams of a block, all orders, and how often the texts of either fold hold each."""
 
-def _asked(order: int, parts: int):
-    """(part, block, size, grams, n0, n1): the distinct n-grams of a block in each part, as
-    steps from one to the next, and how often each occurs in the texts of either fold."""
-    cuts = np.array([-(-(i << 64) // parts) for i in range(1, parts)], np.uint64)
-
-    def out(block: int, held: tuple[list, list]) -> pa.RecordBatch:
-        counted = [_distinct(np.concatenate([np.zeros(0, np.uint64), *grams])) for grams in held]
+    def out(block: int, held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        both = [np.concatenate([np.zeros(0, np.uint64), *grams]) for grams in held]
         held[0].clear(), held[1].clear()
-        found = np.union1d(counted[0][0], counted[1][0])
-        n = np.zeros((2, len(found)), np.uint32)
-        for fold, (grams, count) in enumerate(counted):
-            n[fold, np.searchsorted(found, grams)] = count
-        edges = [0, *np.searchsorted(found, cuts).tolist(), len(found)]
-        rows = []
-        for part, (a, b) in enumerate(zip(edges, edges[1:])):
-            if a < b:
-                rows.append((part, block, b - a, packed(np.diff(found[a:b], prepend=np.uint64(0))), packed(n[0, a:b]), packed(n[1, a:b])))
-        names = ["part", "block", "size", "grams", "n0", "n1"]
-        types = [pa.int64()] * 3 + [pa.binary()] * 3
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+        found, at = np.unique(np.concatenate(both), return_inverse=True)
+        n = [np.bincount(part, minlength=len(found)) for part in np.split(at, [len(both[0])])]
+        for begin in range(0, len(found), ROWS):
+            some = slice(begin, begin + ROWS)
+            grams = found[some].view(np.int64)
+            columns = [np.full(len(grams), block), grams, n[0][some].astype(np.int64), n[1][some].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["block", "gram", "n0", "n1"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, ([], [])
+        now, held = None, [[], []]
         for batch in batches:
             blocks, folds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
@@ -132,7 +110,7 @@ def _asked(order: int, parts: int):
                 if begin == end:
                     continue
                 if blocks[begin] != now and now is not None:
-                    yield out(now, held)
+                    yield from out(now, held)
                 now, done = int(blocks[begin]), begin
                 for data, offsets in byte_slices(batch.column(2).slice(begin, end - begin)):
                     grams, sizes = word_grams(data, offsets, order)
@@ -141,41 +119,11 @@ def _asked(order: int, parts: int):
                     for k in (0, 1):
                         held[k].extend(g[fold == k] for g in grams)
         if now is not None:
-            yield out(now, held)
+            yield from out(now, held)
 
     return run
 
 
-def _answers(rows: pa.Table) -> pa.Table:
-    """(block, part, size, a0, a1): how often each n-gram that a block asks for occurs in all
-    texts of either fold, in the order of the n-grams; 0 where the block has no use for it."""
-    sizes = rows["size"].to_pylist()
-    column = lambda name: [unpacked(x, n) for x, n in zip(rows[name].to_pylist(), sizes)]
-    grams = np.concatenate([np.cumsum(steps, dtype=np.uint64) for steps in column("grams")])
-    found, at = np.unique(grams, return_inverse=True)
-    own = [np.concatenate(column(name)) for name in ("n0", "n1")]
-    total = [np.zeros(len(found), np.uint64) for _ in own]
-    for t, n in zip(total, own):
-        np.add.at(t, at, n)
-    blocks = np.array(rows["block"].to_pylist())
-    begins = np.cumsum([0, *sizes])
-    part, made = rows["part"][0].as_py(), []
-    for block in np.unique(blocks).tolist():
-        # The rows of a block may have been read by several tasks, each of which asks.
-        mine = [slice(begins[i], begins[i + 1]) for i in np.flatnonzero(blocks == block).tolist()]
-        places, used = np.unique(np.concatenate([at[s] for s in mine]), return_inverse=True)
-        has = []
-        for n in own:
-            seen = np.zeros(len(places), bool)
-            seen[used[np.concatenate([n[s] for s in mine]) > 0]] = True
-            has.append(seen)
-        # A text of one fold is scored by the counts of the other.
-        a0, a1 = np.where(has[1], total[0][places], 0), np.where(has[0], total[1][places], 0)
-        made.append((block, part, len(places), packed(a0), packed(a1)))
-    types = [pa.int64()] * 3 + [pa.binary()] * 2
-    return pa.table([pa.array(c, t) for c, t in zip(zip(*made), types)], ["block", "part", "size", "a0", "a1"])
-
-
 def _logs(n: list[np.ndarray], sizes: np.ndarray, all_grams: np.ndarray, all_texts: np.ndarray) -> np.ndarray:
     """The log score at each place, from the counts of its n-grams of every order."""
     first = np.cumsum(sizes) - sizes
@@ -194,26 +142,23 @@ def _logs(n: list[np.ndarray], sizes: np.ndarray, all_grams: np.ndarray, all_tex
 
 
 def _sums(order: int, id_name: str, totals: list[tuple[int, int]]):
-    """Texts of a block and the answers to its n-grams: the log score of each text."""
+    """Texts of a block, and the counts that were found for its n-grams: the log score of each text."""
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
         folds = texts["fold"].to_numpy()
-        slices = [word_grams(data, offsets, order) for data, offsets in byte_slices(texts["text"])]
-        found, _ = _distinct(np.concatenate([g for grams, _ in slices for g in grams]))
-        answers = answers.sort_by("part")
-        sizes = answers["size"].to_pylist()
-        values = [np.concatenate([unpacked(x, n) for x, n in zip(answers[name].to_pylist(), sizes)]) for name in ("a1", "a0")]
-        if len(values[0]) != len(found):
-            raise ValueError("a block's n-grams were not all answered; its stored texts must have changed")
+        # A block that several tasks have read asks several times.
+        found, first = np.unique(answers["gram"].to_numpy().view(np.uint64), return_index=True)
+        found = np.append(found, ~np.uint64(0)) if not len(found) else found
+        values = [np.append(answers[name].to_numpy()[first], 0) for name in ("n1", "n0")]
         total, length, done = [], [], 0
-        for grams, sizes in slices:
+        for data, offsets in byte_slices(texts["text"]):
+            grams, sizes = word_grams(data, offsets, order)
             fold = np.repeat(folds[done : done + len(sizes)], sizes)
             done += len(sizes)
             n = []
             for gram in grams:
-                by_gram = np.argsort(gram)
-                at = np.empty(len(gram), np.int64)
-                at[by_gram] = np.searchsorted(found, gram[by_gram])
+                at = np.minimum(np.searchsorted(found, gram), len(found) - 1)
+                at[found[at] != gram] = len(values[0]) - 1  # nothing is known of it
                 n.append(np.where(fold == 0, values[0][at], values[1][at]).astype(np.float64))
             others = np.array(totals, np.float64)[1 - fold]
             total.append(np.add.reduceat(_logs(n, sizes, others[:, 0], others[:, 1]), np.cumsum(sizes) - sizes))
@@ -231,13 +176,12 @@ def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     rows = docs.select("doc_id", F.pmod(F.crc32(text), F.lit(2)).cast("int").alias("fold"), text.alias("text"), F.octet_length(text).cast("long").alias("size"))
     # Blocks must be the same when counted and when scored, so they are stored.
     blocks = keep(rows.mapInArrow(_blocks(BLOCK_BYTES), f"block long, doc_id {kind}, fold int, text string, size long, n long"))
-    seen = {r.fold: r for r in blocks.groupBy("fold").agg(F.sum("n").alias("n"), F.count("*").alias("texts"), F.sum("size").alias("size")).collect()}
+    seen = {r.fold: r for r in blocks.groupBy("fold").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).collect()}
     totals = [(seen[k].n, seen[k].texts) if k in seen else (0, 0) for k in (0, 1)]
-    parts = 1 + sum(r.size for r in seen.values()) // PART_BYTES
-    asked = blocks.select("block", "fold", "text").mapInArrow(
-        _asked(order, parts), "part long, block long, size long, grams binary, n0 binary, n1 binary"
-    )
-    answers = asked.groupBy("part").applyInArrow(_answers, "block long, part long, size long, a0 binary, a1 binary")
+    asked = blocks.select("block", "fold", "text").mapInArrow(_asked(order), "block long, gram long, n0 long, n1 long")
+    counts = asked.groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    shared = keep(counts.filter("n0 > 0 AND n1 > 0"))
+    answers = asked.select("block", "gram").join(shared, "gram").select("block", "gram", "n0", "n1")
     texts = blocks.select("block", "doc_id", "fold", "text")
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _sums(order, "doc_id", totals), f"doc_id {kind}, fold int, n_grams long, log_score double"
