@@ -8,9 +8,11 @@ are fewer than an equal share. Nodes without links fill up what remains: at the
 that are too full give rows away, unlinked ones first, so that row counts are at most one
 apart. The state is a table that every round rewrites in the shared folder.
 
-Documents of equal text are linked to one of them. A group too large for a shard is salted
-into chunks, each linked to a document of its own. A null text has no bytes. Rows that repeat
-are documents of their own and get a slot each. An empty table gives an empty result.
+Documents of equal text are linked in stars of bounded size, and the stars of a group to one of
+them. A group too large for a shard is salted into chunks, each with stars of its own. The number
+of rounds is a parameter. A null text has no bytes, a very long one is hashed whole. Rows that repeat,
+and rows without an id, are documents of their own and get a slot each. An empty table gives an empty
+result; only ``doc_id`` and ``text`` are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -19,23 +21,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import keep, whole_text
+from tidemark.llm.common import join_hot, keep, whole_text
 
 SHARDS = 16
 ROUNDS = 6
 CHUNK_SHARE = 2  # a group is salted into chunks of at most one of so many parts of a shard
+STAR = 1024  # rows of a group of equal texts that are linked to the same one of them
 BUCKET_ROWS = 20_000  # rows of a shard that are numbered together
 
 
 def equal_text_links(rows: DataFrame, total: int, shards: int = SHARDS) -> DataFrame:
-    """(a, b): each row of a group of equal texts and the least row of its chunk. ``rows``: row, digest."""
-    groups = rows.groupBy("digest").agg(F.count("*").alias("size")).filter("size > 1")
-    chunk = F.greatest(F.lit(2), F.ceil(F.lit(total / shards / CHUNK_SHARE)))
-    member = rows.join(groups, "digest").select(
-        "row", "digest", F.pmod(F.xxhash64("row", F.lit(1)), F.ceil(F.col("size") / chunk).cast("long")).alias("chunk")
+    """(a, b): each row of a group of equal texts and the least row of its star, and the stars of a
+    chunk among each other. ``rows``: row, digest. No row has many more than ``STAR`` links of the first kind."""
+    groups = keep(rows.groupBy("digest").agg(F.count("*").alias("size")).filter("size > 1"))
+    room = F.greatest(F.lit(2), F.ceil(F.lit(total / shards / CHUNK_SHARE)))
+    chunks = F.ceil(F.col("size") / room)
+    stars = F.ceil(F.col("size") / chunks / F.lit(STAR)).cast("long")
+    member = join_hot(rows, groups, "digest", "size", total).filter("size IS NOT NULL").select(
+        "row", "digest", F.pmod(F.xxhash64("row", F.lit(1)), chunks.cast("long")).alias("chunk"),
+        F.pmod(F.xxhash64("row", F.lit(3)), stars).alias("star"),
     )
-    hubs = member.groupBy("digest", "chunk").agg(F.min("row").alias("b"))
-    return member.join(hubs, ["digest", "chunk"]).filter("row <> b").select(F.col("row").alias("a"), "b")
+    member = keep(member)
+    hubs = member.groupBy("digest", "chunk", "star").agg(F.min("row").alias("b"))
+    own = member.join(hubs, ["digest", "chunk", "star"]).select(F.col("row").alias("a"), "b")
+    first = hubs.groupBy("digest", "chunk").agg(F.min("b").alias("first"))
+    between = hubs.join(first, ["digest", "chunk"]).select(F.col("b").alias("a"), F.col("first").alias("b"))
+    return own.unionByName(between).filter("a <> b")
 
 
 def by_hash(rows: DataFrame, shards: int) -> DataFrame:
