@@ -9,7 +9,7 @@ SHORT = [
     (-4, "A Tie"), (-5, "a tie"), (-6, "one two three four five six seven"), (-6, "one two three four five six seven"),
     (-7, "first text of an id that comes twice"), (-7, "second text of it, quite unlike"), (-8, "É é İ ß ǅ 日本 🧿 \x00 </s> <|endoftext|> \\ x"),
 ]
-CLASHING = ["keep_id", "kept", "n_words", "n", "block", "label", "row", "size", "s1", "ids", "Q_words", "__label", "count"]
+CLASHING = ["keep_id", "kept", "n_words", "n", "block", "label", "row", "size", "s1", "ids", "Q_words", "__label", "count", "__sha", "__id", "__kept_sha", "__n", "__place", "__other_id", "__hot", "fingerprint", "word"]
 
 
 @pytest.fixture(scope="session")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,20 @@ def keep(df: DataFrame, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def trimmed(run):
+    """``run`` for a task, which then gives back what it leaves behind: Python workers outlive their tasks."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return wrapped
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -47,6 +62,14 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its columns are called."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 SIEVE_BITS = 24
 
 
@@ -79,8 +102,9 @@ def only_in(df: DataFrame, ids: DataFrame, how: str, name: str = "doc_id") -> Da
     Only rows that pass the sieve of ``ids`` are joined, so that other texts stay where they are.
     """
     passes = sieve(df, ids, name)
-    left, right = df.filter(passes), ids.select(F.col(name).alias("__other_id"))
-    joined = left.join(right, left[name].eqNullSafe(right["__other_id"]), how)
+    other = unused(df, "__other_id")
+    left, right = df.filter(passes), ids.select(F.col(name).alias(other))
+    joined = left.join(right, left[name].eqNullSafe(right[other]), how)
     return joined if how == "left_semi" else df.filter(~passes).unionByName(joined)
 
 

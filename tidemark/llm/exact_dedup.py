@@ -3,7 +3,8 @@
 Texts are equal when identical after lower-casing A-Z; a null text is an empty one. The row
 with the largest id of each group stays. Rows that repeat an id and its text count as copies
 of one document: in ``decide`` all of them carry the same decision, ``drop_copies`` leaves
-one. A null id is smaller than any other. An empty table gives an empty result.
+one. A null id is smaller than any other. A very long text is hashed whole, in the memory of its
+task. An empty table gives an empty result; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, keep, only_in, whole_text
+from tidemark.llm.common import ascii_lower, keep, only_in, trimmed, unused, whole_text
 
 COUNTERS = 1 << 15  # Misra-Gries counters of a task, and the most digests broadcast: under 4 MB
 
@@ -58,7 +59,7 @@ def heavy_winners(digests: DataFrame) -> DataFrame:
     small and goes the ordinary way, so the result never depends on the summary.
     """
     candidates = (
-        digests.select("text_sha256").mapInArrow(_summaries, "text_sha256 string, least long")
+        digests.select("text_sha256").mapInArrow(trimmed(_summaries), "text_sha256 string, least long")
         .groupBy("text_sha256").agg(F.sum("least").alias("least"))
         .orderBy(F.desc("least"), "text_sha256").limit(COUNTERS)
     )
@@ -93,9 +94,10 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     # Ids that several rows share are the only ones whose texts must be looked at again.
     repeated = keep(decisions.groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     rest = only_in(docs, decisions.filter("NOT kept").select("doc_id").unionByName(repeated), "left_anti")
-    doubtful = only_in(docs, repeated, "left_semi").withColumn("__sha", F.sha2(ascii_lower(whole_text()), 256))
-    kept = decisions.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept_sha")).distinct()
-    chosen = doubtful.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__kept_sha")), "left_semi")
-    first = Window.partitionBy("doc_id", "__sha").orderBy("text")
-    one = chosen.withColumn("__n", F.row_number().over(first)).filter("__n = 1").drop("__n", "__sha")
+    sha, other_id, other_sha, place = (unused(docs, n) for n in ("__sha", "__id", "__kept_sha", "__n"))
+    doubtful = only_in(docs, repeated, "left_semi").withColumn(sha, F.sha2(ascii_lower(whole_text()), 256))
+    kept = decisions.filter("kept").select(F.col("doc_id").alias(other_id), F.col("text_sha256").alias(other_sha)).distinct()
+    chosen = doubtful.join(kept, F.col("doc_id").eqNullSafe(F.col(other_id)) & (F.col(sha) == F.col(other_sha)), "left_semi")
+    first = Window.partitionBy("doc_id", sha).orderBy("text")
+    one = chosen.withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1).drop(place, sha)
     return rest.unionByName(one)

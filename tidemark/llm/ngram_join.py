@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import IS_SPACE, LOWER, byte_slices, keep, mix, only_in, range_hashes, runs, sieve
+from tidemark.llm.common import IS_SPACE, LOWER, byte_slices, keep, mix, only_in, range_hashes, runs, sieve, trimmed, unused
 from tidemark.llm.components import components
 
 FREQUENT = 1 << 18  # n-grams that are ordered by their count: 2 MB to every task
@@ -298,7 +298,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, n_links (documents it links with)."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profile = keep(texts.mapInArrow(_profile(n), "kind int, doc_id long, s1 long, s2 long, n long"), "kind")
+    profile = keep(texts.mapInArrow(trimmed(_profile(n)), "kind int, doc_id long, s1 long, s2 long, n long"), "kind")
     rows = profile.filter("kind = 0").select("doc_id", "s1", "s2", "n")
     classes = keep(
         rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"))
@@ -314,7 +314,7 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     frequent = spark.sparkContext.broadcast((grams[by_hash], place[by_hash]))
 
     named = texts.filter("doc_id IS NOT NULL")
-    prefixes = named.mapInArrow(_prefixes(n, percent, frequent), "gram long, doc_id long, n long, reach long")
+    prefixes = named.mapInArrow(trimmed(_prefixes(n, percent, frequent)), "gram long, doc_id long, n long, reach long")
     by_size = Window.partitionBy("gram").orderBy("n", "doc_id")
     so_far = by_size.rowsBetween(Window.unboundedPreceding, 0)
     # A stretch ends where no set before is near enough in size, a star where none reaches so far.
@@ -336,14 +336,14 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     wide = blocks_of(met.filter("doc_id <> star").select(F.col("doc_id").alias("a"), F.col("star").alias("b")).distinct())
     firsts = met.groupBy("doc_id", "n").agg(F.collect_list("gram").alias("grams"))
     share = _tasks(_dealt(firsts.join(wide, "doc_id"), FIRST_PART, "doc_id"), "doc_id", "n", "grams")
-    blocks = blocks_of(share.mapInArrow(_refine(percent), "a long, b long").filter("a <> b").distinct())
+    blocks = blocks_of(share.mapInArrow(trimmed(_refine(percent)), "a long, b long").filter("a <> b").distinct())
     # The class of a block's document; its least id may lie in a task where it was not the first.
     members = blocks.join(rows, "doc_id").join(classes, ["s1", "s2"]).groupBy("s1", "s2", "rep", "size").agg(F.min("block").alias("block"))
     placed = keep(_dealt(keep(members), PART, "rep"))
     candidates = named.filter(sieve(named, placed.select(F.col("rep").alias("doc_id"))))
     with_text = candidates.join(placed, candidates["doc_id"] == placed["rep"]).drop("doc_id")
     verified = _tasks(with_text, "s1", "s2", "rep", "size", "text").mapInArrow(
-        _verify(n, percent), "s1 long, s2 long, rep long, root long, links long"
+        trimmed(_verify(n, percent)), "s1 long, s2 long, rep long, root long, links long"
     )
     linked = keep(verified)
 
@@ -372,5 +372,5 @@ def drop_near_copies(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFram
     repeated = keep(decisions.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     rest = only_in(docs, dropped.unionByName(repeated), "left_anti")
     doubtful = only_in(only_in(docs, repeated, "left_semi"), dropped, "left_anti")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    return rest.unionByName(doubtful.withColumn("__place", F.row_number().over(first)).filter("__place = 1").drop("__place"))
+    place, first = unused(docs, "__place"), Window.partitionBy("doc_id").orderBy("text")
+    return rest.unionByName(doubtful.withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1).drop(place))

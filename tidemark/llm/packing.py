@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tidemark.llm.common import trimmed
 from tidemark.llm.prefix_table import _Memory
 
 CAPACITY = 2048
@@ -49,7 +50,7 @@ class WordTokenizer:
     its merges alone. Whatever is not such text goes to the library word by word, or as it is.
     """
 
-    REMEMBERED = 250_000
+    REMEMBERED = 100_000
     LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
     PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\x20\t-\r{LETTERS}0-9]+")
     PLAIN = re.compile("[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
@@ -62,7 +63,7 @@ class WordTokenizer:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
         self.pieces = _Memory(self._piece, self.REMEMBERED)
-        self.words = _Memory(self._word, self.REMEMBERED // 4)
+        self.words = _Memory(self._word, self.REMEMBERED // 2)
 
     def _ids(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -192,9 +193,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
                         if full:
                             close(full)
                 yield ready()
-        pa.default_memory_pool().release_unused()
         for bin_ in bins.rest():
             close(bin_)
         yield ready()
 
-    return docs.select("doc_id", "text").mapInArrow(run, columns)
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), columns)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import IS_SPACE, byte_slices, labelled_sample, mix, range_hashes, runs
+from tidemark.llm.common import IS_SPACE, byte_slices, labelled_sample, mix, range_hashes, runs, trimmed
 
 LABELLED_ROWS = 6000  # the most labelled documents that are learned from
 BITS = 16  # of the bucket number, for words and for character n-grams each
@@ -118,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int
         yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
 
     sample = labelled_sample(docs, labels, label, modulus, held_out, rows)
-    row = sample.repartition(1).mapInPandas(learn, "weights binary, bias double").collect()
+    row = sample.repartition(1).mapInPandas(trimmed(learn), "weights binary, bias double").collect()
     return Model(np.frombuffer(row[0]["weights"], np.float32), row[0]["bias"]) if row else train(pa.array([], pa.string()), np.zeros(0))
 
 
