@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.checks import new_sink
 from tidemark.config import SourceSpec, SyncJob, SyncSpec
+from tidemark.operators import write
 from tidemark.operators.write import TableNotEmpty, create_table, layout, write_batch, write_table
 from tidemark.plans.sync import run_sync
 from tidemark.session import shared_dir
@@ -143,3 +144,20 @@ def test_rejects_are_written_and_counted(spark):
     assert sorted(r["id"] for r in spark.table(job.sink.table).collect()) == [1, 7]
     misfit = spark.read.parquet(f"{job.rejects_path}/types").first()
     assert misfit["t"] == "z" and misfit["_reject_reason"] == "id does not fit bigint: seven"
+
+
+def test_small_files_of_a_clustered_table_share_tasks(spark):
+    """As many files as were asked for, each a run of the order, but tasks that don't grow with them."""
+    days = F.timestamp_add("DAY", F.col("id") % 3, F.lit("2024-01-01").cast("timestamp_ntz"))
+    rows = spark.range(0, 6_000, 1, 4).select((F.col("id") * 7919 % 1009).alias("a"), days.alias("ts"), F.uuid().alias("c"))
+    for mode in ("append", "truncate"):
+        sink = new_sink(spark, partition_field="ts", clustering_fields=("a",), cluster="table", file_bytes=1024, write=mode)
+        write_table(rows, sink)
+        stored = spark.table(sink.table)
+        files = stored.groupBy("ts_day", "_metadata.file_name").agg(F.min("a").alias("least"), F.max("a").alias("most"), F.count("*").alias("n")).collect()
+        files.sort(key=lambda r: (r["ts_day"], r["least"], r["most"]))
+        assert len(files) > 150 and sum(r["n"] for r in files) == stored.distinct().count() == 6_000
+        assert all(x["ts_day"] != y["ts_day"] or x["most"] <= y["least"] for x, y in zip(files, files[1:], strict=False))
+        tasks = {r["file_name"].split("-")[1] for r in files}
+        assert len(tasks) <= write.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+        assert int(spark.conf.get(write.FILE_ROWS)) == 0

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +20,12 @@ from tidemark.functions.calculated import quote, quoted_table
 from tidemark.operators.nested import grown_type, lacking, rebuilt
 from tidemark.session import shared_dir
 
-_STATIC_MODE = threading.Lock()
+_SETTINGS = threading.Lock()
+FILE_ROWS = "spark.sql.files.maxRecordsPerFile"
 WRITES = ("append", "truncate", "empty")
 CLUSTERED = ("files", "table")
 PLACE = "_place"
+TASK_BYTES, TASKS_PER_CORE = 4 << 20, 4  # stored bytes that a task writes when files are smaller, and tasks at least
 TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 
@@ -63,22 +65,27 @@ def layout(df: DataFrame, day: str | None, clustering: Sequence[str] = ()) -> Da
     return df.sortWithinPartitions(*keys) if keys else df
 
 
-def clustered(df: DataFrame, day: str | None, clustering: Sequence[str], file_bytes: int) -> DataFrame:
+def clustered(df: DataFrame, day: str | None, clustering: Sequence[str], file_bytes: int) -> tuple[DataFrame, int]:
     """SNK-3 across files: each file holds a range of (day, clustering fields) apart from the others'.
 
     Rows are evaluated once, into the shared folder; the ranges' bounds come from a sample of what
     was stored. A value too heavy for a file is split by the next field, and equal rows by their
     place, so that no file grows with the heaviest value: neighbours share at most one value.
+    A task sorts a range and writes it as one file, or, where files are small, as a run of files of
+    ``rows_per_file`` rows each: tasks grow with the bytes, not with the number of files.
     """
     keys = [c for c in ([day] if day else []) + list(clustering) if c]
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    sizes = stored.select("_metadata.file_path", "_metadata.file_size").distinct()
-    total = sizes.agg(F.sum("file_size")).first()[0] or 0
+    files = stored.groupBy("_metadata.file_path", "_metadata.file_size").agg(F.count("*").alias("n"))
+    total, rows = (n or 0 for n in files.agg(F.sum("file_size"), F.sum("n")).first())
+    wanted = max(1, -(-total // file_bytes))
+    tasks = min(wanted, max(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES)))
     placed = stored.withColumn(PLACE, F.monotonically_increasing_id())
-    ranges = placed.repartitionByRange(max(1, -(-total // file_bytes)), *(F.col(quote(c)) for c in keys), F.col(PLACE))
-    return ranges.sortWithinPartitions(*(F.col(quote(c)) for c in keys)).drop(PLACE)
+    ranges = placed.repartitionByRange(tasks, *(F.col(quote(c)) for c in keys), F.col(PLACE))
+    rows_per_file = -(-rows // wanted) if tasks < wanted else 0
+    return ranges.sortWithinPartitions(*(F.col(quote(c)) for c in keys)).drop(PLACE), rows_per_file
 
 
 def create_table(spark: SparkSession, spec: SinkSpec, schema: T.StructType) -> bool:
@@ -209,31 +216,41 @@ def write_table(df: DataFrame, spec: SinkSpec) -> None:
     if spec.cluster not in CLUSTERED:
         raise ValueError(f"cluster is one of {CLUSTERED}")
     missing = [c for c in spec.clustering_fields if c not in df.columns]
+    rows_per_file = 0
     if spec.cluster == "table" and spec.clustering_fields and not missing:
-        laid_out = clustered(align(df, target), day, spec.clustering_fields, spec.file_bytes)
+        laid_out, rows_per_file = clustered(align(df, target), day, spec.clustering_fields, spec.file_bytes)
     else:
         laid_out = layout(align(df, target), day, spec.clustering_fields)
     if spec.write == "truncate":
-        _replace_all(laid_out, spec.table)
+        _replace_all(laid_out, spec.table, rows_per_file)
+    elif rows_per_file:
+        _insert(laid_out, spec.table, {FILE_ROWS: rows_per_file})
     else:
         laid_out.write.insertInto(spec.table)
 
 
-def _replace_all(df: DataFrame, table: str) -> None:
-    """Overwrite every partition, also in a session that overwrites only touched ones.
+def _replace_all(df: DataFrame, table: str, rows_per_file: int = 0) -> None:
+    """Overwrite every partition, also in a session that overwrites only touched ones."""
+    files = {FILE_ROWS: rows_per_file} if rows_per_file else {}
+    _insert(df, table, {"spark.sql.sources.partitionOverwriteMode": "static"} | files, overwrite=True)
 
-    Inserting into a table of the catalog takes the mode from the session alone (a writer
+
+def _insert(df: DataFrame, table: str, settings: Mapping[str, str | int], overwrite: bool = False) -> None:
+    """Insert under these settings.
+
+    Inserting into a table of the catalog takes them from the session alone (a writer
     option has no effect there), so a session runs one such write at a time.
     """
-    key = "spark.sql.sources.partitionOverwriteMode"
     conf = df.sparkSession.conf
-    with _STATIC_MODE:
-        before = conf.get(key)
-        conf.set(key, "static")
+    with _SETTINGS:
+        before = {key: conf.get(key) for key in settings}
+        for key, value in settings.items():
+            conf.set(key, value)
         try:
-            df.write.insertInto(table, overwrite=True)
+            df.write.insertInto(table, overwrite=overwrite)
         finally:
-            conf.set(key, before)
+            for key, value in before.items():
+                conf.set(key, value)
 
 
 def staged(table: str) -> str:
