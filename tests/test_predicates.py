@@ -141,3 +141,22 @@ def test_what_a_database_is_asked(spark):
     assert pipeline(DocumentSource("d", "c", projection={"secret": 0})) == ([], {})
     with pytest.raises(ValueError):
         predicates.split_filter({"a": {"$where": "1"}})
+
+
+def test_a_parsed_document_is_parsed_once_for_a_filter(spark):
+    """Spark writes out what a column is made of at each of its mentions, so one may be left."""
+    raws = ['{"n": {"$numberLong": "3"}, "at": {"$date": "2024-01-02T00:00:00Z"}}', '{"n": [1, 3.0, "x"]}', '{"n": "3"}', '{"n": null}', "{}", None, "[]", "no JSON"]
+    texts = spark.createDataFrame([(i, raw) for i, raw in enumerate(raws)], "i INT, raw STRING")
+    documents = parse_documents(texts, "raw")
+    for spec, wanted in (
+        ({"n": {"$in": [3, 5, 7, "x"]}}, [0, 1]),
+        ({"n": {"$in": ["3", None]}}, [2, 3, 4, 5, 6, 7]),
+        ({"n": {"$in": []}}, []),
+        ({"$or": [{"n": {"$gt": 2, "$lt": 4}}, {"at": {"$gte": {"$date": "2024-01-01T00:00:00Z"}}}]}, [0, 1]),
+        ({"n": [1, 3.0, "x"]}, [1]),
+        ({"n": None}, [3, 4, 5, 6, 7]),
+    ):
+        kept = document_filter(documents, json.dumps(spec), variant="document").select("i")
+        assert sorted(r["i"] for r in kept.collect()) == wanted, spec
+        text = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("parseJson") <= 1 and text.count("regexp_replace") <= 4

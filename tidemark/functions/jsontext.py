@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import text
-from tidemark.functions.literals import bind_sql
+from tidemark.functions.literals import bind_sql, bound
 
 
 # SQL over a stripped text ``s``.
@@ -106,9 +106,10 @@ def unwrap(json: Column) -> Column:
     """SRC-6 on JSON text: ``{"$oid": "..."}`` and its kin, at any depth, become plain values.
 
     A quote inside a JSON string is always escaped, so a wrapper cannot be mistaken for text.
+    Each step is bound, as its text is mentioned three times.
     """
     for name, pattern in _WRAPPERS:
-        json = F.when(json.contains(name), F.regexp_replace(json, pattern, "$1")).otherwise(json)
+        json = bound(json, lambda s: F.when(s.contains(name), F.regexp_replace(s, pattern, "$1")).otherwise(s))
     return json
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,6 +44,11 @@ def bind_sql(value: Column, body: str) -> Column:
     return F.get(F.call_function("transform", F.array(value), F.expr(f"s -> {body}")), F.lit(0))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def parse_array_literal(c: Column) -> Column:
     """The items when ``c`` is an array literal, else null (also when it spans lines)."""
     shaped = "startswith(s, '{') AND endswith(s, '}')"

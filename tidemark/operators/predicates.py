@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.calculated import quote
 from tidemark.functions.jsontext import nested_json
+from tidemark.functions.literals import bound
 
 # The comparison operators a filter may use.
 COMPARISONS = {
@@ -43,11 +44,19 @@ def document_filter(
 def filter_condition(
     schema: T.StructType, spec: str | Mapping[str, Any], variant: str | None = None
 ) -> Column:
+    """The document is bound by a lambda: Spark writes out what a column is made of at each mention
+    of it in a filter, so a document that is parsed would be parsed again for each."""
     spec = json.loads(spec) if isinstance(spec, str) else spec
+    if variant is None:
+        return _condition(schema, spec, None)
+    return bound(F.col(quote(variant)), lambda document: _condition(schema, spec, document))
+
+
+def _condition(schema: T.StructType, spec: Mapping[str, Any], variant: Column | None) -> Column:
     parts = []
     for key, wanted in spec.items():
         if key in ("$and", "$or"):
-            inner = [filter_condition(schema, one, variant) for one in wanted]
+            inner = [_condition(schema, json.loads(one) if isinstance(one, str) else one, variant) for one in wanted]
             parts.append(reduce((lambda a, b: a & b) if key == "$and" else (lambda a, b: a | b), inner))
         elif key.startswith("$"):
             raise ValueError(f"unsupported filter operator: {key}")
@@ -109,7 +118,7 @@ def fields_of(spec: str | Mapping[str, Any]) -> set[str]:
     return found
 
 
-def _field_condition(schema, path: str, wanted: Any, variant: str | None) -> Column:
+def _field_condition(schema, path: str, wanted: Any, variant: Column | None) -> Column:
     operators = isinstance(wanted, Mapping) and any(k.startswith("$") for k in wanted)
     tests = wanted if operators and "$date" not in wanted else {"$eq": wanted}
     return reduce(
@@ -118,7 +127,7 @@ def _field_condition(schema, path: str, wanted: Any, variant: str | None) -> Col
     )
 
 
-def _test(schema, path: str, op: str, value: Any, variant: str | None) -> Column:
+def _test(schema, path: str, op: str, value: Any, variant: Column | None) -> Column:
     if op == "$in":
         return _membership(schema, path, value, variant)
     if op == "$regex":
@@ -134,8 +143,8 @@ def _test(schema, path: str, op: str, value: Any, variant: str | None) -> Column
     return _match(schema, path, value, COMPARISONS[op], variant)
 
 
-def _membership(schema, path: str, values: list[Any], variant: str | None) -> Column:
-    field = None if variant else _resolve(schema, path)
+def _membership(schema, path: str, values: list[Any], variant: Column | None) -> Column:
+    field = None if variant is not None else _resolve(schema, path)
     plain = None not in values and not any(map(_is_nested, values))
     if field and not isinstance(field[1], T.VariantType) and plain:
         c, dtype = field
@@ -146,19 +155,24 @@ def _membership(schema, path: str, values: list[Any], variant: str | None) -> Co
         if isinstance(dtype, T.ArrayType):
             return F.coalesce(F.arrays_overlap(c, F.array(*usable)), F.lit(False))
         return c.isin(*usable)
+    if plain and values:
+        if variant is not None:
+            return _match_variant(variant, path, values, COMPARISONS["$eq"])
+        if field and isinstance(field[1], T.VariantType):
+            return _match_variant(field[0], "", values, COMPARISONS["$eq"])
     tests = [_test(schema, path, "$eq", v, variant) for v in values]
     return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
 
 
-def _match(schema, path: str, value: Any, compare, variant: str | None) -> Column:
-    if variant:
-        return _match_variant(F.col(quote(variant)), path, value, compare)
+def _match(schema, path: str, value: Any, compare, variant: Column | None) -> Column:
+    if variant is not None:
+        return _match_variant(variant, path, [value], compare)
     field = _resolve(schema, path)
     if field is None:
         return F.lit(False)
     c, dtype = field
     if isinstance(dtype, T.VariantType):
-        return _match_variant(c, "", value, compare)
+        return _match_variant(c, "", [value], compare)
     if isinstance(dtype, T.ArrayType):
         if not _same_kind(value, dtype.elementType):
             return F.lit(False)
@@ -169,25 +183,29 @@ def _match(schema, path: str, value: Any, compare, variant: str | None) -> Colum
     return compare(c, _literal(value, dtype))
 
 
-def _missing(schema, path: str, variant: str | None) -> Column:
-    if variant:
-        found = F.try_variant_get(F.col(quote(variant)), _json_path(path), "variant")
-        return found.isNull() | F.is_variant_null(found)
+def _missing(schema, path: str, variant: Column | None) -> Column:
+    if variant is not None:
+        return bound(F.try_variant_get(variant, _json_path(path), "variant"), lambda found: found.isNull() | F.is_variant_null(found))
     field = _resolve(schema, path)
     return F.lit(True) if field is None else field[0].isNull()
 
 
-def _match_variant(doc: Column, path: str, value: Any, compare) -> Column:
-    found = F.try_variant_get(doc, _json_path(path), "variant")
-    items = F.try_variant_get(found, "$", "array<variant>")
-    is_array = F.schema_of_variant(found).startswith("ARRAY")
-    one = lambda item: _match_item(item, value, compare)
-    return F.coalesce(F.when(is_array, F.exists(items, one)).otherwise(one(found)), F.lit(False))
+def _match_variant(doc: Column, path: str, values: list[Any], compare) -> Column:
+    """Whether the field compares so with any of the values, or an element of it does."""
+
+    def any_value(item: Column) -> Column:
+        kinds = F.schema_of_variant(item)
+        return bound(kinds, lambda kind: reduce(lambda a, b: a | b, [_match_item(item, kind, v, compare) for v in values]))
+
+    def matches(found: Column) -> Column:
+        items = F.try_variant_get(found, "$", "array<variant>")
+        return bound(items, lambda x: F.when(x.isNotNull(), F.exists(x, any_value)).otherwise(any_value(found)))
 
+    return F.coalesce(bound(F.try_variant_get(doc, _json_path(path), "variant"), matches), F.lit(False))
 
-def _match_item(item: Column, value: Any, compare) -> Column:
-    """Compare one value of a document; null when it is of another kind."""
-    kind = F.schema_of_variant(item)
+
+def _match_item(item: Column, kind: Column, value: Any, compare) -> Column:
+    """Compare one value of a document, of this type; null when it is of another kind."""
     if isinstance(value, bool):
         return F.when(kind == "BOOLEAN", compare(F.try_variant_get(item, "$", "boolean"), F.lit(value)))
     if isinstance(value, (int, float)):
@@ -214,14 +232,14 @@ def _is_nested(value: Any) -> bool:
     return isinstance(value, list) or isinstance(value, Mapping) and "$date" not in value
 
 
-def _equals_nested(schema, path: str, value: Any, variant: str | None) -> Column:
+def _equals_nested(schema, path: str, value: Any, variant: Column | None) -> Column:
     """A field that equals an object or a list as a whole, or holds it as an element.
 
     Both sides are compared as canonical JSON, in which the order of keys does not matter.
     """
     wanted = F.to_json(F.parse_json(F.lit(json.dumps(value))))
-    if variant:
-        found = F.try_variant_get(F.col(quote(variant)), _json_path(path), "variant")
+    if variant is not None:
+        found = F.try_variant_get(variant, _json_path(path), "variant")
     else:
         field = _resolve(schema, path)
         if field is None:
@@ -235,9 +253,13 @@ def _equals_nested(schema, path: str, value: Any, variant: str | None) -> Column
         if not isinstance(dtype, T.VariantType):
             return F.coalesce(nested_json(c, dtype) == wanted, F.lit(False))
         found = c
-    items = F.try_variant_get(found, "$", "array<variant>")
-    inside = F.coalesce(F.exists(items, lambda x: F.to_json(x) == wanted), F.lit(False))
-    return F.coalesce(F.to_json(found) == wanted, F.lit(False)) | inside
+
+    def equal(found: Column) -> Column:
+        items = F.try_variant_get(found, "$", "array<variant>")
+        inside = F.coalesce(F.exists(items, lambda x: F.to_json(x) == wanted), F.lit(False))
+        return F.coalesce(F.to_json(found) == wanted, F.lit(False)) | inside
+
+    return bound(found, equal)
 
 
 def _json_path(path: str) -> str:
