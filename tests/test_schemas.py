@@ -174,3 +174,13 @@ def test_random_documents(spark):
     variants = texts.select(parse(F.col("raw")).alias("document"))
     got = {(r["path"], r["type"]): r["n"] for r in schemas.path_type_counts(variants, "document", compat=True).collect()}
     assert got == dict(expected)
+
+
+@pytest.mark.parametrize("per_core", [0, 1, 2])
+def test_documents_are_walked_by_several_tasks_of_a_core(spark, per_core):
+    """Also where the source has a partition for each core: the walk of one would last as long as all of it."""
+    cores = spark.sparkContext.defaultParallelism
+    texts = spark.range(0, 400, 1, max(1, per_core * cores)).select(F.format_string('{"a":{"b":%d}}', "id").alias("raw"))
+    variants = texts.select(parse(F.col("raw")).alias("document"))
+    assert schemas._documents(variants, "document").rdd.getNumPartitions() >= 4 * cores
+    assert {(r["path"], r["n"]) for r in schemas.path_type_counts(variants, "document").collect()} == {("a", 400), ("a.b", 400)}

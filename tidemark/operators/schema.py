@@ -282,18 +282,17 @@ def _compat_marks(df: DataFrame, variant: str, depth: int | None) -> DataFrame:
 
 def _marks_counted(df: DataFrame, marks: Column) -> DataFrame:
     """Rows (path, type, n) of all ``marks``; combined in each task, so a row for each kind of mark and
-    task is shuffled. Exploding a plain column would make Spark infer a filter on it, which it pushes
-    below the whole walk, every step written out once more."""
+    task is shuffled, and marks are taken apart when counted. Exploding a plain column would make Spark
+    infer a filter on it, which it pushes below the whole walk, every step written out once more."""
     at = F.length("mark") - F.length(F.substring_index("mark", "\0", -1))
-    named = df.select(F.explode(marks).alias("mark")).select(
-        F.substring("mark", F.lit(1), at - 1).alias("path"), F.substring_index("mark", "\0", -1).alias("type")
-    )
-    return named.groupBy("path", "type").agg(F.count(F.lit(1)).alias("n"))
+    counted = df.select(F.explode(marks).alias("mark")).groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.substring("mark", F.lit(1), at - 1).alias("path"), F.substring_index("mark", "\0", -1).alias("type"), "n")
 
 
 # --- the walk to every end
 
 WALKED = 4  # levels of the first walk; an array's elements are a level of their own
+TASKS_PER_CORE = 4  # where documents are dealt
 ENTRIES = "array<struct<path:string,value:variant,counted:boolean,level:int>>"
 
 
@@ -351,10 +350,11 @@ def first_walk(df: DataFrame, variant: str, depth: int | None = None) -> DataFra
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Documents of few partitions, dealt to all cores: walking one costs far more than moving it. Those of
-    many partitions stay where they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Documents of few partitions, dealt to all cores, several tasks each: walking one costs far more than
+    moving it, and columns packed in little space may make a partition of many. Those of many partitions
+    stay where they are."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism * TASKS_PER_CORE
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def _documents(df: DataFrame, variant: str) -> DataFrame:
