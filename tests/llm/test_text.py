@@ -227,6 +227,40 @@ def test_word_scores_against_brute_force(spark, docs, awkward, nothing, monkeypa
     assert word_scoring.score(nothing).count() == 0
 
 
+def test_a_pass_moves_its_ngrams_once_and_asks_for_few_trigrams(spark, monkeypatch):
+    """Pairs of rare words are in one fold alone, so a trigram with one is not asked for; the results are whole."""
+    texts = [f"a{i} b{i} c{i} d{i} e{i}" for i in range(400)] + [f"some words that come often {k}" for k in range(20)] + ["", None]
+    plans, asked, found_in_both = [], [], word_scoring.found_in_both
+
+    def found(rows):
+        asked.append(rows.selectExpr("sum(size(low))").first()[0])
+        answers = found_in_both(rows)
+        # The join is of what one exchange moved: neither side moves n-grams again.
+        plans.append(answers._jdf.queryExecution().executedPlan().toString())
+        return answers
+
+    monkeypatch.setattr(word_scoring, "found_in_both", found)
+    before = {name: spark.conf.get(name) for name in word_scoring.PASS_SETTINGS}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = word_scoring.score(df).collect()
+    expected = brute.word_backoff_scores([t or "" for t in texts], 3)
+    assert [(r.n_grams, round(r.log_score, 6)) for r in sorted(got)] == [(n, round(s, 6)) for n, s in expected]
+    assert {name: spark.conf.get(name) for name in word_scoring.PASS_SETTINGS} == before
+    words, pairs, trigrams = 400 * 5 + 5 + 20 + 1, 400 * 6 + 5 + 2 * 20 + 1, 5
+    assert asked == [words + pairs, trigrams]
+    moves = [line for plan in plans for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert any("(part#" in line for line in moves) and not any("gram#" in line for line in moves)
+
+
+@pytest.mark.parametrize("order", [1, 2, 4])
+def test_word_scores_of_other_orders(spark, order):
+    rng = random.Random(order)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randrange(12))) for _ in range(60)]
+    df = spark.createDataFrame([(f"id {i:02d}", t) for i, t in enumerate(texts)], "doc_id string, text string").repartition(2, "doc_id")
+    got = sorted((r.doc_id, r.n_grams, round(r.log_score, 6)) for r in word_scoring.score(df, order).collect())
+    assert got == [(f"id {i:02d}", n, round(s, 6)) for i, (n, s) in enumerate(brute.word_backoff_scores(texts, order))]
+
+
 def test_registered_scores_count_words(spark, tmp_path):
     texts = ["the cat sat on the mat", "mat the on sat cat the", "", None]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
