@@ -85,6 +85,51 @@ def test_linked_sets_share_enough_first_members(sets, percent):
                 assert len(firsts[i] & firsts[j]) >= needed[j]
 
 
+@given(st.integers(0, 10**6), st.sampled_from([1, 3, 8, 15, 16, 17, 31, 32, 63, 64, 100, 300]), st.sampled_from([50, 70, 80, 85, 100]))
+@settings(max_examples=300, deadline=None)
+def test_linked_sets_share_a_signature(seed, size, percent):
+    rng = np.random.default_rng(seed)
+    base, sets = np.unique(rng.integers(0, 2**64, size, np.uint64)), []
+    for _ in range(5):  # members are lost, added, or both
+        lost, added = (rng.integers(0, 1 + size * (100 - percent) // x) * rng.integers(0, 2) for x in (100, percent))
+        sets.append(np.unique(np.concatenate([rng.permutation(base)[min(lost, len(base) - 1) :], rng.integers(0, 2**64, added, np.uint64)])))
+    frequent = np.sort(rng.permutation(base)[: rng.integers(0, len(base) + 1)])
+    hashes = [set() for _ in sets]
+    for found, some in ngram_join.signatures(sets, percent, ngram_join.Order(frequent, rng.permutation(len(frequent)))):
+        for i, h in zip(found.tolist(), some.tolist(), strict=True):
+            hashes[i].add(h)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            if 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y)):
+                assert hashes[i] & hashes[j]
+
+
+@pytest.mark.parametrize(("n", "percent", "words"), [(4, 85, 20), (5, 80, 10)])
+def test_blocks_stay_small_where_ngrams_recur_by_chance(spark, monkeypatch, n, percent, words):
+    rng, largest, dealt = random.Random(5), [], ngram_join._dealt
+
+    def measured(members, part, key):
+        largest.append(members.groupBy("block").count().agg({"count": "max"}).first()[0] or 0)
+        return dealt(members, part, key)
+
+    monkeypatch.setattr(ngram_join, "_dealt", measured)
+    rows = [(i, " ".join(f"w{rng.randrange(words)}" for _ in range(150))) for i in range(300)]
+    rows += [(1000 + i, f"{t} another end") for i, t in rows[:20]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.join(df, n, percent).collect()}
+    assert got == brute.jaccard_join(rows, n, percent)
+    assert sum(x[2] for x in got.values()) == 40 and max(largest) <= 10
+
+
+def test_a_copy_under_a_repeated_id_stays_with_its_near_copies(spark):
+    rng = random.Random(6)
+    text, other = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(100)) for _ in range(2))
+    rows = [(5, text), (9, text), (9, other), (7, f"{text} end"), (1, f"{other} end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    links = sorted((r.doc_id, r.component_id, r.n_links) for r in ngram_join.join(df, 4, 85).collect())
+    assert links == [(1, 1, 1), (5, 1, 2), (7, 1, 2), (9, 1, 1), (9, 1, 2)]
+
+
 @pytest.mark.parametrize(("n", "percent", "part"), [(4, 85, 512), (5, 80, 2)])
 def test_join_against_brute_force(spark, docs, monkeypatch, n, percent, part):
     monkeypatch.setattr(ngram_join, "PART", part)

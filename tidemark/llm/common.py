@@ -77,25 +77,32 @@ def unused(df: DataFrame, name: str) -> str:
 SIEVE_BITS = 24
 
 
-def sieve(df: DataFrame, ids: DataFrame, name: str = "doc_id") -> Column:
-    """False for rows of ``df`` whose id is surely not in ``ids``.
-
-    One bit for each hash value: 2 MB to every task, whatever the number of ids. With very
-    many ids it lets everything through; it only decides what a join has to move.
-    """
-    spark, h = df.sparkSession, F.pmod(F.xxhash64(name), F.lit(1 << SIEVE_BITS))
+def sieve_bits(spark: SparkSession, ids: DataFrame, name: str = "doc_id"):
+    """A hash of the id, and one bit for each of its values: 2 MB to every task, whatever the number of ids."""
+    h = F.pmod(F.xxhash64(name), F.lit(1 << SIEVE_BITS))
     bits = ids.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(h % 64 AS INT))")).alias("bits")
     ).toArrow()
     words = np.zeros(1 << (SIEVE_BITS - 6), np.uint64)
     words[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
-    shared = spark.sparkContext.broadcast(words)
+    return h, spark.sparkContext.broadcast(words)
+
+
+def passing(words: np.ndarray, hashes: pa.Array) -> pa.Array:
+    at = hashes.to_numpy()
+    return pa.array((words[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)).astype(bool))
+
+
+def sieve(df: DataFrame, ids: DataFrame, name: str = "doc_id") -> Column:
+    """False for rows of ``df`` whose id is surely not in ``ids``.
+
+    With very many ids it lets everything through; it only decides what a join has to move.
+    """
+    h, shared = sieve_bits(df.sparkSession, ids, name)
 
     @F.arrow_udf("boolean")
     def passes(hashes: pa.Array) -> pa.Array:
-        at = hashes.to_numpy()
-        found = shared.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
-        return pa.array(found.astype(bool))
+        return passing(shared.value, hashes)
 
     return passes(h)
 

@@ -5,14 +5,20 @@ with fewer words the whole sequence is its one member; without words the set is
 linked with nothing. Two documents link when 100 * |intersection| >= percent * |union|.
 
 1. Equal sets are one class, which is compared once; its copies share the result.
-2. All n-grams have one global order: those that are not frequent by hash, then the frequent
+2. Sets are cut into segments by ranges of the hash, as many for all sizes of a band (a power
+   of two to the next). Two sets that link differ by so few members that some segment is the
+   same in both; of the segments in an order from strong (many n-grams that are not frequent)
+   to weak, the strongest such one is among the first of either set, one more than they can
+   differ by. Only these are shuffled, as hashes. A set takes part in its own band and in that
+   of larger sets it can link with. Classes with a segment in common form a star; connected
+   stars are blocks, and no link leaves a block. A segment holds several n-grams, so that
+   unlike texts rarely share one, however large the corpus is.
+3. All n-grams have one global order: those that are not frequent by hash, then the frequent
    ones by count. Two sets that link share one of their first |x| - ceil(percent * |x| / 100)
-   + 1 members, so only these are shuffled. Members of an n-gram's list form a star as far as
-   it can be the first n-gram that two of them share, which depends on its place in their
-   orders; connected stars are blocks, and no link leaves a block.
-3. The first members that were met again say more: of two sets that link, the larger one, x,
-   loses at most |x| - least overlap of its first members, so they share all the others.
-   Blocks are made anew of the documents that share so many; a passage alone joins none.
+   + 1 members, and more if their sizes are near: the larger one, x, loses at most
+   |x| - least overlap of them, so they share all the others. Blocks are made anew of the
+   classes that share so many; a passage alone joins none. Where segments would be of an
+   n-gram or less (small sets, low thresholds), first members take their place in step 2.
 4. Inside a block sets are ordered from frequent to rare and walked as a trie: sets with a
    common beginning share its partial overlaps, and a walk ends where no other set can reach
    its threshold with what remains. Steps 3 and 4 walk the same trie, over first members and
@@ -34,13 +40,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import IS_SPACE, LOWER, byte_slices, keep, mix, only_in, range_hashes, runs, sieve, trimmed, unused
+from tidemark.llm.common import IS_SPACE, LOWER, byte_slices, keep, mix, only_in, passing, range_hashes, runs, sieve, sieve_bits, trimmed, unused
 from tidemark.llm.components import components
 
 FREQUENT = 1 << 18  # n-grams that are ordered by their count: 2 MB to every task
 COUNTED = 1 << 21  # n-grams whose repetitions are counted together
 PART = 512  # sets of a block that one task holds of either side
 FIRST_PART = 4096  # the same where only first members are held
+SIGNED = 1 << 17  # n-grams that are cut into segments together
+LEAST_BAND = 4  # sets of 2 ** LEAST_BAND members and more are cut into segments
+LEAST_PERCENT = 70  # and only for such thresholds; else segments would have few members
+SPARE = 4  # one segment in so many, of the weakest, is left out
 _MULTIPLIER = np.uint64(0xD1342543DE82EF95)
 
 
@@ -103,44 +113,157 @@ def _profile(n: int):
     return run
 
 
-def _prefixes(n: int, percent: int, frequent):
-    """(gram, doc_id, n, reach) of the first members of every set; of equal sets in a task only the first counts.
+class Order:
+    """The global order of n-grams: ``grams``, which are frequent, by hash, and their places by count."""
+
+    def __init__(self, grams: np.ndarray, place: np.ndarray):
+        self.grams, self.place = grams, place
+        self.known = np.zeros(1 << 22, bool)
+        self.known[(grams >> np.uint64(42)).astype(np.int64)] = True
+
+    def frequent(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the members are frequent, and where they stand in the list."""
+        maybe = np.flatnonzero(self.known[(members >> np.uint64(42)).astype(np.int64)])
+        at = np.searchsorted(self.grams, members[maybe])
+        at[at == len(self.grams)] = 0
+        same = self.grams[at] == members[maybe] if len(self.grams) else np.zeros(len(maybe), bool)
+        return maybe[same], at[same]
+
+    def first(self, members: np.ndarray, percent: int) -> np.ndarray:
+        """The first members of a set, one more than it can lose to a set that it links with."""
+        length = len(members) - -(-percent * len(members) // 100) + 1
+        maybe, at = self.frequent(members)
+        chosen = np.delete(members, maybe)[:length]
+        if len(chosen) < length:
+            common = maybe[np.argsort(self.place[at])]
+            chosen = np.concatenate([chosen, members[common[: length - len(chosen)]]])
+        return chosen
+
+
+def _bits(sizes: np.ndarray) -> np.ndarray:
+    return np.frexp(sizes.astype(np.float64))[1] - 1
+
+
+def differing(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """At most so many members are in only one of two sets that link and have ``sizes`` members in all."""
+    return sizes * (100 - percent) // (100 + percent)
+
+
+def _segments(members: np.ndarray, of: np.ndarray, rare: np.ndarray, band: np.ndarray, some: np.ndarray, count: np.ndarray):
+    """(set, hash) of the strongest segments of sets, ``some`` for each, of ``count`` that it is cut into."""
+    place = (members >> np.uint64(32)) * count[of].astype(np.uint64) >> np.uint64(32)
+    starts = np.flatnonzero(np.diff(of, prepend=-1).astype(bool) | np.diff(place, prepend=np.uint64(0)).astype(bool))
+    set_of, place = of[starts], place[starts]
+    key = mix((band[set_of].astype(np.uint64) << np.uint64(32)) + place)
+    hashes = mix(np.add.reduceat(members, starts) * _MULTIPLIER + key)
+    strength = np.minimum(np.add.reduceat(rare, starts), 255) << 8 | np.minimum(np.diff(starts, append=len(members)), 255)
+    order = np.argsort((set_of.astype(np.uint64) << np.uint64(32)) + (65535 - strength).astype(np.uint64), kind="stable")
+    begins = np.searchsorted(set_of, np.arange(len(count) + 1))
+    rank = np.arange(len(order)) - begins[set_of]  # sets stay in their order
+    chosen = order[rank < some[set_of]]
+    yield set_of[chosen], hashes[chosen]
+    # Empty segments are the weakest, and as good as others in what is proven of them.
+    for i in np.flatnonzero(np.diff(begins) < some).tolist():
+        empty = np.setdiff1d(np.arange(count[i]), place[begins[i] : begins[i + 1]].astype(np.int64))[: some[i] - (begins[i + 1] - begins[i])]
+        yield np.full(len(empty), i), mix(mix((np.uint64(band[i]) << np.uint64(32)) + empty.astype(np.uint64)))
+
+
+def signatures(sets: list[np.ndarray], percent: int, order: Order) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(set, hash): two sets that link have a hash in common. Sets are not empty."""
+    sizes = np.array([len(x) for x in sets])
+    largest = sizes * 100 // percent  # that a set can link with
+    last = _bits(largest)
+    cut = np.full(len(sets), LEAST_BAND if percent >= LEAST_PERCENT else 64)  # from this band on
+    for i in np.flatnonzero(_bits(sizes) < cut).tolist():
+        chosen = order.first(sets[i], percent)
+        yield np.full(len(chosen), i), chosen
+    for up in range(int((last - _bits(sizes)).max(initial=-1)) + 1):
+        band = _bits(sizes) + up
+        at = np.flatnonzero((band <= last) & (band >= cut))
+        if not len(at):
+            continue
+        members, of = np.concatenate([sets[i] for i in at]), np.repeat(np.arange(len(at)), sizes[at])
+        rare = np.ones(len(members), np.int64)
+        rare[order.frequent(members)[0]] = 0
+        limit = (2 << band[at]) - 1
+        some = differing(sizes[at] + np.minimum(largest[at], limit), percent) + 1
+        most = differing(2 * limit, percent) + 1
+        for found, hashes in _segments(members, of, rare, band[at], some, most + most // SPARE):
+            yield at[found], hashes
+
+
+def _signed(n: int, percent: int, frequent):
+    """(sig, s1) of every set: hashes of which linked sets share one; of equal sets in a task only the first counts."""
 
-    ``reach`` is the size of the largest set that can link with this one when this member is
-    the first that they share: only what comes after it can be shared too.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order, seen = Order(*frequent.value), set()
+        waiting, names, held = [], [], 0
+
+        def signed() -> pa.RecordBatch:
+            found, hashes = (np.concatenate(x) for x in zip(*signatures(waiting, percent, order), strict=True))
+            columns = [pa.array(hashes.view(np.int64)), pa.array(np.array(names, np.int64)[found])]
+            waiting.clear()
+            names.clear()
+            return pa.RecordBatch.from_arrays(columns, ["sig", "s1"])
+
+        for batch in batches:
+            for members in ngram_sets(batch.column(0), n):
+                signature = _signature(members)
+                if not len(members) or signature in seen:
+                    continue
+                seen.add(signature)
+                waiting.append(members)
+                names.append(np.frombuffer(signature, np.int64)[0])
+                held += len(members)
+                if held >= SIGNED:
+                    yield signed()
+                    held = 0
+        if waiting:
+            yield signed()
+
+    return run
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (sig, s1) sorted by sig: (a, b), every class with one of those that share a hash with it."""
+    last, centre = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sigs, nodes = (batch.column(i).to_numpy() for i in range(2))
+        starts = np.flatnonzero(np.append(True, sigs[1:] != sigs[:-1]))
+        least = np.minimum.reduceat(nodes, starts)
+        if sigs[0] == last:
+            least[0] = centre
+        last, centre = sigs[-1], least[-1]
+        b = np.repeat(least, np.diff(starts, append=len(nodes)))
+        pairs = np.flatnonzero(nodes != b)
+        if len(pairs):
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[pairs]), pa.array(b[pairs])], ["a", "b"])
+
+
+def _firsts(n: int, percent: int, frequent, wanted):
+    """(s1, s2, n, grams) of the sets whose ids pass the sieve: first members; of equal sets in a task only the first counts.
+
+    The sieve is here and not a function of its own, which would be another Python worker of each task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, order = frequent.value  # sorted by hash; place by count
-        known = np.zeros(1 << 22, bool)
-        known[(grams >> np.uint64(42)).astype(np.int64)] = True
-        seen: set[bytes] = set()
+        order, seen = Order(*frequent.value), set()
         for batch in batches:
-            found, owners, sizes, reach = [], [], [], []
-            for i, members in enumerate(ngram_sets(batch.column(1), n)):
+            found, sizes, chosen = [], [], []
+            for members in ngram_sets(batch.column(1).filter(passing(wanted.value, batch.column(0))), n):
                 signature = _signature(members)
                 if not len(members) or signature in seen:
                     continue
                 seen.add(signature)
-                length = len(members) - -(-percent * len(members) // 100) + 1
-                maybe = np.flatnonzero(known[(members >> np.uint64(42)).astype(np.int64)])
-                at = np.searchsorted(grams, members[maybe])
-                at[at == len(grams)] = 0
-                same = grams[at] == members[maybe] if len(grams) else np.zeros(len(maybe), bool)
-                rare = np.delete(members, maybe[same])
-                chosen = rare[:length]
-                if len(chosen) < length:
-                    common = maybe[same][np.argsort(order[at[same]])]
-                    chosen = np.concatenate([chosen, members[common[: length - len(chosen)]]])
-                found.append(chosen)
-                owners.append(np.full(len(chosen), i))
-                sizes.append(np.full(len(chosen), len(members)))
-                after = len(members) - np.arange(len(chosen))
-                reach.append(after * (100 + percent) // percent - len(members))
+                found.append(signature)
+                sizes.append(len(members))
+                chosen.append(order.first(members, percent).view(np.int64))
             if found:
-                ids = batch.column(0).take(pa.array(np.concatenate(owners)))
-                columns = [pa.array(np.concatenate(found).view(np.int64)), ids, pa.array(np.concatenate(sizes)), pa.array(np.concatenate(reach))]
-                yield pa.RecordBatch.from_arrays(columns, ["gram", "doc_id", "n", "reach"])
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in chosen])])
+                grams = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(chosen)))
+                yield pa.RecordBatch.from_arrays([*_halves(found), pa.array(sizes, pa.int64()), grams], ["s1", "s2", "n", "grams"])
 
     return run
 
@@ -239,10 +362,10 @@ def _sides(rows: list[dict]) -> np.ndarray | None:
 
 
 def _refine(percent: int):
-    """Documents with their repeated first members: the least document each hangs together with."""
+    """Classes with their first members: the least class each hangs together with."""
 
     def solve(rows: list[dict]) -> pa.RecordBatch:
-        sizes, ids = np.array([r["n"] for r in rows]), np.array([r["doc_id"] for r in rows])
+        sizes, ids = np.array([r["n"] for r in rows]), np.array([r["s1"] for r in rows])
         label = ids.copy()
         firsts = [np.unique(np.array(r["grams"], np.int64)) for r in rows]
         for i, linked in trie_join(firsts, lambda i: least_first_overlap(sizes, i, percent), _sides(rows)):
@@ -314,31 +437,19 @@ def join(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     frequent = spark.sparkContext.broadcast((grams[by_hash], place[by_hash]))
 
     named = texts.filter("doc_id IS NOT NULL")
-    prefixes = named.mapInArrow(trimmed(_prefixes(n, percent, frequent)), "gram long, doc_id long, n long, reach long")
-    by_size = Window.partitionBy("gram").orderBy("n", "doc_id")
-    so_far = by_size.rowsBetween(Window.unboundedPreceding, 0)
-    # A stretch ends where no set before is near enough in size, a star where none reaches so far.
-    far = F.coalesce(100 * F.lag("n").over(by_size) < percent * F.col("n"), F.lit(False)).cast("int")
-    before = by_size.rowsBetween(Window.unboundedPreceding, -1)
-    unreached = F.coalesce(F.max("reach").over(before) < F.col("n"), F.lit(False)).cast("int")
-    near = prefixes.select("gram", "doc_id", "n", far.alias("far"), unreached.alias("unreached")).select(
-        "gram", "doc_id", "n", F.sum("far").over(so_far).alias("stretch"), F.sum("unreached").over(so_far).alias("part")
-    )
-    met = near.select(
-        "gram", "doc_id", "n", F.min("doc_id").over(Window.partitionBy("gram", "part")).alias("star"),
-        F.count("*").over(Window.partitionBy("gram", "stretch")).alias("times"),
-    )
-    met = keep(met.filter("times > 1").drop("times"))
 
     def blocks_of(edges: DataFrame) -> DataFrame:
-        return components(edges).select(F.col("id").alias("doc_id"), F.col("component").alias("block"))
-
-    wide = blocks_of(met.filter("doc_id <> star").select(F.col("doc_id").alias("a"), F.col("star").alias("b")).distinct())
-    firsts = met.groupBy("doc_id", "n").agg(F.collect_list("gram").alias("grams"))
-    share = _tasks(_dealt(firsts.join(wide, "doc_id"), FIRST_PART, "doc_id"), "doc_id", "n", "grams")
+        """Classes by half of their signature: those that agree in it are only compared together."""
+        return components(edges).select(F.col("id").alias("s1"), F.col("component").alias("block"))
+
+    signed = named.select("text").mapInArrow(trimmed(_signed(n, percent, frequent)), "sig long, s1 long")
+    met = signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(trimmed(_stars), "a long, b long")
+    wide = keep(_dealt(keep(blocks_of(met.distinct()).join(classes.drop("size"), "s1")), FIRST_PART, "s1"))
+    h, wanted = sieve_bits(spark, wide.select(F.col("rep").alias("doc_id")))
+    firsts = named.select(h, "text").mapInArrow(trimmed(_firsts(n, percent, frequent, wanted)), "s1 long, s2 long, n long, grams array<long>")
+    share = _tasks(firsts.join(wide, ["s1", "s2"]), "s1", "n", "grams")
     blocks = blocks_of(share.mapInArrow(trimmed(_refine(percent)), "a long, b long").filter("a <> b").distinct())
-    # The class of a block's document; its least id may lie in a task where it was not the first.
-    members = blocks.join(rows, "doc_id").join(classes, ["s1", "s2"]).groupBy("s1", "s2", "rep", "size").agg(F.min("block").alias("block"))
+    members = blocks.join(classes, "s1")
     placed = keep(_dealt(keep(members), PART, "rep"))
     candidates = named.filter(sieve(named, placed.select(F.col("rep").alias("doc_id"))))
     with_text = candidates.join(placed, candidates["doc_id"] == placed["rep"]).drop("doc_id")
