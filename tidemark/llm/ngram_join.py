@@ -50,7 +50,7 @@ FIRST_PART = 4096  # the same where only first members are held
 SIGNED = 1 << 17  # n-grams that are cut into segments together
 LEAST_BAND = 4  # sets of 2 ** LEAST_BAND members and more are cut into segments
 LEAST_PERCENT = 70  # and only for such thresholds; else segments would have few members
-SPARE = 4  # one segment in so many, of the weakest, is left out
+SPARE = 4  # one more segment for so many that are needed: the weakest are left out
 _MULTIPLIER = np.uint64(0xD1342543DE82EF95)
 
 
